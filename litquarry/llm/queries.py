@@ -5,9 +5,14 @@ from __future__ import annotations
 from .common import table
 from .exact_dedup import exact_dedup
 from .pii import pii_digest
+from .substring_dedup import substring_dedup
 from .url_filter import filter_urls, rules_frame
 
 
+def op1_substring_dedup(spark, sf_dir):
+    return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_pii(spark, sf_dir):
     return pii_digest(table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
@@ -21,6 +26,7 @@ def op8_url_filter(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_pii": op3_pii,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_filter": op8_url_filter,
@@ -42,6 +48,14 @@ _PII = {
 }
 
 ORACLES = {
+    "op1_substring_dedup": r"""WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents), s AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)), m AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM s), gone AS (
+  SELECT DISTINCT doc_id, i + k AS p FROM m, range(50) t(k) WHERE first < doc_id), x AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d), k AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM x ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
     "op3_pii": "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ("
     + " UNION ALL ".join(_PII_KIND.format(kind=k, order=i, pattern=p) for i, (k, p) in enumerate(_PII.items()))
     + r"""), g AS (
