@@ -6,6 +6,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .pii import pii_digest
 from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .url_filter import filter_urls, rules_frame
 
 
@@ -17,6 +18,10 @@ def op3_pii(spark, sf_dir):
     return pii_digest(table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -28,6 +33,7 @@ def op8_url_filter(spark, sf_dir):
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_pii": op3_pii,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_filter": op8_url_filter,
 }
