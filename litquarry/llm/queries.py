@@ -5,6 +5,7 @@ from __future__ import annotations
 from .common import table
 from .exact_dedup import exact_dedup
 from .pii import pii_digest
+from .simhash import simhash_dedup
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .url_filter import filter_urls, rules_frame
@@ -22,6 +23,10 @@ def op4_suffix_dedup(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op5_simhash(spark, sf_dir):
+    return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -34,6 +39,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_pii": op3_pii,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_simhash": op5_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_filter": op8_url_filter,
 }
