@@ -3,18 +3,26 @@
 from __future__ import annotations
 
 from .common import table
+from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
+from .language_id import identify
+from .packing import pack_documents
 from .pii import pii_digest
 from .simhash import simhash_dedup
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .url_filter import filter_urls, rules_frame
+from .warc import round_trip
 
 
 def op1_substring_dedup(spark, sf_dir):
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_warc(spark, sf_dir):
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_pii(spark, sf_dir):
     return pii_digest(table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
@@ -27,6 +35,10 @@ def op5_simhash(spark, sf_dir):
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark, sf_dir):
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -35,13 +47,25 @@ def op8_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), rules_frame(spark))
 
 
+def op9_best_fit_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_warc": op2_warc,
     "op3_pii": op3_pii,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash": op5_simhash,
+    "op6_decontamination": op6_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_url_filter": op8_url_filter,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_language_id": op10_language_id,
 }
 
 _PII_KIND = """
@@ -68,6 +92,10 @@ ORACLES = {
   SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d), k AS (
   SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM x ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)""",
+    "op2_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages), m AS (
+  SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM p)
+SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to FROM m""",
     "op3_pii": "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), f AS ("
     + " UNION ALL ".join(_PII_KIND.format(kind=k, order=i, pattern=p) for i, (k, p) in enumerate(_PII.items()))
     + r"""), g AS (
