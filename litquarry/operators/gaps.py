@@ -22,7 +22,12 @@ DIGEST_BYTES = 200_000
 
 def mention_rows(evidence: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     """Items of an evidence table's array fields as rows (paper, title, importance, field, ord, raw)."""
-    items = F.concat(*[F.transform(F.coalesce(F.col(name), F.array().cast("array<string>")), lambda x, i, n=n: F.struct(F.lit(n).alias("field"), F.lpad(i.cast("string"), 6, "0").alias("ord"), x.alias("raw"))) for n, (name, _) in enumerate(fields)])
+
+    def of(n: int, name: str) -> Column:
+        values = F.coalesce(F.col(name), F.array().cast("array<string>"))
+        return F.transform(values, lambda x, i: F.struct(F.lit(n).alias("field"), F.lpad(i.cast("string"), 6, "0").alias("ord"), x.alias("raw")))
+
+    items = F.concat(*[of(n, name) for n, (name, _) in enumerate(fields)])
     score = F.coalesce(F.col("book_usage.importance_score_1_to_5"), F.lit(0)).cast("int")
     return evidence.select(F.col("arxiv_id").alias("paper"), "title", score.alias("importance"), F.inline(items))
 

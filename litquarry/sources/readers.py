@@ -47,12 +47,13 @@ def texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_rows(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """Rows of texts. With ``key``, only those where it is not blank. A file without rows raises when it is read."""
+    """Rows of texts. With ``key``, only those where it is not blank. A file without rows is an error."""
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     if key is not None:
         return rows.where(F.trim(key) != "")
-    count = rows.agg(F.assert_true(F.count(F.lit(1)) > 0, f"{path} has no rows").alias("_ok"))
-    return rows.join(F.broadcast(count), F.lit(True)).drop("_ok")
+    if rows.isEmpty():
+        raise ValueError(f"{path} has no rows")
+    return rows
 
 
 def ids(rows: DataFrame, key: str) -> DataFrame:
