@@ -5,7 +5,8 @@ Every distinct fingerprint therefore emits all variants within r / 2 bits (2,081
 and those that two fingerprints emit link them. No pair of fingerprints is formed otherwise, so the work is linear.
 
 Emitted as rows, the variants would be several times the input. So the shuffle carries, for each group of fingerprints
-and bucket, the sorted leading bits of the scrambled variants as gaps of two bytes. A bucket answers which values came
+and bucket, the sorted leading bits of the scrambled variants as gaps of two bytes, or more where the corpus is large: so
+many bits are kept that one value in sixty-four at most agrees by chance. A bucket answers which values came
 twice; only those variants are then sent whole, with their fingerprints, and are linked where they are equal. The leading
 bits of unequal variants may agree, which costs an answer and changes nothing: all equal variants agree.
 
@@ -32,8 +33,9 @@ from .groups import by_bucket, from_bytes
 
 #: Words in a shingle, seed of their hash, most differing bits of a link.
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: Fingerprints in a group, variants in a bucket, and the bits of the mean gap between a group's values in a bucket.
-GROUP, BUCKET, GAP_BITS = 4096, 4 << 20, 12
+#: Fingerprints in a group, variants in a bucket, bits of the mean gap between a group's values in a bucket at least, and
+#: bits that values have beyond those that number all variants.
+GROUP, BUCKET, GAP_BITS, SPARE_BITS = 4096, 4 << 20, 12, 6
 _LANES = K.U(0x0101010101010101)
 
 
@@ -102,9 +104,10 @@ class _Layout:
             raise ValueError("radius must be even: variants meet half way")
         self.masks = masks(radius // 2)
         self.groups = groups_for(n, GROUP)
-        each = max(1, min(n, GROUP)) * len(self.masks)
-        self.bucket_bits = max(4, (max(least, groups_for(n * len(self.masks), BUCKET)) - 1).bit_length())
-        self.value_bits = min(40, max(8, (each >> self.bucket_bits).bit_length() + GAP_BITS))
+        each, total = (max(1, k) * len(self.masks) for k in (min(n, GROUP), n))
+        self.bucket_bits = max(4, (max(least, groups_for(total, BUCKET)) - 1).bit_length())
+        bits = max(each.bit_length() - 1 + GAP_BITS, total.bit_length() + SPARE_BITS)
+        self.value_bits = max(8, min(64, bits) - self.bucket_bits)
 
     def places(self, fps: np.ndarray) -> np.ndarray:
         """Bucket and value of each variant of each fingerprint, as one number."""
@@ -116,7 +119,7 @@ def _unsigned(column) -> np.ndarray:
 
 
 def _say(x: _Layout):
-    schema = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("first", pa.int64()), ("wide", pa.bool_()), ("gaps", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("first", pa.binary()), ("width", pa.int32()), ("gaps", pa.binary())])
 
     def say(key, group):
         places = np.sort(x.places(_unsigned(group.column("fp"))))
@@ -125,8 +128,9 @@ def _say(x: _Layout):
         for b in np.flatnonzero(np.diff(bounds)).tolist():
             mine = places[bounds[b] : bounds[b + 1]]
             gaps = np.diff(mine)
-            wide = bool(len(gaps) and int(gaps.max()) > 0xFFFF)
-            rows.append({"bucket": b, "grp": key[0].as_py(), "first": int(mine[0]), "wide": wide, "gaps": gaps.astype(np.uint64 if wide else np.uint16).tobytes()})
+            width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
+            low = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+            rows.append({"bucket": b, "grp": key[0].as_py(), "first": mine[:1].tobytes(), "width": width, "gaps": low.tobytes()})
         return pa.Table.from_pylist(rows, schema=schema)
 
     return say
@@ -134,9 +138,10 @@ def _say(x: _Layout):
 
 def _answer(key, said):
     values = []
-    for nth, (first, wide, gaps) in enumerate(zip(said.column("first").to_pylist(), said.column("wide").to_pylist(), said.column("gaps"), strict=True)):
-        gaps = np.frombuffer(gaps.as_py(), np.uint64 if wide else np.uint16)
-        places = np.cumsum(np.concatenate((np.array([0], np.uint64), gaps.astype(np.uint64)))) + K.U(first)
+    for nth, (first, width, low) in enumerate(zip(from_bytes(said.column("first"), np.uint64), said.column("width").to_pylist(), from_bytes(said.column("gaps"), np.uint8), strict=True)):
+        gaps = np.zeros((len(low) // width, 8), np.uint8)
+        gaps[:, :width] = low.reshape(-1, width)
+        places = np.cumsum(np.concatenate((first, gaps.view("<u8").ravel())))
         values.append((places, np.full(len(places), nth, np.int32)))
     places, sender = (np.concatenate(v) for v in zip(*values, strict=True))
     order = np.argsort(places, kind="stable")
@@ -217,7 +222,7 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     least = shuffle_partitions(distinct.sparkSession)
     x = _Layout(n, radius, least)
     groups = distinct.select("fp", F.pmod(F.xxhash64("fp"), F.lit(x.groups)).cast("int").alias("grp")).repartition(max(least, groups_for(x.groups, 16)), "grp").groupBy("grp")
-    said = groups.applyInArrow(_say(x), "bucket int, grp int, first long, wide boolean, gaps binary")
+    said = groups.applyInArrow(_say(x), "bucket int, grp int, first binary, width int, gaps binary")
     answers = said.groupBy("bucket").applyInArrow(_answer, "grp int, places binary")
     meetings = groups.cogroup(answers.groupBy("grp")).applyInArrow(_meet(x), "bucket int, variants binary, fps binary")
     return meetings.groupBy("bucket").applyInArrow(_link(radius), "a long, b long").distinct()
