@@ -54,3 +54,11 @@ def text_volume(docs: DataFrame, text_col: str) -> tuple[int, int]:
 def groups_for(volume: int, target: int, least: int = 1) -> int:
     """How many groups of about ``target`` a volume needs."""
     return max(least, math.ceil(volume / max(1, target)))
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """The name, with underscores in front until no column has it (case does not tell columns apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, fresh
 
 #: Characters of the normalised text that the second refinement hashes.
 PREFIX_CHARS = 256
@@ -65,8 +65,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     marked = exact_dedup(docs, id_col, text_col)
     said = marked.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count_if("kept").alias("_stay"), F.count(F.lit(1)).alias("_n")).where("_stay = 0 or _n > 1")
-    rows = docs.withColumn("_own_sha", F.sha2(collapse_space(F.col(text_col)), 256))
-    rows = rows.join(said, rows[id_col].eqNullSafe(said["_id"]) & (rows["_own_sha"] == said["_sha"]), "left")
-    single = rows.where("_stay is null").select(*docs.columns)
-    repeated = rows.where("_stay > 0").dropDuplicates([id_col, "_own_sha"]).select(*docs.columns)
+    own, stay, ident, sha = (fresh(docs.columns, n) for n in ("_own_sha", "_stay", "_id", "_sha"))
+    said = said.select(F.col("_id").alias(ident), F.col("_sha").alias(sha), F.col("_stay").alias(stay))
+    rows = docs.withColumn(own, F.sha2(collapse_space(F.col(text_col)), 256))
+    rows = rows.join(said, rows[id_col].eqNullSafe(said[ident]) & (rows[own] == said[sha]), "left")
+    single = rows.where(F.col(stay).isNull()).select(*docs.columns)
+    repeated = rows.where(F.col(stay) > 0).dropDuplicates([id_col, own]).select(*docs.columns)
     return single.unionByName(repeated)

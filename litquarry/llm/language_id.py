@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .common import fresh
 
 #: Rows of each language from which the classifiers learn, at most about.
 PER_LANGUAGE = 600
@@ -149,37 +150,41 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return Model(languages, code, weights, trust / trust.mean())
 
 
-def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """The rows of docs with the columns _lang_pred, _score and _ambiguous after their own."""
-    marked = docs.withColumn("_letter", F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> tuple[DataFrame, list[str]]:
+    """The rows of docs with three more columns, and their names: predicted language, score, whether it is ambiguous."""
+    names = [fresh(docs.columns, n) for n in ("_lang_pred", "_score", "_ambiguous")]
     if model is None:
-        return marked.drop("_letter").withColumns({"_lang_pred": F.lit(UND), "_score": F.lit(0.0), "_ambiguous": F.lit(True)})
+        return docs.withColumns(dict(zip(names, (F.lit(UND), F.lit(0.0), F.lit(True)), strict=True))), names
+    letter = fresh([*docs.columns, *names], "_letter")
+    marked = docs.withColumn(letter, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    column = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            data, offsets = K.joined(batch.column(batch.schema.get_field_index(text_col)))
-            letter = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
+            data, offsets = K.joined(batch.column(column))
+            has_letter = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool)
             losses = _losses(model, _margins(model, data, offsets))
             order = np.argsort(losses, axis=1, kind="stable")
             best = losses[np.arange(len(losses)), order[:, 0]]
             odds = np.exp(-(losses - best[:, None]))
             apart = (losses[np.arange(len(losses)), order[:, 1]] - best) if len(model.languages) > 1 else np.ones(len(losses))
-            names = [model.languages[i] if ok else UND for i, ok in zip(order[:, 0].tolist(), letter.tolist(), strict=True)]
-            more = [pa.array(names, pa.string()), pa.array(np.where(letter, 1 / odds.sum(1), 0.0)), pa.array(~letter | (apart < UNSURE))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=[*batch.schema.names[:-1], "_lang_pred", "_score", "_ambiguous"])
+            said = [model.languages[i] if ok else UND for i, ok in zip(order[:, 0].tolist(), has_letter.tolist(), strict=True)]
+            more = [pa.array(said, pa.string()), pa.array(np.where(has_letter, 1 / odds.sum(1), 0.0)), pa.array(~has_letter | (apart < UNSURE))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *more], names=[*batch.schema.names[:-1], *names])
 
-    schema = docs.withColumns({"_lang_pred": F.lit(""), "_score": F.lit(0.0), "_ambiguous": F.lit(True)}).schema
-    return marked.mapInArrow(run, schema)
+    schema = docs.withColumns(dict(zip(names, (F.lit(""), F.lit(0.0), F.lit(True)), strict=True))).schema
+    return marked.mapInArrow(run, schema), names
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score, ambiguous."""
     model = train(docs, id_col, text_col, lang_col, per_language)
-    rows = predict(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model)
-    return rows.select("doc_id", held_out().alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"), F.col("_ambiguous").alias("ambiguous"))
+    rows, names = predict(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model)
+    said = [F.col(n).alias(x) for n, x in zip(names, ("lang_pred", "score", "ambiguous"), strict=True)]
+    return rows.select("doc_id", held_out().alias("held_out"), *said)
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> DataFrame:
     """The documents with an identified language, with their own columns."""
-    model = train(docs, id_col, text_col, lang_col, per_language)
-    return predict(docs, model, text_col).where(F.col("_lang_pred") != UND).select(*docs.columns)
+    rows, names = predict(docs, train(docs, id_col, text_col, lang_col, per_language), text_col)
+    return rows.where(F.col(names[0]) != UND).select(*docs.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import cut, groups_for, shuffle_partitions
+from .common import cut, fresh, groups_for, shuffle_partitions
 from .components import components
 from .groups import by_bucket, from_bytes
 
@@ -246,5 +246,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     stays only where its component has no other.
     """
     marked = simhash_dedup(docs, id_col, text_col, radius, shingle)
-    gone = marked.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti").select(*docs.columns)
+    name = fresh(docs.columns, "_gone")
+    gone = marked.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(gone[name]), "left_anti").select(*docs.columns)
