@@ -1,7 +1,7 @@
 """Headings of a text as a tree of sections, in relational form.
 
-Self-joins are on headings of one text only, never on its lines: a section ends before the next heading of its level or
-above, and its parent is the last heading before it of a higher one.
+A section ends before the next heading of its level or above, and its parent is the last heading before it of a higher one.
+Both are running values per level over the headings of a text, so a text with very many headings costs two sorts.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ def headings(docs: DataFrame, key: str = "paper", body: str = "text") -> DataFra
 def sections(docs: DataFrame, key: str = "paper", body: str = "text") -> DataFrame:
     """(paper, id, title, level, start_line, end_line, parent_id) for each section; a text without headings is one section."""
     h = headings(docs, key, body)
-    o = h.select(F.col("paper").alias("o_paper"), F.col("line").alias("o_line"), F.col("level").alias("o_level"))
-    near = h.join(o, (h["paper"] == o["o_paper"]) & (h["line"] != o["o_line"]), "left")
-    spans = near.groupBy("paper", "line", "level", "title", "n_lines").agg(
-        F.min(F.when((F.col("o_line") > F.col("line")) & (F.col("o_level") <= F.col("level")), F.col("o_line"))).alias("next"),
-        F.max(F.when((F.col("o_line") < F.col("line")) & (F.col("o_level") < F.col("level")), F.col("o_line"))).alias("parent"),
-    )
+    # running values over both orders, one for each of the six levels; frames that grow at one end cost one pass
+    later = Window.partitionBy("paper").orderBy(F.desc("line")).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("paper").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    at_most = lambda k, over: F.last(F.when(F.col("level") <= k, F.col("line")), ignorenulls=True).over(over)
+    by_level = lambda value: F.coalesce(*[F.when(F.col("level") == k, value(k)) for k in range(1, 7)])
+    spans = h.withColumn("next", by_level(lambda k: at_most(k, later))).withColumn("parent", by_level(lambda k: at_most(k - 1, earlier)))
     nth = F.row_number().over(Window.partitionBy("paper", F.coalesce("parent", F.lit(0))).orderBy("line"))
     s = spans.withColumn("part", F.lpad(nth.cast("string"), 2, "0"))
     # levels are 1 to 6, so six steps up reach the root
