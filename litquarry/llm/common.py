@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -13,13 +14,16 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where the session names none (as in tests) a temporary folder of this machine is set.
+    A path without a scheme is one of Spark's default file system, and is written out as such, since other libraries would
+    take it for a local one. Only where the session names none (as in tests) a temporary folder of this machine is set.
     """
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
         there = "file://" + tempfile.mkdtemp(prefix="litquarry-")
         spark.conf.set("spark.checkpoint.dir", there)
-    return there.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(there)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/(?!/)", "file:///", whole).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, what: str) -> str:
