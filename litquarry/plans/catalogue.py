@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json as jsonx
 from ..functions import math, scoring, text
-from ..operators import discovery, gaps, graph, outline, packs, pages, promotion, quality, state
+from ..operators import discovery, gaps, graph, outline, packs, pages, promotion, quality, search, state
 from ..sources import adapter as A
 from ..sources.adapter import FIELDS, NORM_SQL, sql, table
 
@@ -372,6 +372,51 @@ def _(spark, d):
     return discovery.first_neighbor_match(part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.col("p_partkey").alias("ord")), part.where("p_size <= 5").select(F.col("p_name").alias("title")).distinct())
 
 
+_GS = "SELECT paper_id, q AS query, CASE WHEN q = 0 OR doc_id % 2 = 0 THEN 'hub ' ELSE 'archive ' END || q AS abstract FROM papers, (VALUES (0), (1)) t(q) WHERE (doc_id + q) % 3 = 0 AND (q = 0 OR doc_id % 2 = 0 OR doc_id % 5 = 0)"
+
+
+def _answers(spark, d) -> tuple[DataFrame, DataFrame]:
+    p = A.papers(spark, d).select("paper_id", "doc_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("query")).where("(doc_id + query) % 3 = 0")
+    q = F.col("query").cast("string")
+    hub = p.where("query = 0 or doc_id % 2 = 0").select("query", F.col("doc_id").alias("ord"), F.to_json(F.struct(F.struct(F.col("paper_id").alias("id")).alias("paper"), F.concat(F.lit("hub "), q).alias("summary"))).alias("item"))
+    archive = p.where("doc_id % 5 = 0").select("query", F.col("doc_id").alias("ord"), F.to_json(F.struct(F.concat("paper_id", F.lit("v2")).alias("arxiv_id"), F.struct(F.concat(F.lit("archive "), q).alias("summary")).alias("paper_summary"))).alias("item"))
+    return hub, archive
+
+
+@query("gap_search", sql("SELECT paper_id, arg_min(abstract, query) AS abstract, min(query) AS query FROM g GROUP BY paper_id HAVING 2026 - (2000 + cast(paper_id[1:2] AS INTEGER)) <= 6", "papers", g=_GS))
+def _(spark, d):
+    return search.gap_search(*_answers(spark, d), ["hub", "archive"], [], NOW)[0]
+
+
+@query("gap_search_audit", sql("SELECT q AS query, count(*) FILTER (q = 0 OR doc_id % 2 = 0) AS hub, count(*) FILTER (doc_id % 5 = 0) AS archive, count(*) FILTER (q = 0 OR doc_id % 2 = 0 OR doc_id % 5 = 0) AS returned FROM papers, (VALUES (0), (1)) t(q) WHERE (doc_id + q) % 3 = 0 GROUP BY q", "papers"))
+def _(spark, d):
+    return search.gap_search(*_answers(spark, d), [], [], NOW)[1]
+
+
+@query("bulk_search", sql(f"SELECT paper_id, v AS abstract FROM (SELECT paper_id, any_value(year) AS year, arg_max(v, p) AS v FROM (SELECT paper_id, year, 'a the' AS v, 0 AS p FROM papers WHERE doc_id % 2 = 0 UNION ALL SELECT paper_id, year, 'b', 1 FROM papers WHERE doc_id % 3 = 0 UNION ALL SELECT paper_id, year, 'the c', 2 FROM papers WHERE doc_id % 5 = 0) GROUP BY paper_id) WHERE contains(v, 'the') AND 2026 - year <= 6", "papers"))
+def _(spark, d):
+    p = A.papers(spark, d)
+    parts = [p.where(F.col("doc_id") % n == 0).select("paper_id", F.lit(v).alias("abstract"), F.col("doc_id").alias("ord")) for v, n in (("a the", 2), ("b", 3), ("the c", 5))]
+    return search.bulk_search(parts, KEYWORDS, NEGATIVES, NOW)
+
+
+@query("relevance_search", sql(f"SELECT paper_id, {_IMPACT} AS score FROM papers WHERE doc_id < 30 OR doc_id BETWEEN 100 AND 129 ORDER BY score DESC, CASE WHEN doc_id < 30 THEN doc_id ELSE 4611686018427387904 END, paper_id LIMIT 1000", "papers"))
+def _(spark, d):
+    p = A.papers(spark, d)
+    found = p.where("doc_id < 30").select("paper_id", F.col("doc_id").alias("ord"))
+    below = p.where("doc_id between 100 and 129").select((F.col("doc_id") - 100).alias("k"), F.col("paper_id").alias("id"))
+    links = p.where("doc_id < 30").select(F.col("doc_id").alias("k"), F.col("paper_id").alias("paper")).join(below, "k").select("paper", "id", F.lit(5).alias("cites"), F.col("k").alias("ord"))
+    return search.relevance_search(found, links, p.select("paper_id", "abstract", "year", "citations"), NOW, most=1000).select("paper_id", "score")
+
+
+@query("service_rows", "SELECT page_id AS ord, 'p' || page_id AS paper_id, page_id % 7 AS citation_count, CASE WHEN page_id % 2 = 0 THEN 'x' ELSE '' END AS citations FROM pages")
+def _(spark, d):
+    k = F.col("page_id")
+    item = F.to_json(F.struct(F.struct(F.concat(F.lit("p"), k.cast("string")).alias("ArXiv")).alias("externalIds"), F.when(k % 7 != 0, k % 7).alias("citationCount"), F.when(k % 2 == 0, F.array(F.struct(F.struct(F.lit("x").alias("ArXiv")).alias("externalIds")), F.struct(F.struct(F.lit("").alias("ArXiv")).alias("externalIds")))).alias("citations")))
+    rows = search.paper_rows(table(spark, d, "pages").select(k.alias("ord"), item.alias("item")))
+    return rows.select("ord", "paper_id", "citation_count", csv("citations").alias("citations"))
+
+
 # ---- graphs ---------------------------------------------------------------------------------------------------------
 
 _FE, _FN, _CL = "fragment_edges", "fragment_nodes", "claims"
