@@ -73,12 +73,18 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; within a lambda a plain expression is computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spans(kind: str, order: int, text: Column) -> Column:
     """The confirmed spans of a kind: (start, order, end, kind, score), start and end in code points, end exclusive."""
+    empty = F.from_json(F.lit("[]"), "array<struct<start:int,end:int,match:string>>")
     gaps = F.transform(F.split(text, PATTERNS[kind], -1), lambda g: F.length(g))
     hits = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-    empty = F.from_json(F.lit("[]"), "array<struct<start:int,end:int,match:string>>")
-    pairs = F.transform(hits, lambda h, i: F.struct(F.get(gaps, i).alias("gap"), h.alias("hit")))
+    # the text after the last match is a gap without a match
+    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), lambda p: p["hit"].isNotNull())
 
     def step(state, pair):
         begin = state["at"] + pair["gap"]
@@ -86,11 +92,17 @@ def _spans(kind: str, order: int, text: Column) -> Column:
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), pair["hit"].alias("match")))).alias("out"))
 
     # A fold copies what it has gathered at each step; blocks keep that short for a text with very many matches.
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(hits) - 1) / BLOCK).cast("int")), lambda b: F.slice(pairs, b * BLOCK + 1, BLOCK))
-    length = lambda block: F.aggregate(block, F.lit(0), lambda a, x: a + x["gap"] + F.length(x["hit"]))
-    begins = F.aggregate(F.transform(blocks, length), F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
-    block_spans = F.transform(blocks, lambda block, b: F.aggregate(block, F.struct(F.get(begins, b).alias("at"), empty.alias("out")), step, lambda s: s["out"]))
-    placed = F.when(F.size(hits) > 0, F.flatten(block_spans)).otherwise(empty)
+    def in_blocks(p):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")), lambda b: F.slice(p, b * BLOCK + 1, BLOCK))
+
+    def begins(blocks):
+        length = lambda block: F.aggregate(block, F.lit(0), lambda a, x: a + x["gap"] + F.length(x["hit"]))
+        return F.aggregate(F.transform(blocks, length), F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+
+    def place(blocks, at):
+        return F.flatten(F.transform(blocks, lambda block, b: F.aggregate(block, F.struct(F.get(at, b).alias("at"), empty.alias("out")), step, lambda s: s["out"])))
+
+    placed = _let(pairs, lambda p: F.when(F.size(p) > 0, _let(in_blocks(p), lambda blocks: _let(begins(blocks), lambda at: place(blocks, at)))).otherwise(empty))
     right = F.filter(placed, lambda s: _valid(kind, s["match"]))
 
     def scored(s):
