@@ -29,9 +29,9 @@ from . import kernels as K
 from .common import groups_for
 
 SIMILARITY = 0.8
-#: Independent walks, repetitions in each, symbols in a repetition: with these a pair whose embeddings differ in half of
-#: their symbols is found with probability 0.998, one that differs in 70 % with 0.54.
-WALKS, REPEATS, SYMBOLS = 4, 24, 4
+#: Independent walks, repetitions in each, symbols in a repetition: with these a pair whose embeddings differ in 60 % of
+#: their symbols is found with probability 0.9998, one that differs in 75 % with 0.87.
+WALKS, REPEATS, SYMBOLS = 4, 32, 3
 #: Bytes of items in a slice, windows that walk at a time, and bytes of text that are searched at a time.
 SLICE_BYTES, WINDOWS, TEXT_BYTES = 16 << 20, 1 << 15, 4 << 20
 #: Bytes that make a pair of words, or a single word, distinctive.
