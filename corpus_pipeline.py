@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages, each of which works on all that the one before it kept.
 
-Language ID drops documents without an identifiable language, exact dedup keeps one of equal texts, SimHash keeps one of each
-near-duplicate group, decontamination drops documents that hold a benchmark item, and best-fit packing lays out what is left.
+Language ID drops documents without an identifiable language, exact dedup keeps one of equal texts, near-deduplication keeps one of
+each group of texts whose five-word shingles have a Jaccard similarity of at least 0.8, decontamination drops documents that hold a benchmark item, and best-fit packing lays out what is left.
 All but the last return the columns of documents.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litquarry.llm import decontaminate, exact_dedup, language_id, packing, simhash
+from litquarry.llm import decontaminate, exact_dedup, jaccard, language_id, packing
 from litquarry.llm.common import fresh_path, table
 
 
@@ -21,8 +21,8 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact_dedup.keep_first(docs)
 
 
-def distinct_fingerprints(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+def distinct_shingles(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", identified),
     ("exact_dedup", distinct_texts),
-    ("simhash_dedup", distinct_fingerprints),
+    ("simhash_dedup", distinct_shingles),
     ("decontamination", without_benchmark),
     ("best_fit_packing", packed),
 ]

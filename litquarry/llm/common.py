@@ -66,3 +66,15 @@ def fresh(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def one_of_each(rows: DataFrame, roots: DataFrame, node: str, id_col: str) -> DataFrame:
+    """The rows, numbered by the column ``node``, without those that are not the first of their component in ``roots`` (node, root).
+
+    The first is the one with the smallest id, null ids last; of rows with equal ids the one with the smallest number.
+    """
+    ids = rows.select(F.col(node).alias("node"), F.col(id_col).cast("long").alias("id"))
+    members = roots.join(ids, "node").select("root", F.struct(F.col("id").isNull().alias("null"), "id", "node").alias("row"))
+    first = members.groupBy("root").agg(F.min("row").alias("first"))
+    gone = members.join(first, "root").where("row.node <> first.node").select(F.col("row.node").alias(node))
+    return rows.join(gone, node, "left_anti")

@@ -1,0 +1,122 @@
+"""Near-deduplication by the Jaccard similarity of word shingles.
+
+Texts with a similarity of at least the threshold are linked. Candidates come from MinHash: each text has a key for each
+band of its signature, and texts with a key in common are compared by their whole sets of shingles. With 28 bands of six
+values a pair at 0.8 has a key in common with probability 0.9998, one at 0.85 with 0.999999; no pair below the threshold
+is ever linked.
+
+The texts of one key are first compared with the least of them only, which makes one component of a group of near copies
+with as many comparisons as it has members. Only texts that share a key and are then still in different components
+are compared pair by pair.
+
+Defined results: words are runs of other bytes than ASCII white space, with A-Z in lower case; a text of fewer words than a
+shingle is one shingle; null and blank texts are alike; one row stays of each component, whatever ids are null or repeat.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import kernels as K
+from .common import cut, fresh, one_of_each
+from .components import components
+from .decontaminate import _LOWER, _pieces
+
+#: Words in a shingle, least similarity of a link, bands of a signature and values in each.
+SHINGLE, SIMILARITY, BANDS, BAND_WIDTH = 5, 0.8, 28, 6
+_SEEDS = np.random.default_rng(42).integers(0, 1 << 63, (BANDS * BAND_WIDTH, 2)).astype(np.uint64) | K.U(1)
+
+
+def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes of each text's shingles, one text after the other, and how many each has; at least one."""
+    data, offsets = K.joined(texts)
+    data = _LOWER[data]
+    starts, ends, first = K.words(data, offsets)
+    words = K.word_hashes(data, starts, ends)
+    windows = K.window_hashes(words, shingle, K.WORD_BASE)
+    sets = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= shingle:
+            sets.append(np.unique(windows[a : b - shingle + 1]))
+        else:
+            sets.append(K.window_hashes(words[a:b], b - a, K.WORD_BASE) if b > a else np.zeros(1, np.uint64))
+    return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.array([len(s) for s in sets], np.int64)
+
+
+def band_keys(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A key for each text and band, texts x bands."""
+    starts = np.cumsum(n) - n
+    out = np.empty((len(n), BANDS), np.uint64)
+    for band in range(BANDS):
+        key = np.full(len(n), band + 1, np.uint64)
+        for seed, odd in _SEEDS[band * BAND_WIDTH : (band + 1) * BAND_WIDTH]:
+            key = K.mix(key * K.U(K.WORD_BASE) + np.minimum.reduceat((hashes ^ seed) * odd, starts))
+        out[:, band] = key
+    return out
+
+
+def _keys(shingle: int):
+    schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for batch in batches:
+            for piece in _pieces(batch, 1):
+                hashes, n = shingle_sets(piece.column(1), shingle)
+                flat = pa.array(band_keys(hashes, n).view(np.int64).ravel())
+                keys = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * BANDS, flat)
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n.astype(np.int32)), keys], schema=schema)
+
+    return run
+
+
+def _sets(shingle: int):
+    def run(batches):
+        for batch in batches:
+            for piece in _pieces(batch, 1):
+                hashes, n = shingle_sets(piece.column(1), shingle)
+                sets = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([piece.column(0), sets], names=["node", "shingles"])
+
+    return run
+
+
+def jaccard_links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): edges between the nodes of (node, text) whose components are those of all candidates that are similar enough."""
+    keys = cut(texts.select("node", "text").mapInArrow(_keys(shingle), "node long, n int, keys array<long>"), "band-keys")
+    keys = keys.select("node", "n", F.explode("keys").alias("key"))
+    hubs = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    shared = cut(keys.join(hubs, "key"), "shared-keys")
+    wanted = shared.select("node").distinct()
+    sets = cut(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sets(shingle), "node long, shingles array<long>"), "shingles")
+
+    def alike(n, m):  # similar sets have similar sizes
+        return F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+        rows = pairs.join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("x", "y")))
+        return rows.where(F.col("both") >= similarity * (F.size("x") + F.size("y") - F.col("both")) - 1e-9).select("a", "b")
+
+    stars = shared.where((F.col("node") != F.col("hub.node")) & alike(F.col("n"), F.col("hub.n"))).select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
+    stars = cut(stars, "star-pairs")
+    edges = cut(verified(stars), "star-edges")
+    roots = cut(components(edges), "star-roots").withColumnRenamed("node", "named")
+    parts = shared.join(roots, shared["node"] == roots["named"], "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    split = parts.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    parts = cut(parts.join(split, "key", "left_semi"), "split-keys")
+    p, q = parts.alias("p"), parts.alias("q")
+    rest = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.node") > F.col("q.node")) & (F.col("p.root") != F.col("q.root")) & alike(F.col("p.n"), F.col("q.n")))
+    rest = rest.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    return edges.unionByName(cut(verified(rest), "rest-edges"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each component of near copies, with all its columns: the one with the smallest id, null ids last."""
+    node = fresh(docs.columns, "_node")
+    rows = cut(docs.withColumn(node, F.monotonically_increasing_id()), "numbered")
+    texts = rows.select(F.col(node).alias("node"), F.col(text_col).alias("text"))
+    roots = cut(components(jaccard_links(texts, shingle, similarity)), "roots")
+    return one_of_each(rows, roots, node, id_col).select(*docs.columns)

@@ -1,0 +1,72 @@
+import itertools
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+
+import corpus_pipeline
+from litquarry.llm import jaccard
+from litquarry.llm.common import table
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def firsts(rows):
+    """The places of the rows that stay, by comparing all pairs."""
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            old, new = root[i], root[j]
+            root = [new if r == old else r for r in root]
+    groups = {}
+    for i, r in enumerate(root):
+        groups.setdefault(r, []).append(i)
+    return sorted(min(g, key=lambda i: (rows[i][0] is None, rows[i][0] or 0)) for g in groups.values())
+
+
+def test_near_dedup_stage_is_brute_force_jaccard(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = [(r.doc_id, r.text) for r in docs.orderBy("doc_id").collect()]
+    want = {rows[i][0] for i in firsts(rows)}
+    got = [r.doc_id for r in corpus_pipeline.distinct_shingles(spark, docs, "").collect()]
+    assert sorted(got) == sorted(want) and {643, 1, 709} <= want and not {770, 255, 944} & want
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark):
+    rng = random.Random(4)
+    fresh = lambda: [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows, chain = [(None, ""), (90, " \n"), (91, None)], fresh()
+    for k in range(8):  # each is near the next, the ends are far apart
+        rows.append((20 - k, " ".join(chain)))
+        chain = [*chain[12:], *(f"c{k}-{j}" for j in range(12))]
+    for ids in ((5, None), (None, None), (5, 5), (7, 3)):
+        words = fresh()
+        rows += [(ids[0], " ".join(words)), (ids[1], " ".join([*words[:-3], "other"]))]
+    rows += [(i, " ".join(fresh())) for i in (None, None, 5, 3)]
+    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = firsts(rows)
+    sizes = sorted((str(r.doc_id), len((r.text or "").split()) > 0) for r in got)
+    assert sizes == sorted((str(rows[i][0]), len((rows[i][1] or "").split()) > 0) for i in want)
+    alone = {t for _, t in rows[-4:]}
+    assert alone <= {r.text for r in got}
+
+
+def test_pairs_at_the_threshold_share_a_key():
+    rng = np.random.default_rng(8)
+    missed = 0
+    for _ in range(1000):
+        x = np.unique(rng.integers(0, 1 << 63, 180).astype(np.uint64))
+        a, b = x[:-18], x[18:]  # 144 of 180
+        keys = jaccard.band_keys(np.concatenate((a, b)), np.array([len(a), len(b)]))
+        missed += not (keys[0] == keys[1]).any()
+    assert missed <= 3
+
+
+def test_shingles_do_not_depend_on_neighbours():
+    texts = ["A b c d e f", "a  b\nc d E f", "x y", None, " ", "a b c d e"]
+    hashes, n = jaccard.shingle_sets(pa.array(texts))
+    assert n.tolist() == [2, 2, 1, 1, 1, 1] and (hashes[:2] == hashes[2:4]).all() and hashes[5] == hashes[6] and hashes[7] in hashes[:2]
