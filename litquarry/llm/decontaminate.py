@@ -125,6 +125,7 @@ class Items:
     offset: np.ndarray
     sampled: list[np.ndarray]
     most: list[int]
+    bare: bool  # whether an item has no distinctive word or pair
 
 
 def index(rows: list[tuple[int, str]], similarity: float = SIMILARITY) -> Items | None:
@@ -150,7 +151,7 @@ def index(rows: list[tuple[int, str]], similarity: float = SIMILARITY) -> Items
     sieve[(hashes & K.U(_SIEVE - 1)).astype(np.int64)] = True
     n = np.diff(offsets)
     sampled = [_sampled(data, offsets[:-1], n, n, seed) for seed in range(WALKS)]
-    return Items([i for i, _ in rows], lines, sieve, hashes, owner[at], place[at], sampled, [int((1 - similarity) * len(t) + 1e-9) for t in lines])
+    return Items([i for i, _ in rows], lines, sieve, hashes, owner[at], place[at], sampled, [int((1 - similarity) * len(t) + 1e-9) for t in lines], bool(bare.any()))
 
 
 def _sampled(buffer: np.ndarray, base: np.ndarray, n: np.ndarray, limit: np.ndarray, seed: int) -> np.ndarray:
@@ -168,7 +169,7 @@ def search(texts: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
     data, offsets = K.joined(texts)
     data = _LOWER[data]
     starts, ends, first = K.words(data, offsets)
-    hashes, at = _anchors(data, starts, ends, first, everything=bool(min(map(len, items.lines)) < 4 * PAIR_BYTES))
+    hashes, at = _anchors(data, starts, ends, first, everything=items.bare)
     some = np.flatnonzero(items.sieve[(hashes & K.U(_SIEVE - 1)).astype(np.int64)])
     hashes, at = hashes[some], at[some]
     lo, hi = np.searchsorted(items.hashes, hashes), np.searchsorted(items.hashes, hashes, "right")

@@ -170,3 +170,11 @@ def test_pipeline_runs_its_stages(spark, small):
     ids = {r.doc_id for r in packed.select("doc_id").distinct().collect()}
     assert ids == {r.doc_id for r in docs.collect()}
     check_bins(packed.collect(), packing.SIZES)
+
+
+@pytest.mark.parametrize("item", ["the cat sat on the mat and the dog ran to the big red hut by the sea", "3 + 4 * 2 = 11 , 5 - 2 = 3 , 9 / 3 = 3 , 1 + 1 = 2 , 8 - 6 = 2"])
+@pytest.mark.parametrize("others", [[], ["a distinctive companion of considerable extent", "another considerable companion"]])
+def test_decontamination_finds_long_items_of_short_words(item, others):
+    items = decontaminate.index(list(enumerate([item, *others])))
+    texts = ["Something unrelated stands before it. " + item.upper() + " and after", "unrelated " + item[:30] + "x" + item[30:], "nothing of the kind here"]
+    assert {(t, items.ids[i], d) for t, i, d, _ in decontaminate.search(pa.array(texts), items)} == {(0, 0, 0), (1, 0, 1)}
