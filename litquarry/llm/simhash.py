@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import cut, fresh, groups_for, shuffle_partitions
+from .common import cut, fresh, groups_for, one_of_each, shuffle_partitions
 from .components import components
 from .groups import by_bucket, from_bytes
 
@@ -240,12 +240,12 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """The documents without those that another one of their component comes before, with all their columns.
+    """One document of each component, with all its columns: the one with the smallest id, null ids last.
 
-    The document with the component's smallest id stays; of repeated rows with that id, all stay. A document with a null id
-    stays only where its component has no other.
+    Rows are numbered, and decisions are joined back by that number, so that null and repeated ids name no other row.
     """
-    marked = simhash_dedup(docs, id_col, text_col, radius, shingle)
-    name = fresh(docs.columns, "_gone")
-    gone = marked.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone[name]), "left_anti").select(*docs.columns)
+    node = fresh(docs.columns, "_node")
+    rows = cut(docs.withColumn(node, F.monotonically_increasing_id()), "numbered")
+    marked = simhash_dedup(rows, node, text_col, radius, shingle)
+    roots = marked.select(F.col("doc_id").alias("node"), F.col("component_id").alias("root"))
+    return one_of_each(rows, roots, node, id_col).select(*docs.columns)

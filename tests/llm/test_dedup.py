@@ -9,7 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from litquarry.llm import exact_dedup, groups, simhash, substring_dedup, suffix_dedup
+from litquarry.llm import exact_dedup, groups, jaccard, simhash, substring_dedup, suffix_dedup
 from litquarry.llm.components import components
 from litquarry.llm.suffix_array import _by_doubling, permuted_lcp, suffix_array
 
@@ -180,6 +180,16 @@ def test_keep_one(spark, messy, texts):
     assert 1 in ids and 6 not in ids and 3 in ids and 4 not in ids
 
 
+@pytest.mark.parametrize("keep_one", [simhash.keep_one, jaccard.keep_one])
+def test_keep_one_where_ids_are_null_or_repeat(spark, keep_one):
+    rng = random.Random(12)
+    a, b, c, d, e, f = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6))
+    # near copies differ in letters only, so that fingerprints and shingles are equal
+    rows = [(1, a), (None, a.upper()), (None, b), (3, c), (5, c.upper()), (5, d), (9, d.upper()), (None, e), (None, e.upper()), (None, e.title()), (7, f), (7, f)]
+    got = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text.lower()) for r in got) == sorted([("1", a), ("None", b), ("3", c), ("5", d), ("None", e), ("7", f)])
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 140)]
     star = [(7, i) for i in range(200, 260)]
