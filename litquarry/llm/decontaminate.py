@@ -1,7 +1,8 @@
 """Benchmark decontamination by edit distance.
 
-An item and a document that holds it, with edits, share words. Where a pair of neighbouring words, or a long word, of an
-item stands in a document too, it fixes an item-sized window of the document. Item and window are embedded by the CGK random
+An item and a document that holds it, with edits, share words and runs of bytes. Where a pair of neighbouring words, a long
+word, or a run of eight bytes of an item stands in a document too, it fixes an item-sized window of the document. Of the runs
+a quarter is taken, by their hash, wherever they begin, so that texts without spaces have them too. Item and window are embedded by the CGK random
 walk: at each step the walk writes the symbol under it and moves on or stays by a coin that step and symbol decide, so that
 an edit shifts the walk only until it falls back in step, and few edits leave few differing symbols. Repeated samples of a
 few symbols of the embedding are compared; the windows that agree with their item in one repetition are candidates, and an
@@ -36,6 +37,12 @@ WALKS, REPEATS, SYMBOLS = 4, 32, 3
 SLICE_BYTES, WINDOWS, TEXT_BYTES = 16 << 20, 1 << 15, 4 << 20
 #: Bytes that make a pair of words, or a single word, distinctive.
 PAIR_BYTES, WORD_BYTES = 9, 10
+#: Bytes of a run that is an anchor wherever it stands, and leading zero bits that its hash has to be one.
+GRAM_BYTES, GRAM_BITS = 8, 2
+#: Anchors in one neighbourhood that make a window a candidate without a walk.
+ENOUGH = 4
+#: Runs of bytes in one neighbourhood that make a window at all where no word or pair of words does.
+FEW = 3
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _SIEVE = 1 << 22
@@ -60,6 +67,25 @@ def _anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.n
     return np.concatenate((pairs[at_pair], words[at_word])), np.concatenate((at_pair, at_word))
 
 
+def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the sampled runs of bytes of the normalised texts, the text of each and where it begins there."""
+    space = K._SPACE[data]
+    after_space = np.concatenate(([True], space[:-1]))
+    after_space[offsets[:-1][offsets[:-1] < len(data)]] = True
+    keep = ~(space & after_space)
+    line = np.where(space, np.uint8(32), data)[keep]
+    bounds = np.concatenate(([0], np.cumsum(keep)))[offsets]
+    n = len(line) - GRAM_BYTES + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    hashes = K.mix(np.ndarray(n, "<u8", line, 0, (1,)).copy(), 13)
+    at = np.flatnonzero(hashes >> K.U(64 - GRAM_BITS) == 0)
+    text = np.searchsorted(bounds, at, "right") - 1
+    inside = at + GRAM_BYTES <= bounds[text + 1]
+    at, text = at[inside], text[inside]
+    return hashes[at], text, at - bounds[text]
+
+
 def _line_places(starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where each word begins in its text's normalised line."""
     total = np.concatenate(([0], np.cumsum(ends - starts + 1)))
@@ -145,13 +171,15 @@ def index(rows: list[tuple[int, str]], similarity: float = SIMILARITY) -> Items
         every, there = _anchors(data, starts, ends, first, everything=True)
         more = bare[owner[there]]
         hashes, at = np.concatenate((hashes, every[more])), np.concatenate((at, there[more]))
+    grams, holder, begin = _grams(data, offsets)
+    hashes, item, offset = np.concatenate((hashes, grams)), np.concatenate((owner[at], holder)), np.concatenate((place[at], begin))
     order = np.argsort(hashes, kind="stable")
-    hashes, at = hashes[order], at[order]
+    hashes, item, offset = hashes[order], item[order], offset[order]
     sieve = np.zeros(_SIEVE, bool)
     sieve[(hashes & K.U(_SIEVE - 1)).astype(np.int64)] = True
     n = np.diff(offsets)
     sampled = [_sampled(data, offsets[:-1], n, n, seed) for seed in range(WALKS)]
-    return Items([i for i, _ in rows], lines, sieve, hashes, owner[at], place[at], sampled, [int((1 - similarity) * len(t) + 1e-9) for t in lines], bool(bare.any()))
+    return Items([i for i, _ in rows], lines, sieve, hashes, item, offset, sampled, [int((1 - similarity) * len(t) + 1e-9) for t in lines], bool(bare.any()))
 
 
 def _sampled(buffer: np.ndarray, base: np.ndarray, n: np.ndarray, limit: np.ndarray, seed: int) -> np.ndarray:
@@ -172,20 +200,29 @@ def search(texts: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
     hashes, at = _anchors(data, starts, ends, first, everything=items.bare)
     some = np.flatnonzero(items.sieve[(hashes & K.U(_SIEVE - 1)).astype(np.int64)])
     hashes, at = hashes[some], at[some]
+    grams, holder, there = _grams(data, offsets)
+    some = np.flatnonzero(items.sieve[(grams & K.U(_SIEVE - 1)).astype(np.int64)])
+    text = np.concatenate((np.searchsorted(first, at, "right") - 1, holder[some]))
+    place = np.concatenate((_line_places(starts, ends, first)[at], there[some]))
+    worded = np.arange(len(text)) < len(at)
+    hashes = np.concatenate((hashes, grams[some]))
     lo, hi = np.searchsorted(items.hashes, hashes), np.searchsorted(items.hashes, hashes, "right")
     n = hi - lo
     hit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
     if not len(hit):
         return []
-    place = _line_places(starts, ends, first)
-    word = np.repeat(at, n)
-    text = np.searchsorted(first, word, "right") - 1
-    item, begin = items.item[hit], place[word] - items.offset[hit]
+    text, worded = np.repeat(text, n), np.repeat(worded, n)
+    item, begin = items.item[hit], np.repeat(place, n) - items.offset[hit]
     # one window for each text, item and neighbourhood
     order = np.lexsort((begin, item, text))
     text, item, begin = text[order], item[order], begin[order]
     new = np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] // 8 != begin[:-1] // 8)))
+    anchors = np.diff(np.append(np.flatnonzero(new), len(new)))
     text, item, begin = text[new], item[new], begin[new]
+    strong = (anchors >= FEW) | (np.add.reduceat(worded[order].astype(np.int64), np.flatnonzero(new)) > 0)
+    anchors, text, item, begin = anchors[strong], text[strong], item[strong], begin[strong]
+    if not len(text):
+        return []
     raw = data.tobytes()
     wanted, number = np.unique(text, return_inverse=True)
     lines = [b" ".join(raw[offsets[t] : offsets[t + 1]].split()) for t in wanted.tolist()]
@@ -195,7 +232,7 @@ def search(texts: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
     length = np.array([len(x) for x in items.lines])[item]
     begin = np.maximum(begin, 0)
     left = np.maximum(size[number] - begin, 0)
-    near = np.zeros(len(text), bool)
+    near = anchors >= ENOUGH
     for seed in range(WALKS):
         rest = np.flatnonzero(~near)
         got = _sampled(buffer, (line_at[number] + begin)[rest], length[rest], left[rest], seed)

@@ -178,3 +178,25 @@ def test_decontamination_finds_long_items_of_short_words(item, others):
     items = decontaminate.index(list(enumerate([item, *others])))
     texts = ["Something unrelated stands before it. " + item.upper() + " and after", "unrelated " + item[:30] + "x" + item[30:], "nothing of the kind here"]
     assert {(t, items.ids[i], d) for t, i, d, _ in decontaminate.search(pa.array(texts), items)} == {(0, 0, 0), (1, 0, 1)}
+
+
+def test_decontamination_needs_no_spaces():
+    rng = random.Random(7)
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 2000)]
+    unspaced = lambda n: "".join(rng.choice(han) for _ in range(n))
+    bench = [(k, unspaced(60)) for k in range(100)]
+    items = decontaminate.index(bench)
+    for form in (lambda x: unspaced(40) + x + unspaced(40), lambda x: f"({x}), ", lambda x: x[:20] + "\u53e3" + x[21:]):
+        hits = decontaminate.search(pa.array([None, "", *(form(x) for _, x in bench)]), items)
+        assert sorted((t - 2, items.ids[i]) for t, i, *_ in hits) == [(k, k) for k in range(100)]
+
+
+def test_decontamination_at_the_whole_threshold(spark):
+    rng = random.Random(6)
+    bench = [(r.item_id, r.text) for r in table(spark, "/root/testdata/sf0.1", "benchmark").collect() if r.text]
+    items = decontaminate.index(bench)
+    line = dict(zip(items.ids, items.lines))
+    texts = ["some words before it " + edited(t, 0.2, rng) + " and some after" for _, t in bench]
+    within = {k for k, (i, _) in enumerate(bench) if decontaminate.edit_distance_within(line[i], decontaminate.normalised(texts[k].encode()), int(0.2 * len(line[i])))}
+    found = {t for t, i, *_ in decontaminate.search(pa.array(texts), items) if items.ids[i] == bench[t][0]}
+    assert found <= within and len(within - found) <= 0.05 * len(within)
