@@ -833,13 +833,13 @@ def _(spark, d):
 
 @query("singleton_merge")
 def _(spark, d):
-    """One outline of nations as families and the first suppliers as methods."""
-    s = table(spark, d, "supplier").where("s_suppkey < 60")
-    methods = s.groupBy(F.col("s_nationkey").alias("f")).agg(F.array_sort(F.collect_list(F.concat(F.lit("m"), F.col("s_suppkey").cast("string")))).alias("ids"))
+    """Outlines of nations as families and sixty suppliers each as methods."""
+    s = table(spark, d, "supplier").where("s_suppkey is not null").withColumn("o", F.floor(F.col("s_suppkey") / 60))
+    methods = s.groupBy("o", F.col("s_nationkey").alias("f")).agg(F.array_sort(F.collect_list(F.concat(F.lit("m"), F.col("s_suppkey").cast("string")))).alias("ids"))
     family = F.to_json(F.struct(F.concat(F.lit("f"), F.col("f").cast("string")).alias("id"), F.col("ids").alias("method_ids"), F.array(F.lit("f1")).alias("neighbor_family_ids")))
     method = F.to_json(F.struct(F.concat(F.lit("m"), F.col("s_suppkey").cast("string")).alias("id"), F.concat(F.lit("f"), F.col("s_nationkey").cast("string")).alias("family_id"), F.array(F.lit("m1"), F.lit("m2"), F.lit("m3")).alias("neighbor_method_ids")))
-    one = methods.agg(F.array_join(F.array_sort(F.collect_list(family)), ",").alias("f")).join(s.agg(F.array_join(F.array_sort(F.collect_list(method)), ",").alias("m")), F.lit(True))
-    doc = one.select(F.lit("o").alias("outline_id"), F.concat(F.lit('{"families":['), "f", F.lit('],"methods":['), "m", F.lit('],"parts":[]}')).alias("outline"))
+    one = methods.groupBy("o").agg(F.array_join(F.array_sort(F.collect_list(family)), ",").alias("f")).join(s.groupBy("o").agg(F.array_join(F.array_sort(F.collect_list(method)), ",").alias("m")), "o")
+    doc = one.select(F.concat(F.lit("o"), F.col("o").cast("string")).alias("outline_id"), F.concat(F.lit('{"families":['), "f", F.lit('],"methods":['), "m", F.lit('],"parts":[]}')).alias("outline"))
     return outline.merge_all(doc)
 
 
