@@ -1,8 +1,8 @@
 """Connected components of an edge list by alternating large-star and small-star steps.
 
-Each step is a minimum per node and a join; no neighbour list is ever gathered, so a node with very many neighbours is a
-hot key of an equi-join that adaptive execution may split, and its minimum is combined on the map side. Every round's
-edges are written to the shared folder, which cuts the lineage.
+Each step is a minimum per node and a join; no neighbour list is ever gathered. The minimum is combined on the map side and
+written to the shared folder, so that both sides of the join come from plain exchanges: only then does adaptive execution
+split the partition of a node with very many neighbours. Every round's edges are written too, which cuts the lineage.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from .common import cut
 def _minimum(edges: DataFrame) -> DataFrame:
     """(u, v) with the least of u and its neighbours as m, for each directed edge u -> v."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(least, "u")
+    return edges.join(cut(least, "least"), "u")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:

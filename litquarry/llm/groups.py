@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import groups_for, shuffle_partitions, text_volume
+from .kernels import run_starts
 
 #: Bytes of text in a group. A group's working arrays take about forty times as much.
 GROUP_BYTES = 4 << 20
@@ -42,10 +43,18 @@ def in_order(group: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return group.take(pa.array(order)), ids[order]
 
 
-def by_bucket(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """A stable order of entries by bucket, and where each bucket begins in it."""
-    order = np.argsort(bucket.astype(np.uint16 if n <= 1 << 16 else np.uint32), kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(n + 1))
+def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """A stable order of entries by bucket, and (bucket, begin, end) in it for each bucket that has entries.
+
+    The work depends on the entries alone, however many buckets there are.
+    """
+    if not len(bucket):
+        return np.zeros(0, np.int64), []
+    most = int(bucket.max())
+    order = np.argsort(bucket.astype(np.uint16 if most < 1 << 16 else np.uint32), kind="stable")
+    ordered = bucket[order]
+    starts = run_starts(ordered)
+    return order, list(zip(ordered[starts].tolist(), starts.tolist(), np.append(starts[1:], len(ordered)).tolist(), strict=True))
 
 
 def lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,16 +1,19 @@
 """Array kernels over the bytes of a group of texts: words, rolling hashes, minimisers.
 
-All of them work on slices of bounded length, so a very long text needs no more working memory than many short ones.
+Hashes are made on slices of bounded length. What is kept for each word or position of a group is stated where it is kept.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U = np.uint64
-#: Positions that are hashed at a time.
-SLICE = 1 << 19
+#: Positions that are hashed at a time, so few that a core's cache holds them, and bytes of words that are hashed one by one.
+SLICE, LONG_WORD = 1 << 16, 64
+#: Masks of the low bytes, by their number.
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Odd bases of the rolling hashes (modulo 2**64), so that each power has an inverse.
@@ -22,7 +25,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n, kept for the next call."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        n = max(n, 2 * SLICE)
+        n = max(n, 1 << 20)
         have = tuple(np.multiply.accumulate(np.concatenate(([U(1)], np.full(n - 1, U(b))))) for b in (base, pow(base, -1, 1 << 64)))
         _powers[base] = have
     return have[0][:n], have[1][:n]
@@ -78,16 +81,36 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A scrambled 64-bit hash of each word."""
-    out = np.empty(len(starts), U)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE, "right")))
-        lo = starts[i]
-        part = data[lo : ends[j - 1]].astype(U) + U(1)
-        out[i:j] = mix(rolling(part, BYTE_BASE, starts[i:j] - lo, ends[i:j] - lo) + (ends[i:j] - starts[i:j]).astype(U))
-        i = j
+def packed(data: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """The eight bytes from each place lo <= i < hi as one number; past the end of the data they are zero."""
+    part = np.zeros(hi - lo + 7, np.uint8)
+    have = data[lo : hi + 7]
+    part[: len(have)] = have
+    return np.ndarray((hi - lo,), "<u8", part, strides=(1,)).copy()
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word and the seed.
+
+    Words of up to 64 bytes are scrambled eight bytes at a time, longer ones go through XXH64, so no hash is a sum of what
+    single bytes add: words do not collide by their structure.
+    """
+    size = ends - starts
+    out = mix(size.astype(U), seed + 17)
+    short = np.flatnonzero(size <= LONG_WORD)
+    k = 0
+    while len(short):
+        for i in range(0, len(short), SLICE):
+            some = short[i : i + SLICE]
+            at = starts[some] + k
+            lo, hi = int(at.min()), int(at.max()) + 1
+            eight = packed(data, lo, hi)[at - lo] if hi - lo <= 64 * len(some) + 64 else np.array([int.from_bytes(data[x : x + 8].tobytes(), "little") for x in at.tolist()], U)
+            eight &= _LOW[np.minimum(size[some] - k, 8)]
+            out[some] = mix(out[some] ^ eight, seed)
+        k += 8
+        short = short[size[short] > k]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
     return out
 
 
@@ -128,6 +151,18 @@ def run_starts(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
 
 
+def classes(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order by the first value in which equal pairs stand together, and where each class of equal pairs begins."""
+    order = np.argsort(first, kind="stable")
+    a, b = first[order], second[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        order = np.lexsort((second, first))
+        a, b = first[order], second[order]
+    if not len(a):
+        return order, np.zeros(0, np.int64)
+    return order, np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+
+
 def covered(hits: np.ndarray, width: int) -> np.ndarray:
     """Which positions lie in a run of ``width`` positions that begins at a hit; no run passes the end."""
     step = np.zeros(len(hits) + 1, np.int32)

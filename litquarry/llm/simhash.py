@@ -33,13 +33,13 @@ from .groups import by_bucket, from_bytes
 
 #: Words in a shingle, seed of their hash, most differing bits of a link.
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: Fingerprints in a group, variants in a bucket, bits of the mean gap between a group's values in a bucket at least, and
+#: Variants of a group, variants in a bucket, bits of the mean gap between a group's values in a bucket at least, and
 #: bits that values have beyond those that number all variants.
-GROUP, BUCKET, GAP_BITS, SPARE_BITS = 4096, 4 << 20, 12, 6
+GROUP, BUCKET, GAP_BITS, SPARE_BITS = 8 << 20, 4 << 20, 12, 6
 _LANES = K.U(0x0101010101010101)
 
 
-def _majority(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
+def majority(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
     """For documents with n hashes each, one after the other: the bits that over half of a document's hashes have."""
     out = np.zeros(len(n), np.uint64)
     full = np.flatnonzero(n)
@@ -72,7 +72,7 @@ def fingerprints(texts: pa.Array, shingle: int = SHINGLE, seed: int = SEED) -> n
         starts = [0, *(ends[: len(words) - k] + 1).tolist()]
         hashes.append(np.fromiter((digest(line[x:y], seed) for x, y in zip(starts, ends[k - 1 :].tolist(), strict=True)), np.uint64, len(starts)))
         n[i] = len(starts)
-    return _majority(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), n)
+    return majority(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), n)
 
 
 def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -87,11 +87,11 @@ def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
-def masks(half: int) -> np.ndarray:
-    """All values of at most ``half`` set bits."""
+def masks(half: int, width: int = 64) -> np.ndarray:
+    """All values of at most ``half`` set bits among the lowest ``width``."""
     level, out = [(0, 0)], [0]
     for _ in range(half):
-        level = [(m | 1 << b, b + 1) for m, lo in level for b in range(lo, 64)]
+        level = [(m | 1 << b, b + 1) for m, lo in level for b in range(lo, width)]
         out += [m for m, _ in level]
     return np.array(out, np.uint64)
 
@@ -99,12 +99,13 @@ def masks(half: int) -> np.ndarray:
 class _Layout:
     """How the scrambled variants of all groups are cut into buckets and values."""
 
-    def __init__(self, n: int, radius: int, least: int):
+    def __init__(self, n: int, radius: int, least: int, width: int = 64):
         if radius % 2:
             raise ValueError("radius must be even: variants meet half way")
-        self.masks = masks(radius // 2)
-        self.groups = groups_for(n, GROUP)
-        each, total = (max(1, k) * len(self.masks) for k in (min(n, GROUP), n))
+        self.masks = masks(radius // 2, width)
+        group = max(1, GROUP // len(self.masks))
+        self.groups = groups_for(n, group)
+        each, total = (max(1, k) * len(self.masks) for k in (min(n, group), n))
         self.bucket_bits = max(4, (max(least, groups_for(total, BUCKET)) - 1).bit_length())
         bits = max(each.bit_length() - 1 + GAP_BITS, total.bit_length() + SPARE_BITS)
         self.value_bits = max(8, min(64, bits) - self.bucket_bits)
@@ -123,10 +124,11 @@ def _say(x: _Layout):
 
     def say(key, group):
         places = np.sort(x.places(_unsigned(group.column("fp"))))
-        bounds = np.searchsorted(places, np.arange((1 << x.bucket_bits) + 1, dtype=np.uint64) << K.U(x.value_bits))
+        bucket = places >> K.U(x.value_bits)
+        starts = K.run_starts(bucket)
         rows = []
-        for b in np.flatnonzero(np.diff(bounds)).tolist():
-            mine = places[bounds[b] : bounds[b + 1]]
+        for b, lo, hi in zip(bucket[starts].tolist(), starts.tolist(), np.append(starts[1:], len(places)).tolist(), strict=True):
+            mine = places[lo:hi]
             gaps = np.diff(mine)
             width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
             low = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
@@ -149,10 +151,9 @@ def _answer(key, said):
     equal = places[1:] == places[:-1]
     twice = np.concatenate((equal, [False])) | np.concatenate(([False], equal))
     places, sender = places[twice], sender[twice]
-    n = len(said)
-    order, bounds = by_bucket(sender, n)
+    order, bounds = by_bucket(sender)
     grps = said.column("grp").to_pylist()
-    rows = [{"grp": grps[i], "places": np.unique(places[order[bounds[i] : bounds[i + 1]]]).tobytes()} for i in range(n) if bounds[i + 1] > bounds[i]]
+    rows = [{"grp": grps[i], "places": np.unique(places[order[lo:hi]]).tobytes()} for i, lo, hi in bounds]
     return pa.Table.from_pylist(rows, schema=pa.schema([("grp", pa.int32()), ("places", pa.binary())]))
 
 
@@ -171,10 +172,10 @@ def _meet(x: _Layout):
         at = np.flatnonzero(sieve[(places & K.U((1 << 22) - 1)).astype(np.int64)])
         at = at[wanted[np.minimum(np.searchsorted(wanted, places[at]), len(wanted) - 1)] == places[at]]
         fp, variant = fps[at // len(x.masks)], fps[at // len(x.masks)] ^ x.masks[at % len(x.masks)]
-        order, bounds = by_bucket((places[at] >> K.U(x.value_bits)).astype(np.int64), 1 << x.bucket_bits)
+        order, bounds = by_bucket((places[at] >> K.U(x.value_bits)).astype(np.int64))
         rows = []
-        for b in np.flatnonzero(np.diff(bounds)).tolist():
-            mine = order[bounds[b] : bounds[b + 1]]
+        for b, lo, hi in bounds:
+            mine = order[lo:hi]
             rows.append({"bucket": b, "variants": variant[mine].tobytes(), "fps": fp[mine].tobytes()})
         return pa.Table.from_pylist(rows, schema=_MEETINGS)
 
@@ -217,10 +218,13 @@ def _link(radius: int):
     return link
 
 
-def links(distinct: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
-    """(a, b): edges between the n distinct fingerprints ``fp`` whose components are those of all links of at most ``radius`` bits."""
+def links(distinct: DataFrame, n: int, radius: int = RADIUS, width: int = 64) -> DataFrame:
+    """(a, b): edges between the n distinct fingerprints ``fp`` whose components are those of all links of at most ``radius`` bits.
+
+    Fingerprints are linked only if all bits above the lowest ``width`` are equal.
+    """
     least = shuffle_partitions(distinct.sparkSession)
-    x = _Layout(n, radius, least)
+    x = _Layout(n, radius, least, width)
     groups = distinct.select("fp", F.pmod(F.xxhash64("fp"), F.lit(x.groups)).cast("int").alias("grp")).repartition(max(least, groups_for(x.groups, 16)), "grp").groupBy("grp")
     said = groups.applyInArrow(_say(x), "bucket int, grp int, first binary, width int, gaps binary")
     answers = said.groupBy("bucket").applyInArrow(_answer, "grp int, places binary")

@@ -5,9 +5,13 @@ sends hash and document to the hash's bucket. A bucket sorts what it gets and an
 a smaller document somewhere starts the same window. The group then marks the windows, merges the marked ones into maximal
 intervals of words and cuts them out. Two rounds of small binary rows are shuffled besides the texts, which move once.
 
-A bucket is chosen by a second, independent hash, so two windows are taken for equal only if 64 bits and the bucket agree.
+Words are hashed twice, independently and without structure, and a window has a Rabin-Karp hash over each. Within a group two
+windows are equal if both hashes agree, 128 bits. Between groups the first hash travels with 16 bits of the second, which also
+chooses the bucket, so that 80 bits and the bucket's number decide: at 100 TB, some 10**13 windows in millions of buckets,
+fewer than one unequal pair in ten thousand such corpora agrees.
 
-Defined results: a null text has no words; a document with fewer words than a window loses none; repeated rows with one
+Defined results: a null text has no words; a document with fewer words than a window loses none; a very long text is one row
+of its group, whose arrays take about sixty bytes a word; repeated rows with one
 id are not smaller than each other, so they lose nothing to each other; a null id counts as larger than all others; an
 empty table gives an empty result; columns other than the id and the text are not read.
 """
@@ -36,22 +40,18 @@ class _Windows:
         self.data, offsets = K.joined(self.rows.column("text"))
         self.offsets = offsets
         self.starts, self.ends, self.first = K.words(self.data, offsets)
-        hashed = K.word_hashes(self.data, self.starts, self.ends)
-        every = K.window_hashes(hashed, width, K.WORD_BASE)
         doc = np.repeat(np.arange(len(self.ids)), np.diff(self.first))
         self.doc = doc
-        whole = self.first[doc[: len(every)] + 1] - np.arange(len(every)) >= width
-        self.at = np.flatnonzero(whole)
-        hashes = every[self.at]
-        order = np.argsort(hashes, kind="stable")
-        runs = K.run_starts(hashes[order])
-        where = order[runs]  # the first window of each distinct hash: rows go by id, so its document is the smallest
-        other = K.window_hashes(hashed, width, K.OTHER_BASE)[self.at[where]]
-        sent, self.bounds = by_bucket((other % K.U(buckets)).astype(np.int64), buckets)
-        # within a bucket by place, so that equal documents stand together
-        bucket = np.repeat(np.arange(buckets), np.diff(self.bounds))
-        sent = sent[np.lexsort((where[sent], bucket))]
-        self.hashes, self.least = hashes[where[sent]], self.ids[doc[self.at[where[sent]]]]
+        n = max(0, len(self.starts) - width + 1)
+        self.at = np.flatnonzero(self.first[doc[:n] + 1] - np.arange(n) >= width)
+        hashes, other = (K.window_hashes(K.word_hashes(self.data, self.starts, self.ends, seed), width, base)[self.at] for seed, base in ((0, K.WORD_BASE), (1, K.OTHER_BASE)))
+        order, runs = K.classes(hashes, other)
+        where = order[runs]  # the first window of each class: rows go by id, so its document is the smallest
+        bucket = (other[where] % K.U(buckets)).astype(np.int64)
+        sent = np.lexsort((where, bucket))  # within a bucket by place, so that equal documents stand together
+        _, self.bounds = by_bucket(bucket[sent])
+        first = where[sent]
+        self.hashes, self.check, self.least = hashes[first], (other[first] >> K.U(48)).astype(np.uint16), self.ids[doc[self.at[first]]]
         entry = np.empty(len(where), np.int64)
         entry[sent] = np.arange(len(sent))
         self.entry = np.empty(len(hashes), np.int64)
@@ -62,17 +62,15 @@ def _say(width: int, buckets: int):
     def say(key, group):
         w = _Windows(group, width, buckets)
         rows = []
-        for b in range(buckets):
-            lo, hi = w.bounds[b], w.bounds[b + 1]
-            if hi > lo:
-                docs, times = lengths(w.least[lo:hi])
-                rows.append((b, key[0].as_py(), w.hashes[lo:hi].tobytes(), docs.tobytes(), times.tobytes()))
+        for b, lo, hi in w.bounds:
+            docs, times = lengths(w.least[lo:hi])
+            rows.append((b, key[0].as_py(), w.hashes[lo:hi].tobytes(), w.check[lo:hi].tobytes(), docs.tobytes(), times.tobytes()))
         return pa.Table.from_pylist([dict(zip(_SAID.names, r, strict=True)) for r in rows], schema=_SAID)
 
     return say
 
 
-_SAID = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("times", pa.binary())])
+_SAID = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("hashes", pa.binary()), ("checks", pa.binary()), ("docs", pa.binary()), ("times", pa.binary())])
 _ANSWER = pa.schema([("grp", pa.int32()), ("bucket", pa.int32()), ("smaller", pa.binary())])
 
 
@@ -80,8 +78,7 @@ def _answer(key, said):
     hashes = from_bytes(said.column("hashes"), np.uint64)
     docs = np.concatenate([np.repeat(d, t) for d, t in zip(from_bytes(said.column("docs"), np.int64), from_bytes(said.column("times"), np.uint32), strict=True)])
     every = np.concatenate(hashes)
-    order = np.argsort(every)
-    runs = K.run_starts(every[order])
+    order, runs = K.classes(every, np.concatenate(from_bytes(said.column("checks"), np.uint16)))
     least = np.minimum.reduceat(docs[order], runs)
     smaller = np.empty(len(every), bool)
     smaller[order] = np.repeat(least, np.diff(np.append(runs, len(every)))) < docs[order]
@@ -103,8 +100,9 @@ def _cut(width: int, buckets: int, with_text: bool):
             return schema.empty_table()
         w = _Windows(group, width, buckets)
         smaller = np.zeros(len(w.hashes), bool)
+        places = {b: (lo, hi) for b, lo, hi in w.bounds}
         for b, bits in zip(answers.column("bucket").to_pylist(), answers.column("smaller"), strict=True):
-            lo, hi = w.bounds[b], w.bounds[b + 1]
+            lo, hi = places[b]
             smaller[lo:hi] = np.unpackbits(np.frombuffer(bits.as_py(), np.uint8))[: hi - lo]
         goes = smaller[w.entry] | (w.least[w.entry] < w.ids[w.doc[w.at]])
         hits = np.zeros(len(w.starts), bool)
@@ -132,7 +130,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: doc_id, n_words, n_removed, kept_sha256, removed (intervals of words), and kept (the text)."""
     rows, volume = grouped(docs, id_col, text_col)
     buckets = max(shuffle_partitions(docs.sparkSession), groups_for(volume, BUCKET_BYTES))
-    said = rows.groupBy("grp").applyInArrow(_say(width, buckets), "bucket int, grp int, hashes binary, docs binary, times binary")
+    said = rows.groupBy("grp").applyInArrow(_say(width, buckets), "bucket int, grp int, hashes binary, checks binary, docs binary, times binary")
     answers = said.groupBy("bucket").applyInArrow(_answer, "grp int, bucket int, smaller binary")
     kept = ", kept string" if with_text else ""
     schema = f"doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:int,end:int>>{kept}"

@@ -4,14 +4,16 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from litquarry.llm import exact_dedup, groups, jaccard, simhash, substring_dedup, suffix_dedup
+from litquarry.llm import exact_dedup, groups, simhash, simhash_similar, substring_dedup, suffix_dedup
+from litquarry.llm import kernels as K
 from litquarry.llm.components import components
-from litquarry.llm.suffix_array import _by_doubling, permuted_lcp, suffix_array
+from litquarry.llm.suffix_array import permuted_lcp, suffix_array
 
 LAST = (1 << 63) - 1
 SPACE = r"[\x20\x09-\x0D]+"
@@ -87,13 +89,65 @@ def test_suffix_array_and_common_prefixes(symbols):
     want = sorted(range(len(symbols)), key=lambda i: symbols[i:])
     sa = suffix_array(t, 4)
     assert sa.tolist() == want
-    assert _by_doubling(t.astype(np.int64)).tolist() == want
     plcp = permuted_lcp(t, sa)
     for a, b in zip(want, want[1:]):
         same = next((k for k, (x, y) in enumerate(zip(symbols[a:], symbols[b:])) if x != y), min(len(symbols) - a, len(symbols) - b))
         assert plcp[b] == same
 
 
+@given(st.integers(0, 10**9), st.sampled_from([2, 4, 30, 256]), st.sampled_from([None, 1, 7, 900]))
+@settings(max_examples=12, deadline=None)
+def test_suffix_array_recurses_over_many_names(seed, sigma, period):
+    """Long strings, most of them with over 4,096 names, some of them repeating themselves."""
+    rng = np.random.default_rng(seed)
+    t = rng.integers(0, sigma, 60_000).astype(np.uint8)
+    if period:
+        t[20_000:40_000] = np.resize(t[:period], 20_000)
+    sa, b = suffix_array(t, 256), t.tobytes()
+    assert np.array_equal(np.sort(sa), np.arange(len(t)))
+    rank = np.empty(len(t) + 1, np.int64)
+    rank[sa], rank[len(t)] = np.arange(len(t)), -1
+    # neighbours are in order if their first symbols are, and their rests are
+    x, y = sa[:-1], sa[1:]
+    assert ((t[x] < t[y]) | (t[x] == t[y]) & (rank[x + 1] < rank[y + 1])).all(), b[:20]
+
+
+def thue_morse(n, a, b):
+    return "".join(a if k.bit_count() % 2 else b for k in range(n))
+
+
+def test_words_and_segments_that_weak_hashes_confuse(spark):
+    """Polynomial hashes modulo powers of two cannot tell these two strings of 1,024 and 2,048 symbols apart."""
+    rest = [f"w{k}" for k in range(49)]
+    one, two = (" ".join([*rest, thue_morse(2048, *x)]) for x in ("ab", "ba"))
+    rows = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(rows).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}
+    rows = spark.createDataFrame([(1, thue_morse(1024, "a", "b")), (2, thue_morse(1024, "b", "a"))], "doc_id long, text string")
+    x, y = (thue_morse(1024, *p) for p in ("ab", "ba"))
+    gone = [x[i : i + 50] in y for i in range(975)]
+    want = sum(any(gone[max(0, i - 49) : i + 1]) for i in range(1024))
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.suffix_dedup(rows).collect()}
+    assert got == {1: 0, 2: want}
+
+
+def test_segments_with_equal_hashes_are_told_apart(spark, monkeypatch, messy):
+    """With a hash that cannot tell anything apart at first, the groups take another seed and the result is the same."""
+    want = sorted(map(str, suffix_dedup.suffix_dedup(messy).collect()))
+    group = pa.table({"grp": [0, 0], "doc_id": [1, 2], "text": ["a" * 30 + "b" * 40, "c" * 30 + "d" * 40]})
+    rolling, calls = K.rolling, []
+
+    def weak(values, base, starts, ends, width=0):
+        calls.append(1)
+        return np.zeros(len(starts), np.uint64) if len(calls) == 1 else rolling(values, base, starts, ends, width)
+
+    monkeypatch.setattr(K, "rolling", weak)
+    content, first, _ = suffix_dedup._Segments(group, 50).contents()
+    assert len(calls) > 1 and len(first) == len(set(content.tolist())) > 1
+    monkeypatch.undo()
+    assert sorted(map(str, suffix_dedup.suffix_dedup(messy).collect())) == want
+
+
 def test_exact_dedup_is_brute_force(spark, messy, texts):
     norm = [(i, re.sub(SPACE, " ", t or "")) for i, t in texts]
     want = []
@@ -137,7 +191,7 @@ def test_simhash_fingerprints_and_components(spark, messy, texts):
     assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == sorted(want)
 
 
-@pytest.mark.parametrize("group", [64, 4096])
+@pytest.mark.parametrize("group", [64 * 2081, 8 << 20])
 def test_ball_hashing_finds_every_link(spark, monkeypatch, group):
     monkeypatch.setattr(simhash, "GROUP", group)
     rng = random.Random(11)
@@ -180,7 +234,7 @@ def test_keep_one(spark, messy, texts):
     assert 1 in ids and 6 not in ids and 3 in ids and 4 not in ids
 
 
-@pytest.mark.parametrize("keep_one", [simhash.keep_one, jaccard.keep_one])
+@pytest.mark.parametrize("keep_one", [simhash.keep_one, simhash_similar.keep_one])
 def test_keep_one_where_ids_are_null_or_repeat(spark, keep_one):
     rng = random.Random(12)
     a, b, c, d, e, f = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6))
@@ -197,6 +251,6 @@ def test_components_of_a_path_and_a_star(spark):
     assert all(got[i] == 100 for i in range(100, 141)) and all(got[i] == 7 for i in range(200, 260)) and got[7] == 7 and 5 not in got
 
 
-@pytest.mark.parametrize("run", [substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, exact_dedup.exact_dedup, exact_dedup.keep_first, simhash.simhash_dedup, simhash.keep_one])
+@pytest.mark.parametrize("run", [substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, exact_dedup.exact_dedup, exact_dedup.keep_first, simhash.simhash_dedup, simhash.keep_one, simhash_similar.keep_one])
 def test_empty_table(nothing, run):
     assert run(nothing).collect() == []

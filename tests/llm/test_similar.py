@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
-from litquarry.llm import jaccard
+from litquarry.llm import simhash_similar
 from litquarry.llm.common import table
 
 
@@ -47,7 +47,7 @@ def test_near_dedup_keeps_one_row_of_each_component(spark):
         words = fresh()
         rows += [(ids[0], " ".join(words)), (ids[1], " ".join([*words[:-3], "other"]))]
     rows += [(i, " ".join(fresh())) for i in (None, None, 5, 3)]
-    got = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = simhash_similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = firsts(rows)
     sizes = sorted((str(r.doc_id), len((r.text or "").split()) > 0) for r in got)
     assert sizes == sorted((str(rows[i][0]), len((rows[i][1] or "").split()) > 0) for i in want)
@@ -55,18 +55,24 @@ def test_near_dedup_keeps_one_row_of_each_component(spark):
     assert alone <= {r.text for r in got}
 
 
-def test_pairs_at_the_threshold_share_a_key():
+def test_pairs_at_the_threshold_collide():
+    """Of pairs at similarity 0.8 at least 96 % have a fingerprint within the radius, and their sketches pass."""
     rng = np.random.default_rng(8)
-    missed = 0
-    for _ in range(1000):
+    tables, bits = simhash_similar.plan(1000)
+    missed = failed = 0
+    for _ in range(500):
         x = np.unique(rng.integers(0, 1 << 63, 180).astype(np.uint64))
-        a, b = x[:-18], x[18:]  # 144 of 180
-        keys = jaccard.band_keys(np.concatenate((a, b)), np.array([len(a), len(b)]))
-        missed += not (keys[0] == keys[1]).any()
-    assert missed <= 3
+        sets, n = np.concatenate((x[:-18], x[18:])), np.array([len(x) - 18, len(x) - 18])  # 144 of 180
+        one, other = simhash_similar.short_fingerprints(sets, n, tables, bits)
+        assert (one >> np.uint64(bits) == np.arange(tables)).all()
+        missed += np.bitwise_count(one ^ other).min() > simhash_similar.RADIUS
+        one, other = simhash_similar.lanes(sets, n, 1000, simhash_similar.SKETCH)
+        p = simhash_similar.bit_differs(0.8)
+        failed += np.bitwise_count(one ^ other).sum() > 512 * (p + 3.5 * (p * (1 - p) / 512) ** 0.5)
+    assert missed <= 20 and failed <= 3
 
 
 def test_shingles_do_not_depend_on_neighbours():
     texts = ["A b c d e f", "a  b\nc d E f", "x y", None, " ", "a b c d e"]
-    hashes, n = jaccard.shingle_sets(pa.array(texts))
+    hashes, n = simhash_similar.shingle_sets(pa.array(texts))
     assert n.tolist() == [2, 2, 1, 1, 1, 1] and (hashes[:2] == hashes[2:4]).all() and hashes[5] == hashes[6] and hashes[7] in hashes[:2]
