@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages, each of which works on all that the one before it kept.
 
 Language ID drops documents without an identifiable language, exact dedup keeps one of equal texts, near-deduplication keeps one of
-each group of texts whose five-word shingles have a Jaccard similarity of at least 0.8, decontamination drops documents that hold a benchmark item, and best-fit packing lays out what is left.
+each group of texts that SimHash fingerprints of five-word shingles bring together and whose sets of shingles have a
+similarity of at least 0.8, decontamination drops documents that hold a benchmark item, and best-fit packing lays out what is left.
 All but the last return the columns of documents.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from litquarry.llm import decontaminate, exact_dedup, jaccard, language_id, packing
+from litquarry.llm import decontaminate, exact_dedup, language_id, packing, simhash_similar
 from litquarry.llm.common import fresh_path, table
 
 
@@ -22,7 +23,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_shingles(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_one(docs)
+    return simhash_similar.keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
