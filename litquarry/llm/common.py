@@ -15,10 +15,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
     A path without a scheme is one of Spark's default file system, and is written out as such, since other libraries would
-    take it for a local one. Only where the session names none (as in tests) a temporary folder of this machine is set.
+    take it for a local one. Where the session names none, a temporary folder of this machine is set, but only if the master
+    runs everything in this one process (as in tests); a cluster's machines would not share it, so there it is an error.
     """
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
         there = "file://" + tempfile.mkdtemp(prefix="litquarry-")
         spark.conf.set("spark.checkpoint.dir", there)
     path = spark._jvm.org.apache.hadoop.fs.Path(there)
@@ -45,6 +49,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def place_of(df: DataFrame, column: str) -> int:
+    """The place of a column whose name may be given in other case, as Spark takes names."""
+    names = df.columns
+    return names.index(column) if column in names else [c.lower() for c in names].index(column.lower())
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

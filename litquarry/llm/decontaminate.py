@@ -5,16 +5,20 @@ word, or a run of eight bytes of an item stands in a document too, it fixes an i
 a quarter is taken, by their hash, wherever they begin, so that texts without spaces have them too. Item and window are embedded by the CGK random
 walk: at each step the walk writes the symbol under it and moves on or stays by a coin that step and symbol decide, so that
 an edit shifts the walk only until it falls back in step, and few edits leave few differing symbols. Repeated samples of a
-few symbols of the embedding are compared; the windows that agree with their item in one repetition are candidates, and an
-exact edit distance of the item to the surrounding text decides.
+few symbols of the embedding are compared; the windows that agree with their item in one repetition are candidates. Each edit
+spoils at most three runs of three bytes, so a candidate with fewer runs of the item than that leaves is
+dropped without loss, and an exact edit distance of the item to the surrounding text decides on the rest.
 
-Items are sent to the tasks in slices of a checked size; documents are read once per slice, in place, and never shuffled.
+Items are sent to the tasks in slices of a checked size; documents are read once per slice, in place, and never shuffled. A
+task looks at no more than ``HITS`` pairs of anchors at a time, by texts and, within a text, by items, however common an anchor is.
 
 Texts are compared with A-Z in lower case and every run of ASCII white space as one space, by their UTF-8 bytes. An item is found
 if its edit distance to some part of the document is at most (1 - similarity) of its length.
 
 Defined results: null or blank items match nothing; a null or blank document holds nothing; repeated items are reported each
-by their own id; the result lists each document row and item once; an empty table on either side gives an empty result.
+by their own id; the result lists each document row and item once, where it is nearest, of equally near places one; a very long
+text is searched whole; columns other than the id and the text are not read, whatever their names; an empty table on either
+side gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,25 +31,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import groups_for
+from .common import groups_for, place_of
 
 SIMILARITY = 0.8
 #: Independent walks, repetitions in each, symbols in a repetition: with these a pair whose embeddings differ in 60 % of
-#: their symbols is found with probability 0.9998, one that differs in 75 % with 0.87.
-WALKS, REPEATS, SYMBOLS = 4, 32, 3
+#: their symbols is found with probability 0.96, one that differs in 75 % with 0.39.
+WALKS, REPEATS, SYMBOLS = 4, 32, 4
 #: Bytes of items in a slice, windows that walk at a time, and bytes of text that are searched at a time.
-SLICE_BYTES, WINDOWS, TEXT_BYTES = 16 << 20, 1 << 15, 4 << 20
+SLICE_BYTES, WINDOWS, TEXT_BYTES = 4 << 20, 1 << 15, 4 << 20
 #: Bytes that make a pair of words, or a single word, distinctive.
 PAIR_BYTES, WORD_BYTES = 9, 10
-#: Bytes of a run that is an anchor wherever it stands, and leading zero bits that its hash has to be one.
-GRAM_BYTES, GRAM_BITS = 8, 2
+#: Bytes of a run that is an anchor wherever it stands; of an item of LONG_ITEM bytes or more, one run in GRAM_SHARE is taken.
+GRAM_BYTES, GRAM_SHARE, LONG_ITEM = 8, 4, 100
 #: Anchors in one neighbourhood that make a window a candidate without a walk.
 ENOUGH = 4
-#: Runs of bytes in one neighbourhood that make a window at all where no word or pair of words does.
-FEW = 3
+#: Runs of bytes in one neighbourhood that make a window at all where no word or pair of words does: the most, the fewest, and the
+#: bytes of an item for each.
+MOST_RUNS, LEAST_RUNS, RUN_EACH = 3, 1, 40
+#: Pairs of an anchor in a text and in an item that are held at a time.
+HITS = 1 << 21
+#: Bytes of the runs that are counted before an edit distance is computed.
+RUN_BYTES = 3
+#: Pairs whose edit distances are computed at once.
+PAIRS = 512
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_SIEVE = 1 << 22
+_SIEVE, _SIEVE_SHIFT = 1 << 22, K.U(64 - 22)
 
 
 def normalised(raw: bytes) -> bytes:
@@ -67,8 +78,8 @@ def _anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.n
     return np.concatenate((pairs[at_pair], words[at_word])), np.concatenate((at_pair, at_word))
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the sampled runs of bytes of the normalised texts, the text of each and where it begins there."""
+def _grams(data: np.ndarray, offsets: np.ndarray, take) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of those runs of bytes of the normalised texts whose first hash ``take`` chooses, the text of each and where it begins there."""
     space = K._SPACE[data]
     after_space = np.concatenate(([True], space[:-1]))
     after_space[offsets[:-1][offsets[:-1] < len(data)]] = True
@@ -78,12 +89,15 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n = len(line) - GRAM_BYTES + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    hashes = K.mix(np.ndarray(n, "<u8", line, 0, (1,)).copy(), 13)
-    at = np.flatnonzero(hashes >> K.U(64 - GRAM_BITS) == 0)
+    parts = []
+    for lo in range(0, n, K.SLICE):
+        part = np.ndarray(min(n - lo, K.SLICE), "<u8", line, lo, (1,)) * K.U(K.BYTE_BASE)
+        parts.append(lo + np.flatnonzero(take(part)))
+    at = np.concatenate(parts)
     text = np.searchsorted(bounds, at, "right") - 1
     inside = at + GRAM_BYTES <= bounds[text + 1]
     at, text = at[inside], text[inside]
-    return hashes[at], text, at - bounds[text]
+    return np.ndarray(n, "<u8", line, 0, (1,))[at] * K.U(K.BYTE_BASE), text, at - bounds[text]
 
 
 def _line_places(starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -139,6 +153,53 @@ def edit_distance_within(item: bytes, text: bytes, most: int) -> tuple[int, int]
     return (best, where) if best <= most else None
 
 
+def edit_distances(lines: list[bytes], item: np.ndarray, buffer: np.ndarray, base: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For many pairs of lines[item] and buffer[base : base + n] at once: the least edit distance of the line to a part of the
+    string, and where the first such part ends.
+
+    Columns of the table are bits in words of 64, one bit where the column rises and one where it falls; all pairs move on by
+    one symbol of their strings at a time, and from word to word a column hands on how its lowest entry changed.
+    """
+    out, where = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
+    length = np.array([len(x) for x in lines], np.int64)
+    one, sixty_three = K.U(1), K.U(63)
+    by = np.argsort(length[item], kind="stable")
+    for lo in range(0, len(by), PAIRS):
+        mine = by[lo : lo + PAIRS]
+        kinds, own = np.unique(item[mine], return_inverse=True)
+        m, size = length[item[mine]], n[mine]
+        words = int(-(-m.max() // 64))
+        equal = np.zeros((words, len(kinds) * 257), np.uint64)  # 256 stands for what follows a string's end
+        for k, i in enumerate(kinds.tolist()):
+            line = np.frombuffer(lines[i], np.uint8).astype(np.int64)
+            at = np.arange(len(line))
+            np.bitwise_or.at(equal, (at // 64, k * 257 + line), one << (at % 64).astype(np.uint64))
+        up, down = np.full((words, len(mine)), ~K.U(0)), np.zeros((words, len(mine)), np.uint64)
+        last, top = (m - 1) // 64, ((m - 1) % 64).astype(np.uint64)
+        score, best, end = m.copy(), m.copy(), np.zeros(len(mine), np.int64)
+        row = own * 257
+        for j in range(int(size.max())):
+            symbol = np.where(j < size, buffer[np.minimum(base[mine] + j, len(buffer) - 1)], 256)
+            rise, fall = np.zeros(len(mine), np.uint64), np.zeros(len(mine), np.uint64)
+            for w in range(words):
+                eq, pv, mv = equal[w, row + symbol], up[w], down[w]
+                xv = eq | mv
+                eq = eq | fall
+                xh = (((eq & pv) + pv) ^ pv) | eq
+                ph, mh = mv | ~(xh | pv), pv & xh
+                ends = last == w
+                if ends.any():
+                    score += np.where(ends, ((ph >> top) & one).astype(np.int64) - ((mh >> top) & one).astype(np.int64), 0)
+                next_rise, next_fall = ph >> sixty_three, mh >> sixty_three
+                ph, mh = ph << one | rise, mh << one | fall
+                up[w], down[w] = mh | ~(xv | ph), ph & xv
+                rise, fall = next_rise, next_fall
+            less = score < best
+            best[less], end[less] = score[less], j + 1
+        out[mine], where[mine] = best, end
+    return out, where
+
+
 @dataclass
 class Items:
     """A slice of the benchmark as its tasks use it."""
@@ -146,7 +207,10 @@ class Items:
     ids: list
     lines: list[bytes]
     sieve: np.ndarray
+    gram_sieve: np.ndarray
+    few: np.ndarray  # runs of bytes that a window needs
     hashes: np.ndarray
+    kind: np.ndarray  # the number of each hash among the distinct ones; anchors go by it, then by item
     item: np.ndarray
     offset: np.ndarray
     sampled: list[np.ndarray]
@@ -171,15 +235,22 @@ def index(rows: list[tuple[int, str]], similarity: float = SIMILARITY) -> Items
         every, there = _anchors(data, starts, ends, first, everything=True)
         more = bare[owner[there]]
         hashes, at = np.concatenate((hashes, every[more])), np.concatenate((at, there[more]))
-    grams, holder, begin = _grams(data, offsets)
-    hashes, item, offset = np.concatenate((hashes, grams)), np.concatenate((owner[at], holder)), np.concatenate((place[at], begin))
-    order = np.argsort(hashes, kind="stable")
+    length = np.array([len(t) for t in lines])
+    grams, holder, begin = _grams(data, offsets, lambda h: np.ones(len(h), bool))
+    use = (length[holder] < LONG_ITEM) | (grams < K.U((1 << 64) // GRAM_SHARE))
+    grams, holder, begin = grams[use], holder[use], begin[use]
+    gram_sieve = np.zeros(_SIEVE, bool)
+    gram_sieve[(grams >> _SIEVE_SHIFT).astype(np.int64)] = True
+    hashes, item, offset = np.concatenate((hashes, K.mix(grams, 13))), np.concatenate((owner[at], holder)), np.concatenate((place[at], begin))
+    order = np.lexsort((item, hashes))
     hashes, item, offset = hashes[order], item[order], offset[order]
+    kind = np.cumsum(np.concatenate(([0], hashes[1:] != hashes[:-1]))) if len(hashes) else np.zeros(0, np.int64)
     sieve = np.zeros(_SIEVE, bool)
     sieve[(hashes & K.U(_SIEVE - 1)).astype(np.int64)] = True
     n = np.diff(offsets)
     sampled = [_sampled(data, offsets[:-1], n, n, seed) for seed in range(WALKS)]
-    return Items([i for i, _ in rows], lines, sieve, hashes, item, offset, sampled, [int((1 - similarity) * len(t) + 1e-9) for t in lines], bool(bare.any()))
+    few = np.clip(length // RUN_EACH, LEAST_RUNS, MOST_RUNS)
+    return Items([i for i, _ in rows], lines, sieve, gram_sieve, few, hashes, kind, item, offset, sampled, [int((1 - similarity) * len(t) + 1e-9) for t in lines], bool(bare.any()))
 
 
 def _sampled(buffer: np.ndarray, base: np.ndarray, n: np.ndarray, limit: np.ndarray, seed: int) -> np.ndarray:
@@ -192,6 +263,28 @@ def _sampled(buffer: np.ndarray, base: np.ndarray, n: np.ndarray, limit: np.ndar
     return out
 
 
+def _in_parts(text: np.ndarray, lo: np.ndarray, hi: np.ndarray, items: Items):
+    """Anchors of texts, in the order of texts, and the ranges of equal anchors of items, so many at a time as HITS allows."""
+    total = np.concatenate(([0], np.cumsum(hi - lo)))
+    bounds = np.append(np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1]))), len(text))
+    i = 0
+    while i < len(bounds) - 1:
+        j = max(i + 1, int(np.searchsorted(total[bounds], total[bounds[i]] + HITS, "right")) - 1)
+        a, b = bounds[i], bounds[j]
+        i = j
+        many = int(total[b] - total[a])
+        if many <= HITS:
+            yield slice(a, b), lo[a:b], hi[a:b]
+            continue
+        # one text alone: its pairs are taken by ranges of items
+        n = len(items.lines)
+        place, kind = items.kind * n + items.item, items.kind[lo[a:b]] * n
+        step = max(1, n * HITS // many)
+        for k in range(0, n, step):
+            ends = [np.searchsorted(place, kind + min(n, x)) for x in (k, k + step)]
+            yield slice(a, b), *ends
+
+
 def search(texts: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
     """(text, item, distance, end in the normalised text) for each item that a text holds."""
     data, offsets = K.joined(texts)
@@ -200,17 +293,27 @@ def search(texts: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
     hashes, at = _anchors(data, starts, ends, first, everything=items.bare)
     some = np.flatnonzero(items.sieve[(hashes & K.U(_SIEVE - 1)).astype(np.int64)])
     hashes, at = hashes[some], at[some]
-    grams, holder, there = _grams(data, offsets)
-    some = np.flatnonzero(items.sieve[(grams & K.U(_SIEVE - 1)).astype(np.int64)])
-    text = np.concatenate((np.searchsorted(first, at, "right") - 1, holder[some]))
-    place = np.concatenate((_line_places(starts, ends, first)[at], there[some]))
+    grams, holder, there = _grams(data, offsets, lambda h: items.gram_sieve[(h >> _SIEVE_SHIFT).astype(np.int64)])
+    text = np.concatenate((np.searchsorted(first, at, "right") - 1, holder))
+    place = np.concatenate((_line_places(starts, ends, first)[at], there))
     worded = np.arange(len(text)) < len(at)
-    hashes = np.concatenate((hashes, grams[some]))
+    hashes = np.concatenate((hashes, K.mix(grams, 13)))
     lo, hi = np.searchsorted(items.hashes, hashes), np.searchsorted(items.hashes, hashes, "right")
+    use = np.flatnonzero(hi > lo)
+    use = use[np.argsort(text[use], kind="stable")]
+    text, place, worded, lo, hi = text[use], place[use], worded[use], lo[use], hi[use]
+    raw, found = data.tobytes(), {}
+    for part, a, b in _in_parts(text, lo, hi, items):
+        _confirm(raw, offsets, text[part], place[part], worded[part], a, b, items, found)
+    return [(*k, *v) for k, v in found.items()]
+
+
+def _confirm(raw: bytes, offsets: np.ndarray, text: np.ndarray, place: np.ndarray, worded: np.ndarray, lo: np.ndarray, hi: np.ndarray, items: Items, found: dict) -> None:
+    """Put into ``found`` the items that the windows hold which these anchors fix."""
     n = hi - lo
     hit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
     if not len(hit):
-        return []
+        return
     text, worded = np.repeat(text, n), np.repeat(worded, n)
     item, begin = items.item[hit], np.repeat(place, n) - items.offset[hit]
     # one window for each text, item and neighbourhood
@@ -219,11 +322,10 @@ def search(texts: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
     new = np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] // 8 != begin[:-1] // 8)))
     anchors = np.diff(np.append(np.flatnonzero(new), len(new)))
     text, item, begin = text[new], item[new], begin[new]
-    strong = (anchors >= FEW) | (np.add.reduceat(worded[order].astype(np.int64), np.flatnonzero(new)) > 0)
+    strong = (anchors >= items.few[item]) | (np.add.reduceat(worded[order].astype(np.int64), np.flatnonzero(new)) > 0)
     anchors, text, item, begin = anchors[strong], text[strong], item[strong], begin[strong]
     if not len(text):
-        return []
-    raw = data.tobytes()
+        return
     wanted, number = np.unique(text, return_inverse=True)
     lines = [b" ".join(raw[offsets[t] : offsets[t + 1]].split()) for t in wanted.tolist()]
     size = np.array([len(x) for x in lines])
@@ -237,17 +339,47 @@ def search(texts: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
         rest = np.flatnonzero(~near)
         got = _sampled(buffer, (line_at[number] + begin)[rest], length[rest], left[rest], seed)
         near[rest] = agree(got, items.sampled[seed][:, item[rest]])
-    found: dict[tuple[int, int], tuple[int, int]] = {}
-    for i in np.flatnonzero(near).tolist():
+    near = np.flatnonzero(near)
+    slack = np.array(items.most)[item] + 8
+    from_, to = np.maximum(begin - slack, 0), np.minimum(begin + length + slack, size[number])
+    near = near[_enough_runs(items, item[near], buffer, (line_at[number] + from_)[near], (to - from_)[near], RUN_BYTES)]
+    least, end = edit_distances(items.lines, item[near], buffer, (line_at[number] + from_)[near], (to - from_)[near])
+    for i, d, e in zip(near.tolist(), least.tolist(), end.tolist(), strict=True):
         key = (int(text[i]), int(item[i]))
-        if found.get(key, (1, 0))[0] == 0:
-            continue
-        line, slack = items.lines[key[1]], items.most[key[1]] + 8
-        a = max(0, int(begin[i]) - slack)
-        got = edit_distance_within(line, lines[number[i]][a : int(begin[i]) + len(line) + slack], items.most[key[1]])
-        if got and (key not in found or got[0] < found[key][0]):
-            found[key] = (got[0], got[1] + a)
-    return [(*k, *v) for k, v in found.items()]
+        if d <= items.most[key[1]] and (key not in found or d < found[key][0]):
+            found[key] = (d, e + int(from_[i]))
+
+
+def _runs(buffer: np.ndarray, base: np.ndarray, n: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each string buffer[base : base + n]: its number, and each run of q bytes with how often it came before."""
+    m = np.maximum(n - q + 1, 0)
+    owner = np.repeat(np.arange(len(base)), m)
+    at = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(base, m)
+    run = sum(buffer[at + k].astype(np.int64) << 8 * k for k in range(q))
+    key = np.sort(owner << 32 | run)
+    starts = K.run_starts(key)
+    nth = np.arange(len(key)) - np.repeat(starts, np.diff(np.append(starts, len(key))))
+    return key >> 32, (key & (1 << 32) - 1) << 24 | np.minimum(nth, (1 << 24) - 1)
+
+
+def _enough_runs(items: Items, item: np.ndarray, buffer: np.ndarray, base: np.ndarray, n: np.ndarray, q: int) -> np.ndarray:
+    """The places of pairs of item and string that share as many runs of q bytes as the permitted edits leave of the item."""
+    lines = np.frombuffer(b"".join(items.lines), np.uint8)
+    length = np.array([len(x) for x in items.lines])
+    line_at = np.cumsum(length) - length
+    least = length - q + 1 - q * np.array(items.most)
+    out, step = [], max(1, WINDOWS // 32)
+    for lo in range(0, len(item), step):
+        mine = item[lo : lo + step]
+        (a, x), (b, y) = _runs(lines, line_at[mine], length[mine], q), _runs(buffer, base[lo : lo + step], n[lo : lo + step], q)
+        # a run and its count are in both lists as often as the two strings share it
+        pair, run = np.concatenate((a, b)), np.concatenate((x, y))
+        order = np.lexsort((run, pair))
+        pair, run = pair[order], run[order]
+        same = (pair[1:] == pair[:-1]) & (run[1:] == run[:-1])
+        shared = np.bincount(pair[:-1][same], minlength=len(mine))
+        out.append(lo + np.flatnonzero(shared >= least[mine]))
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 def _pieces(batch: pa.RecordBatch, column: int):
@@ -300,7 +432,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text
 
 def keep_clean(docs: DataFrame, bench: DataFrame, text_col: str = "text", similarity: float = SIMILARITY, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The documents that hold no item, with all their columns; nothing is shuffled."""
-    column = docs.columns.index(text_col)
+    column = place_of(docs, text_col)
     for part in slices(bench, slice_bytes=slice_bytes):
         items = _taken(part, similarity, slice_bytes)
         if items is None:

@@ -4,9 +4,13 @@ Texts are compared after a normalisation (by default every run of ASCII white sp
 refined by the length of the normalised text, then by a hash of its first characters, then by its full SHA-256; each
 step keeps only rows whose group still has two members. What is shuffled is a narrow row of a length and two hashes per
 document, never a text, and each count is combined on the map side, so a group that holds a third of all rows costs one
-row per task. The joins back are plain equi-joins that adaptive execution may split when a key is hot.
+row per task. What a step decides is written to the shared folder before rows are joined to it: with plain exchanges on both
+sides adaptive execution splits the partition of a hot length or group.
 
-Defined results: a null text counts as empty; empty texts are equal to one another; of equal texts the smallest id stays,
+The SHA-256 is a column of the result for every row, so it is made in the one scan that also normalises the text, which costs
+several times as much; the refinement decides which rows are grouped by it. A length that all blank texts share is one key.
+
+Defined results: a very long text is hashed whole; a null text counts as empty; empty texts are equal to one another; of equal texts the smallest id stays,
 null ids count as larger than all others, and of repeated rows with that id exactly one stays; an empty table gives an
 empty result; columns other than the id and the text are not read, so their names cannot clash.
 """
@@ -42,12 +46,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def refine(rows: DataFrame, by: list[str]) -> DataFrame:
         again = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*by)
-        return rows.join(again, by, "left_semi")
+        return rows.join(cut(again, "exact-again"), by, "left_semi")
 
     alike = refine(refine(keys, ["len"]), ["len", "head"])
     first = F.min(F.struct(F.coalesce(F.col("doc_id"), F.lit(_LAST)).alias("o"), F.col("row").alias("row"), F.col("doc_id").alias("doc_id")))
     groups = alike.groupBy("len", "head", "sha").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    return keys.join(groups, ["len", "head", "sha"], "left").select(
+    return keys.join(cut(groups, "exact-groups"), ["len", "head", "sha"], "left").select(
         "doc_id",
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
@@ -65,6 +69,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     marked = exact_dedup(docs, id_col, text_col)
     said = marked.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count_if("kept").alias("_stay"), F.count(F.lit(1)).alias("_n")).where("_stay = 0 or _n > 1")
+    said = cut(said, "exact-said")
     own, stay, ident, sha = (fresh(docs.columns, n) for n in ("_own_sha", "_stay", "_id", "_sha"))
     said = said.select(F.col("_id").alias(ident), F.col("_sha").alias(sha), F.col("_stay").alias(stay))
     rows = docs.withColumn(own, F.sha2(collapse_space(F.col(text_col)), 256))

@@ -6,10 +6,11 @@ by how well the bit did in training, and takes the codeword of least loss. A tex
 near is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample: about ``per_language`` labelled rows of each language, chosen by a hash of
-the id. Texts are read whole, in training and in prediction; a prediction sees nothing but the text.
+the id. Their runs are counted and added up in Spark, and the driver gets one row of counts for each language, a quarter of a
+megabyte. Texts are read whole, in training and in prediction; a prediction sees nothing but the text.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; without labelled rows every text is ``und``;
-a null id is held out of training; ties go to the language that sorts first; rows repeat as in the input; an empty table gives an
+a null id is held out of training; more than ``MOST_LANGUAGES`` labels raise, none is dropped; ties go to the language that sorts first; rows repeat as in the input; an empty table gives an
 empty result.
 """
 
@@ -23,13 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import fresh
+from .common import fresh, place_of, shuffle_partitions
 
 #: Rows of each language from which the classifiers learn, at most about.
 PER_LANGUAGE = 600
 #: Bits of a feature's number, bytes in the runs, bits of a codeword for many languages, steepness of the loss, and the
 #: least difference of two losses that is not ambiguous.
 FEATURE_BITS, RUNS, BITS_PER_LOG, STEEP, UNSURE = 16, (2, 3, 4), 10, 8.0, 0.1
+#: Labels that a model may have.
+MOST_LANGUAGES = 500
 UND = "und"
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[ord("A") : ord("Z") + 1] += 32
@@ -105,15 +108,18 @@ def held_out(id_col: str = "doc_id") -> Column:
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(10**6, -(-per_language * 10**6 // n))).otherwise(share)
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(10**6)) < share)
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} labels in {lang_col}")
+    whole = (1 << 63) - 1
+    if not counts:
+        return rows.where(F.lit(False))
+    limit = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], whole if r["n"] <= per_language else whole // r["n"] * per_language)])
+    return rows.where(F.xxhash64("doc_id").bitwiseAND(F.lit(whole)) <= limit[F.col("lang")])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model | None:
-    """Fit the classifiers, or None if no row is labelled. The driver gets one row of counts per task and language."""
+    """Fit the classifiers, or None if no row is labelled."""
     features = (1 << FEATURE_BITS) + 1
 
     def count(batches):
@@ -128,12 +134,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     at = lang == name
                     for f in found:
                         mine += np.bincount(f[at], minlength=features)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names=["lang", "counts"])
-
-    sample = _sample(docs, id_col, text_col, lang_col, per_language).coalesce(8)
-    counts: dict[str, np.ndarray] = {}
-    for row in sample.mapInArrow(count, "lang string, counts binary").collect():
-        counts[row["lang"]] = counts.get(row["lang"], 0) + np.frombuffer(row["counts"], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([t.astype(np.uint32).tobytes() for t in total.values()], pa.binary())], names=["lang", "counts"])
+
+    def add(key, rows):
+        total = np.zeros(features, np.int64)
+        for x in rows.column("counts"):
+            total += np.frombuffer(x.as_py(), np.uint32)
+        return pa.table([pa.array([key[0].as_py()], pa.string()), pa.array([np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes()], pa.binary())], names=["lang", "counts"])
+
+    # the scan keeps its tasks; only the sample, which is bounded, is brought together before it is counted
+    sample = _sample(docs, id_col, text_col, lang_col, per_language).repartition(shuffle_partitions(docs.sparkSession))
+    counted = sample.mapInArrow(count, "lang string, counts binary").groupBy("lang").applyInArrow(add, "lang string, counts binary")
+    counts = {row["lang"]: np.frombuffer(row["counts"], np.uint32).astype(np.int64) for row in counted.toLocalIterator()}
     if not counts:
         return None
     languages = sorted(counts)
@@ -157,7 +169,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> tup
         return docs.withColumns(dict(zip(names, (F.lit(UND), F.lit(0.0), F.lit(True)), strict=True))), names
     letter = fresh([*docs.columns, *names], "_letter")
     marked = docs.withColumn(letter, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
-    column = docs.columns.index(text_col)
+    column = place_of(docs, text_col)
 
     def run(batches):
         for batch in batches:

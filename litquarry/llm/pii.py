@@ -30,13 +30,15 @@ PATTERNS = {
 #: A text without this has no match, which spares the search.
 NEEDS = {"email": "@", "phone": "+"}
 #: Words that raise a span's score when they stand near it, by kind.
-CONTEXT = {
-    "email": r"(?i)\b(?:e-?mail|contact|write to|correo|courriel|kontakt)\b",
-    "ip": r"(?i)\b(?:ip|address|host|server|login|adresse)\b",
-    "card": r"(?i)\b(?:card|visa|mastercard|amex|credit|payment|karte|tarjeta|carte)\b",
-    "phone": r"(?i)\b(?:phone|tel|call|mobile|fax|telefon|teléfono|téléphone)\b",
-    "iban": r"(?i)\b(?:iban|bank|account|konto|cuenta|compte)\b",
+CONTEXT_WORDS = {
+    "email": "e-?mail|contact|write to|correo|courriel|kontakt",
+    "ip": "ip|address|host|server|login|adresse",
+    "card": "card|visa|mastercard|amex|credit|payment|karte|tarjeta|carte",
+    "phone": "phone|tel|call|mobile|fax|telefon|teléfono|téléphone",
+    "iban": "iban|bank|account|konto|cuenta|compte",
 }
+#: They stand alone: no letter, digit or underscore touches them.
+CONTEXT = {k: rf"(?:^|[^\p{{L}}\p{{N}}_])(?:{words})(?:$|[^\p{{L}}\p{{N}}_])" for k, words in CONTEXT_WORDS.items()}
 #: What a confirmed span scores without context, by kind, and what context adds.
 SCORE = {"email": 0.8, "ip": 0.5, "card": 0.8, "phone": 0.6, "iban": 0.9}
 CONTEXT_BONUS, CONTEXT_CHARS = 0.1, 40
@@ -111,7 +113,7 @@ def _spans(kind: str, order: int, text: Column) -> Column:
             F.lit(" | "),
             F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS)),
         )
-        score = F.lit(SCORE[kind]) + F.when(near.rlike(CONTEXT[kind]), F.lit(CONTEXT_BONUS)).otherwise(0.0)
+        score = F.lit(SCORE[kind]) + F.when(near.rlike("(?iu)" + CONTEXT[kind]), F.lit(CONTEXT_BONUS)).otherwise(0.0)
         return F.struct(s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"), F.lit(kind).alias("kind"), score.alias("score"))
 
     found = F.transform(right, scored)

@@ -7,7 +7,7 @@ from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .language_id import identify
 from .packing import pack_documents
-from .pii import pii_digest
+from .pii import CONTEXT, CONTEXT_BONUS, SCORE, pii_digest
 from .simhash import simhash_dedup
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -24,7 +24,7 @@ def op2_warc(spark, sf_dir):
 
 
 def op3_pii(spark, sf_dir):
-    return pii_digest(table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+    return pii_digest(table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "scores")
 
 
 def op4_suffix_dedup(spark, sf_dir):
@@ -109,14 +109,19 @@ SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN page_
     WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15
     WHEN 'iban' THEN list_reduce(list_prepend(0, list_transform(string_split(replace(m, ' ', '')[5:] || replace(m, ' ', '')[1:4], ''), lambda x: ascii(x))),
       lambda a, x: CASE WHEN x >= 65 THEN (a * 100 + x - 55) % 97 ELSE (a * 10 + x - 48) % 97 END) = 1
-    ELSE true END), o AS (
+    ELSE true END), x AS (
+  SELECT c.*, substr(t, greatest(s - 40, 0) + 1, least(s, 40)) || ' | ' || substr(t, e + 1, 40) AS near FROM c JOIN d USING (doc_id)), z AS (
+  SELECT *, CASE kind """
+    + " ".join(f"WHEN '{k}' THEN {SCORE[k]} + CASE WHEN regexp_matches(near, '(?i){CONTEXT[k]}') THEN {CONTEXT_BONUS} ELSE 0 END" for k in _PII)
+    + r""" END AS score FROM x), o AS (
   SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
          count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
          coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) FILTER (kind <> 'iban'), '') AS base,
-         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) AS spans
-  FROM c GROUP BY doc_id)
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, ord) AS spans,
+         string_agg(printf('%.2f', score::DOUBLE), ',' ORDER BY s, ord) AS scores
+  FROM z GROUP BY doc_id)
 SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM d LEFT JOIN o USING (doc_id)""",
     "op7_exact_dedup": r"""WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256

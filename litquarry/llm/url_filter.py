@@ -11,7 +11,7 @@ sorted, and the join back to the rows is an equi-join on the host, which adaptiv
 
 Defined results: a null url, or one without ``://``, has an empty host and path and no rule; an empty host matches no
 rule; of several fitting rules the longest (host and path together) wins, of equally long ones the smaller text; repeated
-rules count once; rows repeat in the result as they do in the input; without rules every verdict is the default.
+rules count once; of rules of one text with several verdicts the smaller verdict counts; very long urls and hosts are judged whole; rows repeat in the result as they do in the input; without rules every verdict is the default.
 """
 
 from __future__ import annotations
@@ -19,9 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import shuffle_partitions
+
 #: (verdict, host, path)
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-#: Cells to which the hosts of one first label are dealt.
+#: Cells to which the hosts of one first label are dealt, at least; with more shuffle partitions there are as many cells.
 SALTS = 64
 DEFAULT = "allow"
 STACK = "array<struct<n:int,rule:string,key:string,path:string,verdict:string>>"
@@ -52,16 +54,17 @@ def _stacks(rules: DataFrame) -> DataFrame:
     """Each distinct rule host's key with the stack of rules open there: its own and those of the hosts around it."""
     mine = rules.select(
         host_key(F.col("host")).alias("key"),
-        F.struct((F.length("host") + F.length("path")).alias("n"), F.concat("host", "path").alias("rule"), host_key(F.col("host")).alias("key"), "path", "verdict").alias("r"),
+        F.struct((-F.length("host") - F.length("path")).alias("n"), F.concat("host", "path").alias("rule"), host_key(F.col("host")).alias("key"), "path", "verdict").alias("r"),
     ).where("key != ''").distinct()
     keys = mine.select("key").distinct()
     labels = F.split(F.col("key"), r"\.", -1)
     around = keys.select("key", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda i: F.concat(F.array_join(F.slice(labels, 1, i), "."), F.lit(".")))).alias("open"))
-    return around.join(mine.withColumnRenamed("key", "open"), "open").groupBy("key").agg(F.sort_array(F.collect_list("r"), asc=False).alias("stack"))
+    return around.join(mine.withColumnRenamed("key", "open"), "open").groupBy("key").agg(F.sort_array(F.collect_list("r")).alias("stack"))
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = DEFAULT, salts: int = SALTS) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url", default: str = DEFAULT, salts: int | None = None) -> DataFrame:
     """One row per input row: page_id, host, path, rule, verdict."""
+    salts = salts or max(SALTS, shuffle_partitions(pages.sparkSession))
     rows = pages.select(F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     hosts = rows.where("host != ''").select("host").distinct().select("host", host_key(F.col("host")).alias("key"))
     label = F.substring_index(F.col("key"), ".", 1)

@@ -8,9 +8,14 @@ Archives are files in a folder that all machines share. A task writes under a na
 the finished file, so a lost or repeated task leaves no partial archive; what is read back is the list of files that the
 successful attempts returned.
 
+Which payloads repeat is decided on narrow rows of a row number and a digest; payloads travel by row number only, so that a page
+that very many urls return is spread over all tasks.
+
 Defined results: a null html counts as empty; a null id is written as an empty name and read back as null; of rows with one
-id and one payload, one is the response and the others revisit it; an empty table writes no archive and reads no record;
-columns other than the id, the url and the html are not read. A record that breaks the framing or a stated digest raises.
+payload the one with the smallest id is the response, null ids last, and of several such rows one; the others revisit it (a
+revisit of a row without an id refers to null); an empty table writes no archive and reads no record; columns other than the
+id, the url and the html are not read. A payload is held whole, one at a time, with its record, so the largest needs a few
+times its size of memory in one task. A record that breaks the framing or a stated digest raises.
 """
 
 from __future__ import annotations
@@ -27,10 +32,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path
+from .common import cut, fresh_path, shuffle_partitions
 
 #: Payloads from this many bytes on are stored once; bytes after which a task begins another archive; bytes read at a time.
 DEDUP_FROM, ARCHIVE_BYTES, CHUNK = 100, 64 << 20, 1 << 16
+#: Reading tasks for each shuffle partition of the session, at most.
+TASKS_EACH = 4
 _DATE = "1970-01-01T00:00:00Z"
 
 
@@ -39,29 +46,29 @@ class WarcError(ValueError):
 
 
 def first_copies(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", dedup_from: int = DEDUP_FROM) -> DataFrame:
-    """(page_id, url, payload, digest, refers_to, is_first): refers_to is the smallest id with the same payload, for long payloads.
-
-    Digests and the rows to which they belong meet in an equi-join that may be split where many pages share a payload.
-    """
+    """(page_id, url, payload, digest, revisit, refers_to): for long payloads but the first of its kind, revisit is true and
+    refers_to the smallest id with the same payload."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    long = F.octet_length("payload") >= dedup_from
-    again = rows.where(long).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    marked = rows.join(again, "digest", "left")
-    return marked.select("page_id", "url", "payload", "digest", F.when(long & ~F.col("page_id").eqNullSafe(F.col("refers_to")), F.col("refers_to")).alias("refers_to"))
+    rows = cut(rows.withColumn("digest", F.sha2("payload", 256)).withColumn("row", F.monotonically_increasing_id()), "warc-rows")
+    narrow = cut(rows.where(F.octet_length("payload") >= dedup_from).select("row", "page_id", F.unhex("digest").alias("digest")), "warc-digests")
+    one = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "row")).alias("first")
+    again = cut(narrow.groupBy("digest").agg(one, F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "warc-repeated")
+    later = narrow.join(again, "digest").where("row != first.row").select("row", F.lit(True).alias("revisit"), F.col("first.page_id").alias("refers_to"))
+    marked = rows.join(cut(later, "warc-revisits"), "row", "left")
+    return marked.select("page_id", "url", "payload", "digest", F.coalesce("revisit", F.lit(False)).alias("revisit"), "refers_to")
 
 
 def _head(lines: list[tuple[str, str]], first: str) -> bytes:
     return (first + "\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines) + "\r\n").encode()
 
 
-def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str, payload: bytes, digest: str, revisit: bool, refers_to: int | None) -> bytes:
     """One gzip member with a response, or with a revisit that keeps the HTTP head only."""
     name = "" if page_id is None else str(page_id)
     http = _head([("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(payload)))], "HTTP/1.1 200 OK")
-    block = http + payload if refers_to is None else http
+    block = http if revisit else http + payload
     head = [
-        ("WARC-Type", "response" if refers_to is None else "revisit"),
+        ("WARC-Type", "revisit" if revisit else "response"),
         ("WARC-Record-ID", f"<urn:page:{name}>"),
         ("WARC-Date", _DATE),
         ("WARC-Target-URI", re.sub(r"[\r\n]", " ", url)),
@@ -69,8 +76,9 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
     ]
-    if refers_to is not None:
-        head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:page:{refers_to}>")]
+    if revisit:
+        to = "" if refers_to is None else str(refers_to)
+        head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:page:{to}>")]
     raw = _head([*head, ("Content-Length", str(len(block)))], "WARC/1.1") + block + b"\r\n\r\n"
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     return packer.compress(raw) + packer.flush()
@@ -81,18 +89,18 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_archives(rows: DataFrame, folder: str) -> DataFrame:
-    """Write (page_id, url, payload, digest, refers_to) as archives; the result lists (path, n_records) and each use of it writes again."""
+    """Write the rows of ``first_copies`` as archives; the result lists (path, n_records) and each use of it writes again."""
 
     def run(batches):
         system, base = _open(folder)
         system.create_dir(base, recursive=True)
         out, name, size, n, made = None, "", 0, 0, []
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # one row at a time becomes Python's
                 if out is None:
                     name, size, n = f"part-{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = system.open_output_stream(f"{base}/.{name}.tmp")
-                member = record(**row)
+                member = record(*(column[i].as_py() for column in batch.columns))
                 out.write(member)
                 size, n = size + len(member), n + 1
                 if size >= ARCHIVE_BYTES:
@@ -106,7 +114,7 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
             made.append((f"{folder}/{name}", n))
         yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64())], names=["path", "n_records"])
 
-    return rows.select("page_id", "url", "payload", "digest", "refers_to").mapInArrow(run, "path string, n_records long")
+    return rows.select("page_id", "url", "payload", "digest", "revisit", "refers_to").mapInArrow(run, "path string, n_records long")
 
 
 def members(read) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -234,4 +242,5 @@ def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
     listed = fresh_path(spark, "warc-list")
     write_archives(first_copies(pages), folder).write.parquet(listed)
     paths = spark.read.schema("path string, n_records long").parquet(listed)
-    return read_archives(spark, paths.repartition(max(1, paths.count())), with_payload=False)
+    tasks = min(paths.count(), TASKS_EACH * shuffle_partitions(spark))  # as many as the session deals out, not as the corpus has archives
+    return read_archives(spark, paths.repartition(max(1, tasks)), with_payload=False)

@@ -1,16 +1,13 @@
 import re
 
-import xxhash
-
 import corpus_pipeline
 from litquarry.llm import decontaminate
 from litquarry.llm.common import table
 
 
-def fingerprint(text):
+def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
-    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 4]).encode(), 42) for i in range(max(1, len(words) - 3))] if words else []
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
 
 
 def test_pipeline_is_brute_force(spark, small):
@@ -22,13 +19,13 @@ def test_pipeline_is_brute_force(spark, small):
     for i in sorted(kept):
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", kept[i]), i)
     kept = {i: kept[i] for i in first.values()}
-    prints, left, out = {i: fingerprint(t) for i, t in kept.items()}, set(kept), set()
+    sets, left, out = {i: shingles(t) for i, t in kept.items()}, set(kept), set()
     while left:
         start = min(left)
         group, todo = {start}, [start]
         while todo:
             x = todo.pop()
-            near = {j for j in left - group if (prints[j] ^ prints[x]).bit_count() <= 4}
+            near = {j for j in left - group if len(sets[j] & sets[x]) >= 0.8 * len(sets[j] | sets[x])}
             group |= near
             todo += near
         left -= group
