@@ -26,9 +26,9 @@ def safe_get(value: Column, path: str, default: str | None = None) -> Column:
     return F.coalesce(value, F.lit(default)) if default is not None else value
 
 
-def event_id(*fields: Column) -> Column:
-    """Sixteen digits of the SHA-256 of the fields as JSON, in the order given."""
-    return F.substring(F.sha2(F.to_json(F.struct(*fields)), 256), 1, 16)
+def event_id(fields: list[str]) -> Column:
+    """Sixteen digits of the SHA-256 of these columns as JSON, in the order of their names."""
+    return F.substring(F.sha2(F.to_json(F.struct(*sorted(fields))), 256), 1, 16)
 
 
 def search_key(query: Column, years: Column, least: Column, limit: Column) -> Column:

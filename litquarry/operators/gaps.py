@@ -18,6 +18,8 @@ METHOD_EDGES = ["USES", "INTRODUCES", "USES_DATASET", "EXTENDS"]
 TOP, CAP, LEAST = 150, 180, 0.30
 NAME_CHARS, SNIPPET_CHARS, NEIGHBORS, SHOWN_NEIGHBORS = 80, 120, 5, 3
 DIGEST_BYTES = 200_000
+#: Blocks to which the concepts of one paper are dealt when pairs are formed.
+BLOCKS = 4
 
 
 def mention_rows(evidence: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
@@ -80,24 +82,30 @@ def union_counts(m: DataFrame, edges: DataFrame) -> DataFrame:
     return both.groupBy("norm").agg(F.count_distinct("paper").alias("paper_count"))
 
 
-def neighbors(edges: DataFrame, limit: int = NEIGHBORS) -> DataFrame:
+def neighbors(edges: DataFrame, limit: int = NEIGHBORS, blocks: int = BLOCKS) -> DataFrame:
     """(norm, neighbor, shared, rank): concepts that share most papers; ties by name.
 
-    Pairs are formed within a paper and summed at once, so what is shuffled is one row per pair and task.
+    Pairs are formed within a paper by an equi-join. One side is dealt to blocks by a hash and the other is copied to each, so the
+    pairs of a paper with very many concepts are formed by that many tasks; counts are combined before they are shuffled.
     """
     each = edges.select("src", "norm").distinct()
-    sets = each.groupBy("src").agg(F.collect_set("norm").alias("all"))
-    pairs = sets.select(F.explode("all").alias("norm"), "all").select("norm", F.explode("all").alias("neighbor")).where("norm <> neighbor")
+    left = each.withColumn("_block", F.pmod(F.xxhash64("norm"), F.lit(blocks)))
+    right = each.select("src", F.col("norm").alias("neighbor"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
+    pairs = left.join(right, ["src", "_block"]).where("norm <> neighbor")
     counts = pairs.groupBy("norm", "neighbor").agg(F.count(F.lit(1)).alias("shared"))
     rank = F.row_number().over(Window.partitionBy("norm").orderBy(F.desc("shared"), "neighbor"))
     return counts.withColumn("rank", rank).where(F.col("rank") <= limit)
 
 
+def known_keys(known: DataFrame) -> DataFrame:
+    """(known_key): keys and variants of what is known, normalised."""
+    return known.select(F.explode(F.array("key", "variant")).alias("k")).select(text.concept_key("k").alias("known_key")).where("known_key <> ''").distinct()
+
+
 def is_known(concepts: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
     """The rows one of whose columns is a key or a variant of something known, after normalisation."""
-    keys = known.select(F.explode(F.array("key", "variant")).alias("k")).select(text.concept_key("k").alias("known_key")).where("known_key <> ''").distinct()
     forms = concepts.select(*concepts.columns, F.explode(F.array(*[text.concept_key(c) for c in columns])).alias("_form"))
-    return forms.join(keys, F.col("_form") == F.col("known_key"), "left_semi").drop("_form").distinct()
+    return forms.join(known_keys(known), F.col("_form") == F.col("known_key"), "left_semi").drop("_form").distinct()
 
 
 def candidates(m: DataFrame, nodes: DataFrame, edges: DataFrame, known: DataFrame, importance: DataFrame, least: float = LEAST) -> DataFrame:
@@ -121,25 +129,33 @@ def candidates(m: DataFrame, nodes: DataFrame, edges: DataFrame, known: DataFram
         )
     )
     rows = rows.withColumn("importance", scoring.importance(F.col("paper_count"), F.col("core_paper_count"), F.col("in_slots"), F.col("is_method_of_core")))
-    familiar = is_known(rows.select("norm", "concept"), known, ["norm", "concept"]).select("norm", F.lit(True).alias("familiar"))
+    keys = known_keys(known)
+    forms = {"_by_norm": text.concept_key("norm"), "_by_concept": text.concept_key("concept")}
+    for name, form in forms.items():  # a flag for each form, so that the signals are computed once and not joined to themselves
+        rows = rows.withColumn("_form", form).join(keys.select(F.col("known_key").alias("_form"), F.lit(True).alias(name)), "_form", "left").drop("_form")
+    familiar = F.coalesce("_by_norm", "_by_concept", F.lit(False))
     minor = (F.col("paper_count") <= 1) & (F.size(F.array_except("in_slots", F.array(F.lit("mention")))) == 0) & ~F.col("moc_graph")
     low = (F.col("importance") < least) & (F.col("core_paper_count") < 2)
-    reason = F.when(F.col("familiar"), "known").when(minor, "too_minor").when(low, "low_score")
-    return rows.join(familiar, "norm", "left").withColumn("reason", reason).drop("familiar", "moc_graph")
+    reason = F.when(familiar, "known").when(minor, "too_minor").when(low, "low_score")
+    return rows.withColumn("reason", reason).drop("moc_graph", *forms)
 
 
 def selected(c: DataFrame, top: int = TOP, cap: int = CAP) -> DataFrame:
     """The first ``top`` candidates by importance, then later ones with two core papers, ``cap`` in all, with their rank.
 
-    The order is total: ties go by key. Ranks need one order of all candidates, so only the few that can be chosen are
-    ranked: the best ``top`` and the best ``cap`` with two core papers, both found by a top-k that each task begins.
+    The order is total: ties go by key. Ranks need one order of all candidates, so only the few that can be chosen are ranked. Each
+    task keeps its best ``top`` and its best ``top`` + ``cap`` with two core papers in one pass, and what the tasks kept is
+    ranked together; the candidates are computed once.
     """
-    live = c.where("reason is null")
     order = [F.desc("importance"), F.asc("norm")]
-    best = live.orderBy(*order).limit(top).withColumn("extra", F.lit(0))
-    cored = live.where("core_paper_count >= 2").orderBy(*order).limit(top + cap).join(best.select("norm"), "norm", "left_anti").withColumn("extra", F.lit(1))
-    rank = F.row_number().over(Window.orderBy("extra", *order))
-    return best.unionByName(cored).withColumn("rank", rank).where(F.col("rank") <= cap).drop("extra")
+    live = c.where("reason is null").withColumn("_task", F.spark_partition_id()).withColumn("_cored", F.col("core_paper_count") >= 2)
+    own = F.row_number().over(Window.partitionBy("_task").orderBy(*order))
+    cored = F.row_number().over(Window.partitionBy("_task", "_cored").orderBy(*order))
+    few = live.withColumn("_own", own).withColumn("_nth", cored).where((F.col("_own") <= top) | F.col("_cored") & (F.col("_nth") <= top + cap)).drop("_task", "_own", "_nth")
+    place = F.row_number().over(Window.orderBy(*order))
+    chosen = few.withColumn("_place", place).where((F.col("_place") <= top) | F.col("_cored"))
+    rank = F.row_number().over(Window.orderBy((F.col("_place") > top).cast("int"), *order))
+    return chosen.withColumn("rank", rank).where(F.col("rank") <= cap).drop("_place", "_cored")
 
 
 def first_references(m: DataFrame, snippets: DataFrame, refs: int = 1) -> DataFrame:
@@ -166,10 +182,6 @@ def digest(chosen: DataFrame, refs: DataFrame, near: DataFrame, names: DataFrame
 
 
 def within_budget(records: DataFrame, budget: int = DIGEST_BYTES) -> DataFrame:
-    """The records; an action on them raises if their JSON takes more bytes than the budget."""
-    size = records.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"))
-    return records.crossJoin(F.broadcast(size.where(F.assert_true(F.coalesce("bytes", F.lit(0)) <= budget, "the digest exceeds its size budget").isNull()).drop("bytes")))
-
-
-def token_set(c: Column) -> Column:
-    return F.array_distinct(text.tokens(text.concept_key(c)))
+    """The records; an action on them raises if their JSON takes more bytes than the budget. There are at most ``CAP`` of them."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*records.columns)))).over(Window.partitionBy(F.lit(0)))
+    return records.withColumn("_bytes", size).where(F.assert_true(F.col("_bytes") <= budget, "the digest exceeds its size budget").isNull()).drop("_bytes")

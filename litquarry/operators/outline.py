@@ -120,17 +120,3 @@ def targets(families: DataFrame, methods: DataFrame, sections: list[str]) -> Dat
     return book.unionByName(f).unionByName(m)
 
 
-def tree_rows(tree: DataFrame, depth: int = 3) -> DataFrame:
-    """(id, ord) of a navigation tree's leaves from nested items of a fixed depth, children after what stands before them.
-
-    ``tree`` has (ord, item) with item a JSON text {id, children}.
-    """
-    level = tree.select(F.lpad(F.col("ord").cast("string"), 6, "0").alias("ord"), "item")
-    out = None
-    for _ in range(depth):
-        leaf = F.coalesce(F.json_array_length(F.get_json_object("item", "$.children")), F.lit(0)) == 0
-        rows = level.where(leaf).select(F.get_json_object("item", "$.id").alias("id"), "ord")
-        out = rows if out is None else out.unionByName(rows)
-        level = level.where(~leaf).select("ord", F.posexplode(F.from_json(F.get_json_object("item", "$.children"), "array<string>")).alias("n", "child"))
-        level = level.select(F.concat_ws(".", "ord", F.lpad(F.col("n").cast("string"), 6, "0")).alias("ord"), F.col("child").alias("item"))
-    return out

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import text
 
 METHOD_WORDS, FAMILY_WORDS = 1500, 1000
-#: Counts from which a chapter looks copied, or a section is no more than citations.
-COPIED_LINES, SECTION_WORDS = 8, 20
+# Prose that a generator leaves where it had nothing to say.
+PLACEHOLDERS = ["serves as a navigation layer", "variations on the same engineering pressure", "this file is regenerated deterministically", "too thin"]
 # Fixed value: issues of form that alone do not exclude a chapter; a suffix stands for further ones.
 SOFT_ISSUES, SOFT_SUFFIX = ["method_word_count_high", "family_word_count_high"], "_word_count_high"
 
@@ -49,11 +49,81 @@ def same_multiset(left: DataFrame, right: DataFrame, key: str, code: str) -> Dat
     return issues(a.exceptAll(b), f"{code}_missing", F.col(key)).unionByName(issues(b.exceptAll(a), f"{code}_extra", F.col(key)))
 
 
-def search_plan(plan: DataFrame) -> DataFrame:
-    """Four or five aspects, each with queries and keywords of every kind."""
+def search_plan(plan: DataFrame, most_queries: dict[str, int] | None = None) -> DataFrame:
+    """A plan (aspect_id, normal_queries, survey_queries, positive_keywords): four or five aspects, each with an id, a query and a
+    keyword that are not blank and a list of survey queries, which may be empty. ``most_queries`` limits distinct queries by kind."""
+    blank = F.coalesce(text.strip("aspect_id"), F.lit("")) == ""
+    some = lambda c: F.coalesce(F.exists(c, lambda x: text.strip(x) != ""), F.lit(False))
     count = plan.agg(F.count(F.lit(1)).alias("n")).where("n not between 4 and 5")
-    empty = [issues(plan.where(F.coalesce(F.size(c), F.lit(0)) <= 0), f"aspect_without_{c}", F.col("aspect_id")) for c in ("normal_queries", "survey_queries", "positive_keywords", "negative_keywords")]
-    return all_of(issues(count, "aspect_count", F.col("n")), *empty)
+    rules = [
+        issues(count, "aspect_count", F.col("n")),
+        issues(plan.where(blank), "aspect_without_id", F.lit("")),
+        *[issues(plan.where(~some(c)), f"aspect_without_{c}", F.col("aspect_id")) for c in ("normal_queries", "positive_keywords")],
+        issues(plan.where(F.col("survey_queries").isNull()), "aspect_without_survey_queries", F.col("aspect_id")),
+    ]
+    for c, most in (most_queries or {}).items():
+        distinct = F.size(F.array_distinct(F.filter(F.transform(c, lambda x: text.strip(x)), lambda x: x != "")))
+        total = plan.agg(F.sum(F.when(F.col(c).isNotNull(), distinct)).alias("n")).where(F.col("n") > most)
+        rules.append(issues(total, f"too_many_{c}", F.col("n")))
+    return all_of(*rules)
+
+
+#: Papers that a pool needs.
+LEAST_POOL = 40
+KEEP_ALL = "keep_all_bulk_search_results"
+
+
+def sampled(rows: DataFrame, code: str, detail: str, most: int = 10) -> DataFrame:
+    """One violation that names the first ``most`` of the values; none where there are no rows."""
+    first = rows.select(detail).distinct().orderBy(detail).limit(most)
+    listed = first.agg(F.array_join(F.array_sort(F.collect_list(detail)), ",").alias("d")).where("d <> ''")
+    return issues(listed, code, F.col("d"))
+
+
+def keep_all(seeds: DataFrame, raw: DataFrame, pool: DataFrame, mirror: DataFrame, report: DataFrame, key: str = "paper_id") -> DataFrame:
+    """Whether a pool holds all that a search kept.
+
+    ``seeds`` are the ids of the seed pool, ``raw`` those of the preserved search results, ``pool`` and ``mirror`` those of the
+    paper pool and its table; ``report`` is one row (total_kept, selected_total, raw_kept, selection_policy).
+    """
+    n = seeds.agg(F.count(F.lit(1)).alias("n"))
+    told = report.join(F.broadcast(n), F.lit(True))
+    named = (("seeds", seeds), ("pool", pool), ("mirror", mirror))
+    differ = (("raw", raw, seeds), ("pool", pool, seeds), ("mirror", mirror, pool))
+    repeated = [sampled(rows.groupBy(key).agg(F.count(F.lit(1)).alias("k")).where("k > 1"), f"{name}_repeated", key) for name, rows in named]
+    sets = [sampled(a.select(key).join(b.select(key), key, "left_anti"), f"{name}_{what}", key) for name, own, of in differ for what, a, b in (("missing", of, own), ("extra", own, of))]
+    small = pool.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < LEAST_POOL)
+    return all_of(
+        issues(told.where(~F.col("total_kept").eqNullSafe(F.col("n"))), "total_kept_differs", F.col("total_kept")),
+        *repeated,
+        *sets,
+        issues(small, "pool_too_small", F.col("n")),
+        issues(told.where(~F.col("selected_total").eqNullSafe(F.col("n"))), "selected_total_differs", F.col("selected_total")),
+        issues(told.where(~F.col("raw_kept").eqNullSafe(F.col("n"))), "raw_kept_differs", F.col("raw_kept")),
+        issues(told.where(F.coalesce(F.col("selection_policy") != KEEP_ALL, F.lit(False))), "selection_policy", F.col("selection_policy")),
+    )
+
+
+def bootstrap(pool: DataFrame, weak: DataFrame, promoted: DataFrame, texts: DataFrame, unavailable: DataFrame, indexed: DataFrame, claims: DataFrame, key: str = "paper_id") -> DataFrame:
+    """What a run must have made of its pool before it goes on.
+
+    ``weak`` has (key, reader_needed_concepts), ``claims`` (key, node, lines) the claims of verified evidence; the others are ids. A
+    promoted paper whose text is listed as unavailable needs nothing more.
+    """
+    concepts = weak.where(F.coalesce(F.size("reader_needed_concepts"), F.lit(0)) > 0)
+    nothing = promoted.agg(F.count(F.lit(1)).alias("n")).where("n = 0")
+    with_text = promoted.join(texts.select(key), key, "left_semi")
+    without = promoted.join(texts.select(key), key, "left_anti").join(unavailable.select(key), key, "left_anti")
+    grounded = (F.coalesce(F.trim("node"), F.lit("")) != "") & (F.coalesce(F.size("lines"), F.lit(0)) > 0)
+    loose = claims.where(~grounded).join(with_text.select(key), key, "left_semi").select(key).distinct()
+    return all_of(
+        missing(pool, concepts, key, "no_reader_needed_concepts"),
+        issues(nothing, "nothing_promoted", F.lit("")),
+        issues(without, "text_missing", F.col(key)),
+        missing(with_text, indexed, key, "index_missing"),
+        missing(with_text, claims, key, "no_claims"),
+        issues(loose, "claim_not_grounded", F.col(key)),
+    )
 
 
 def weak_graph(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -108,31 +178,6 @@ def outline(methods: DataFrame, families: DataFrame, verified: DataFrame) -> Dat
     )
 
 
-def chapters(rows: DataFrame, required: dict[str, list[str]]) -> DataFrame:
-    """Chapters (chapter_id, chapter_type, text): headings, length, placeholder prose, copied outlines."""
-    rows = rows.withColumn("words", text.word_count("text"))
-    out = [
-        issues(rows.where(f"chapter_type = 'methods' and words < {METHOD_WORDS} or chapter_type = 'families' and words < {FAMILY_WORDS}"), "chapter_too_short", F.concat_ws(" ", "chapter_id", "words")),
-        issues(rows.where(text.copied_outline_lines("text") >= COPIED_LINES), "copied_outline", F.col("chapter_id"), "warning"),
-        issues(rows.where(F.col("text").rlike(r"(?i)\b(?:serves as a navigation layer|variations on the same engineering pressure|this file is regenerated deterministically|too thin)\b")), "placeholder_prose", F.col("chapter_id")),
-    ]
-    for kind, heads in required.items():
-        d = rows.where(F.col("chapter_type") == kind).withColumn("diff", text.heading_diff(text.body("text"), heads))
-        out += [
-            issues(d.select("chapter_id", F.explode("diff.missing").alias("h")), "heading_missing", F.concat_ws(" ", "chapter_id", "h")),
-            issues(d.select("chapter_id", F.explode("diff.extra").alias("h")), "heading_extra", F.concat_ws(" ", "chapter_id", "h"), "warning"),
-            issues(d.where("diff.out_of_order"), "headings_out_of_order", F.col("chapter_id")),
-        ]
-    return all_of(*out)
-
-
-def citation_only(sections: DataFrame) -> DataFrame:
-    """Sections (paper, title, body) with hardly a word beside their citations."""
-    plain = F.regexp_count(text.without_citations("body"), F.lit(f"{text.WORD}+"))
-    cites = F.regexp_count("body", F.lit(r"\[arxiv:[^\]]+\]"))
-    return issues(sections.where((cites > 0) & (plain < SECTION_WORDS)), "section_of_citations", F.concat_ws(" ", "paper", "title"), "warning")
-
-
 def links(rows: DataFrame, targets: DataFrame) -> DataFrame:
     """Links (page, target) that lead nowhere."""
     return issues(rows.join(targets.select("target").distinct(), "target", "left_anti"), "dead_link", F.concat_ws(" -> ", "page", "target"))

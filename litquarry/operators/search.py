@@ -75,6 +75,7 @@ def relevance_search(found: DataFrame, links: DataFrame, details: DataFrame, now
 
 
 def metadata_batch(requests: DataFrame, papers: DataFrame) -> DataFrame:
-    """Requested ids (pos, id) in their order with title, year and abstract, and whether each was found."""
-    p = papers.select(F.col("paper_id").alias("id"), "title", "year", "abstract", F.lit(True).alias("_found")).dropDuplicates(["id"])
+    """Requested ids (pos, id) in their order with title, year and abstract, and whether each was found; of several rows the first by ord counts."""
+    first = F.min_by(F.struct("title", "year", "abstract"), "ord").alias("_p")
+    p = papers.groupBy(F.col("paper_id").alias("id")).agg(first).select("id", "_p.*", F.lit(True).alias("_found"))
     return requests.join(p, "id", "left").select("pos", "id", "title", "year", "abstract", F.coalesce("_found", F.lit(False)).alias("found"))

@@ -5,33 +5,20 @@ Arrays come out as joined texts and scores rounded, so that rows can be compared
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import json as jsonx
-from ..functions import math, scoring, text
-from ..operators import discovery, gaps, graph, outline, packs, pages, promotion, quality, search, state
+from ..functions import scoring, text
+from ..operators import discovery, gaps, graph, packs, pages, promotion, quality, search, state
 from ..sources import adapter as A
 from ..sources.adapter import FIELDS, NORM_SQL, sql, table
+from .registry import ORACLES, QUERIES, query
 
-QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
 #: The reference year of all scores and ages, and the keywords of the filters.
 NOW, KEYWORDS, NEGATIVES = 2026, ["the", "de la", "einer", "Avec"], ["tion on", "und"]
 
 
-def query(name: str, oracle: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if oracle:
-            ORACLES[name] = oracle
-        return f
-
-    return add
-
-
 def csv(c) -> F.Column:
     return F.array_join(c, ",")
 
@@ -226,14 +213,14 @@ def _(spark, d):
     return discovery.top_linked(_links(spark, d), 3, 50).select("paper", "id", "cites", "rank")
 
 
-_HOPS = "SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem WHERE l_linenumber <= 2 UNION SELECT DISTINCT 's' || l_suppkey, 'p' || (l_partkey + 1) FROM lineitem WHERE l_linenumber = 3"
+_HOPS = "SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey AS dst FROM lineitem WHERE l_linenumber % 3 > 0 UNION SELECT DISTINCT 's' || l_suppkey, 'p' || (l_partkey + 1) FROM lineitem WHERE l_linenumber % 3 = 0"
 
 
 def _hops(spark, d) -> DataFrame:
     line = table(spark, d, "lineitem")
     part, supplier = F.concat(F.lit("p"), F.col("l_partkey").cast("string")), F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
-    down = line.where("l_linenumber <= 2").select(part.alias("src"), supplier.alias("dst"))
-    up = line.where("l_linenumber = 3").select(supplier.alias("src"), F.concat(F.lit("p"), (F.col("l_partkey") + 1).cast("string")).alias("dst"))
+    down = line.where("l_linenumber % 3 > 0").select(part.alias("src"), supplier.alias("dst"))
+    up = line.where("l_linenumber % 3 = 0").select(supplier.alias("src"), F.concat(F.lit("p"), (F.col("l_partkey") + 1).cast("string")).alias("dst"))
     return down.unionByName(up).distinct().withColumn("ord", F.col("dst"))
 
 
@@ -353,11 +340,11 @@ def _(spark, d):
     return discovery.chunks(A.papers(spark, d).select("source", "doc_id"), 50, ["doc_id"], "source").select("source", "doc_id", "chunk")
 
 
-@query("query_budget", "SELECT 'q0,q1,q2,q3,q4' AS queries, 's0,s1,s2' AS survey_queries")
+@query("query_budget", "WITH q AS (SELECT 'q' || (c_custkey // 3) AS q, 's' || c_custkey AS s, c_custkey AS ord FROM customer), a AS (SELECT q, min(ord) AS o FROM q GROUP BY q ORDER BY o LIMIT 5), b AS (SELECT s, ord FROM q ORDER BY ord LIMIT 3) SELECT (SELECT string_agg(q, ',' ORDER BY o) FROM a) AS queries, (SELECT string_agg(s, ',' ORDER BY ord) FROM b) AS survey_queries")
 def _(spark, d):
-    n = table(spark, d, "nation").where("n_nationkey < 12")
-    pick = lambda p, m: F.array(F.concat(F.lit(p), F.floor(F.col("n_nationkey") / m).cast("string")), F.lit("later"))
-    plan = n.select(F.col("n_nationkey").alias("ord"), pick("q", 2).alias("normal_queries"), pick("s", 1).alias("survey_queries"))
+    n = table(spark, d, "customer")
+    pick = lambda p, m: F.array(F.concat(F.lit(p), F.floor(F.col("c_custkey") / m).cast("string")), F.lit("later"))
+    plan = n.select(F.col("c_custkey").alias("ord"), pick("q", 3).alias("normal_queries"), pick("s", 1).alias("survey_queries"))
     return discovery.query_budget(plan).select(csv("queries").alias("queries"), csv("survey_queries").alias("survey_queries"))
 
 
@@ -366,10 +353,10 @@ def _(spark, d):
     return table(spark, d, "orders").select("o_orderkey", csv(scoring.recent_months(F.to_date("o_orderdate"), 3)).alias("months"))
 
 
-@query("title_substring_match", sql("SELECT title, arg_min(name, ord) AS name FROM t JOIN (SELECT p_name || ' ' || p_brand AS name, p_partkey AS ord FROM part) ON contains(lower(name), lower(title)) GROUP BY title", t="SELECT DISTINCT p_name AS title FROM part WHERE p_size <= 5"))
+@query("title_substring_match", sql("SELECT title, arg_min(name, ord) AS name FROM t JOIN (SELECT p_name || ' ' || p_brand AS name, p_partkey AS ord FROM part) ON contains(lower(name), lower(title)) GROUP BY title", t="SELECT DISTINCT p_name AS title FROM part"))
 def _(spark, d):
     part = table(spark, d, "part")
-    return discovery.first_neighbor_match(part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.col("p_partkey").alias("ord")), part.where("p_size <= 5").select(F.col("p_name").alias("title")).distinct())
+    return discovery.first_neighbor_match(part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.col("p_partkey").alias("ord")), part.select(F.col("p_name").alias("title")).distinct())
 
 
 _GS = "SELECT paper_id, q AS query, CASE WHEN q = 0 OR doc_id % 2 = 0 THEN 'hub ' ELSE 'archive ' END || q AS abstract FROM papers, (VALUES (0), (1)) t(q) WHERE (doc_id + q) % 3 = 0 AND (q = 0 OR doc_id % 2 = 0 OR doc_id % 5 = 0)"
@@ -400,12 +387,13 @@ def _(spark, d):
     return search.bulk_search(parts, KEYWORDS, NEGATIVES, NOW)
 
 
-@query("relevance_search", sql(f"SELECT paper_id, {_IMPACT} AS score FROM papers WHERE doc_id < 30 OR doc_id BETWEEN 100 AND 129 ORDER BY score DESC, CASE WHEN doc_id < 30 THEN doc_id ELSE 4611686018427387904 END, paper_id LIMIT 1000", "papers"))
+@query("relevance_search", sql(f"SELECT paper_id, {_IMPACT} AS score FROM papers ORDER BY score DESC, CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE 4611686018427387904 END, paper_id LIMIT 1000", "papers"))
 def _(spark, d):
+    """Papers of even number are found, each cites the one behind it, so that every document is ranked; the report has a thousand."""
     p = A.papers(spark, d)
-    found = p.where("doc_id < 30").select("paper_id", F.col("doc_id").alias("ord"))
-    below = p.where("doc_id between 100 and 129").select((F.col("doc_id") - 100).alias("k"), F.col("paper_id").alias("id"))
-    links = p.where("doc_id < 30").select(F.col("doc_id").alias("k"), F.col("paper_id").alias("paper")).join(below, "k").select("paper", "id", F.lit(5).alias("cites"), F.col("k").alias("ord"))
+    found = p.where("doc_id % 2 = 0").select("paper_id", F.col("doc_id").alias("ord"))
+    below = p.where("doc_id % 2 = 1").select((F.col("doc_id") - 1).alias("k"), F.col("paper_id").alias("id"))
+    links = p.select(F.col("doc_id").alias("k"), F.col("paper_id").alias("paper")).join(below, "k").select("paper", "id", F.lit(5).alias("cites"), F.col("k").alias("ord"))
     return search.relevance_search(found, links, p.select("paper_id", "abstract", "year", "citations"), NOW, most=1000).select("paper_id", "score")
 
 
@@ -555,12 +543,6 @@ def _(spark, d):
     return pages.find_section(pages.sections(docs), docs, "Assistant").select("paper", "id")
 
 
-@query("section_summary")
-def _(spark, d):
-    docs = A.markdown(spark, d)
-    return pages.with_summary(pages.sections(docs), docs).select("paper", "id", "summary")
-
-
 @query("tree_issues", sql("SELECT paper, id, 'missing_parent' AS code FROM (SELECT conv_id AS paper, 's.01.' || lpad(cast(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS VARCHAR), 2, '0') || '.01' AS id, turn FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL) WHERE ends_with(id, '.02.01')"))
 def _(spark, d):
     return pages.tree_issues(pages.sections(A.markdown(spark, d)).where("not (level = 2 and id like '%.02')"))
@@ -575,15 +557,10 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", text.word_count(t).alias("words"), (F.length(t) - F.length(F.replace(t, F.lit("|"), F.lit("")))).alias("bars"))
 
 
-@query("heading_diff", "SELECT conv_id AS paper, array_to_string(list_filter(['## user', '## assistant', '## judge'], lambda h: NOT list_contains(hs, h)), ',') AS missing, array_to_string(list_filter(hs, lambda h: h NOT IN ('## user', '## assistant', '## judge')), ',') AS extra FROM (SELECT conv_id, list('## ' || coalesce(role, 'none') ORDER BY turn) AS hs FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id)")
+@query("heading_diff", "SELECT conv_id AS paper, array_to_string(list_filter(['## user', '## assistant', '## judge'], lambda h: NOT list_contains(hs, h)), ',') AS missing, array_to_string(list_filter(hs, lambda h: h NOT IN ('## user', '## assistant', '## judge')), ',') AS extra, list_filter(hs, lambda h: h IN ('## user', '## assistant', '## judge')) <> list_filter(['## user', '## assistant', '## judge'], lambda h: list_contains(hs, h)) AS out_of_order FROM (SELECT conv_id, list('## ' || coalesce(role, 'none') ORDER BY turn) AS hs FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id)")
 def _(spark, d):
     diff = text.heading_diff("text", ["## user", "## assistant", "## judge"])
-    return A.markdown(spark, d).withColumn("d", diff).select("paper", csv("d.missing").alias("missing"), csv("d.extra").alias("extra"))
-
-
-@query("sentences_topk")
-def _(spark, d):
-    return packs.picked_sentences(table(spark, d, "documents").select(F.col("doc_id").alias("paper"), "text"), 3)
+    return A.markdown(spark, d).withColumn("d", diff).select("paper", csv("d.missing").alias("missing"), csv("d.extra").alias("extra"), F.col("d.out_of_order").alias("out_of_order"))
 
 
 @query("slug_ids", r"SELECT p_partkey, CASE WHEN s = '' THEN 'method' ELSE s END AS slug FROM (SELECT p_partkey, trim(substr(regexp_replace(trim(regexp_replace(lower('The ' || p_name || ' & ' || p_brand), '[^a-z0-9]+', '-', 'g'), '-'), '^(?:a|an|the)-', ''), 1, 80), '-') AS s FROM part)")
@@ -753,16 +730,18 @@ def _(spark, d):
     return state.turn_results(said.unionByName(usage))
 
 
-@query("settled_keys", "SELECT user_id AS key, max(event_id) AS signature FROM events GROUP BY user_id HAVING max(ts) <= (TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 36000 SECOND)")
+@query("settled_keys", "SELECT user_id AS key, arg_max(event_id, (ts, event_id)) AS signature FROM events GROUP BY user_id HAVING max(ts) <= (SELECT max(ts) FROM events) - INTERVAL 36000 SECOND")
 def _(spark, d):
-    changes = table(spark, d, "events").select(F.col("user_id").alias("key"), F.struct("ts", "event_id").alias("o"), F.col("ts").alias("at"), F.col("event_id").alias("signature"))
-    return state.settled(changes, 36000, F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'")).select("key", "signature")
+    events = table(spark, d, "events")
+    changes = events.select(F.col("user_id").alias("key"), F.struct("ts", "event_id").alias("o"), F.col("ts").alias("at"), F.col("event_id").alias("signature"))
+    newest = events.agg(F.max("ts")).first()[0]
+    return state.settled(changes, 36000, F.lit(newest).cast("timestamp_ntz")).select("key", "signature")
 
 
-@query("ranked_gaps", sql("SELECT norm AS concept, round(importance, 6) AS importance FROM cand WHERE reason IS NULL ORDER BY cand.importance DESC, norm LIMIT 10", *_GAP, **_ALL))
+@query("ranked_gaps", sql("SELECT norm AS concept, round(importance, 6) AS importance, array_to_string(list_slice(list_sort(in_slots), 1, 3), ',') AS evidence FROM cand WHERE reason IS NULL ORDER BY cand.importance DESC, norm LIMIT 10", *_GAP, **_ALL))
 def _(spark, d):
-    rows = _candidates(spark, d).where("reason is null").select(F.col("norm").alias("concept"), "importance", F.array(F.lit("a")).alias("evidence_ids"))
-    return state.ranked_gaps(rows).select("concept", F.round("importance", 6).alias("importance"))
+    rows = _candidates(spark, d).where("reason is null").select(F.col("norm").alias("concept"), "importance", F.col("in_slots").alias("evidence_ids"))
+    return state.ranked_gaps(rows).select("concept", F.round("importance", 6).alias("importance"), csv("evidence_ids").alias("evidence"))
 
 
 @query("append_accepted", sql("SELECT paper_id, 'pool' AS status FROM papers WHERE doc_id % 2 = 0 UNION ALL SELECT paper_id, 'expansion' FROM papers WHERE doc_id % 3 = 0 AND doc_id % 2 <> 0", "papers"))
@@ -803,46 +782,6 @@ def _(spark, d):
     return packs.first_nodes(A.claims(spark, d).withColumnRenamed("claim_type", "kind"), 2).select("paper", "kind", "node", "rank")
 
 
-@query("pack_method_json")
-def _(spark, d):
-    c = A.claims(spark, d)
-    items = c.withColumn("kind", F.concat(F.lit("claims/"), F.col("claim_type")))
-    nodes = c.groupBy("paper", F.col("node").alias("id")).agg(F.min_by("text", "nth").alias("section_text")).withColumn("summary", F.lit(""))
-    built = packs.method_packs(packs.node_text(packs.section_sources(items), nodes), c)
-    return built.select("paper", F.size("section_plan").alias("sections"), packs.json_pack(built).alias("pack"))
-
-
-@query("json_repair")
-def _(spark, d):
-    raw = F.concat(F.lit("Here:\n```json\n{\"b\": \"\\alpha\", \"a\": "), F.col("event_id").cast("string"), F.lit("}\n```"))
-    return table(spark, d, "events").select("event_id", jsonx.repair_json(raw).alias("json"))
-
-
-@query("math_sanitize")
-def _(spark, d):
-    raw = F.concat(F.lit("\\(x_"), F.col("p_size").cast("string"), F.lit("\\) and $$ a $b$ c $$\n`\\(code\\)`"))
-    return table(spark, d, "part").select("p_partkey", math.math_normalised(raw).alias("text"), math.bad_math(raw).alias("bad"))
-
-
-@query("gap_scope_greedy")
-def _(spark, d):
-    c = A.claims(spark, d).groupBy("paper").agg(F.array_join(F.array_sort(F.collect_list("text")), " ").alias("evidence"))
-    methods = c.withColumn("explicit", F.array().cast("array<string>"))
-    return packs.gap_scopes(methods, ["small ring", "ring", "red widget", "Brand#1", "gear"]).select("paper", csv("gap_scope").alias("gap_scope"))
-
-
-@query("singleton_merge")
-def _(spark, d):
-    """Outlines of nations as families and sixty suppliers each as methods."""
-    s = table(spark, d, "supplier").where("s_suppkey is not null").withColumn("o", F.floor(F.col("s_suppkey") / 60))
-    methods = s.groupBy("o", F.col("s_nationkey").alias("f")).agg(F.array_sort(F.collect_list(F.concat(F.lit("m"), F.col("s_suppkey").cast("string")))).alias("ids"))
-    family = F.to_json(F.struct(F.concat(F.lit("f"), F.col("f").cast("string")).alias("id"), F.col("ids").alias("method_ids"), F.array(F.lit("f1")).alias("neighbor_family_ids")))
-    method = F.to_json(F.struct(F.concat(F.lit("m"), F.col("s_suppkey").cast("string")).alias("id"), F.concat(F.lit("f"), F.col("s_nationkey").cast("string")).alias("family_id"), F.array(F.lit("m1"), F.lit("m2"), F.lit("m3")).alias("neighbor_method_ids")))
-    one = methods.groupBy("o").agg(F.array_join(F.array_sort(F.collect_list(family)), ",").alias("f")).join(s.groupBy("o").agg(F.array_join(F.array_sort(F.collect_list(method)), ",").alias("m")), "o")
-    doc = one.select(F.concat(F.lit("o"), F.col("o").cast("string")).alias("outline_id"), F.concat(F.lit('{"families":['), "f", F.lit('],"methods":['), "m", F.lit('],"parts":[]}')).alias("outline"))
-    return outline.merge_all(doc)
-
-
 @query("stream_latest")
 def _(spark, d):
     """The batch form of the fold that ``streaming.folds.latest`` keeps up to date."""
@@ -850,3 +789,6 @@ def _(spark, d):
 
 
 ORACLES["stream_latest"] = sql("SELECT key, seq, status FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY fetched_at DESC, seq DESC) AS n FROM cache_puts) WHERE n = 1", "cache_puts")
+
+
+from . import answers, book, landed  # noqa: E402, F401  they register further queries

@@ -161,3 +161,42 @@ class HttpJsonSource(DataSource):
 def availability(status: Column) -> Column:
     """What an answer says of a text: available, unavailable for good, or to be tried again."""
     return F.when(status.between(200, 299), "available").when(status.isin(400, 404, 410, 422), "unavailable").otherwise("transient")
+
+
+def _listed(value: Column) -> Column:
+    """The items of a JSON list as JSON texts (plain texts without quotes), null for anything else."""
+    return F.when(F.startswith(F.ltrim(value), F.lit("[")), F.from_json(value, "array<string>"))
+
+
+def paper_ids(records: DataFrame, column: str, within: str) -> DataFrame:
+    """(ord, paper_id, record) of a list of ids or of records, a map by id, or either of them below the field ``within``.
+
+    An item of a list that is neither an id nor a record with one raises; so does a value that is neither list nor map.
+    """
+    whole = F.col(column)
+    inner = F.coalesce(F.get_json_object(whole, f"$.{within}"), whole)
+    listed, mapped = _listed(inner), F.from_json(inner, "map<string,string>")
+    good = F.assert_true(listed.isNotNull() | mapped.isNotNull(), "papers are a list or a map")
+    items = F.when(listed.isNotNull(), F.transform(listed, lambda x: F.struct(_identity(x).alias("paper_id"), x.alias("record")))).otherwise(F.transform(F.map_entries(mapped), lambda e: F.struct(e["key"].alias("paper_id"), e["value"].alias("record"))))
+    rows = records.select(F.when(good.isNull(), items).alias("_items")).select(F.posexplode("_items").alias("ord", "_i"))
+    checked = F.assert_true(F.coalesce(F.col("_i.paper_id"), F.lit("")) != "", "a paper without an id")
+    return rows.select("ord", F.when(checked.isNull(), F.col("_i.paper_id")).alias("paper_id"), F.col("_i.record").alias("record"))
+
+
+def _identity(item: Column) -> Column:
+    return F.when(F.startswith(F.ltrim(item), F.lit("{")), F.get_json_object(item, "$.arxiv_id")).otherwise(item)
+
+
+def promoted(records: DataFrame, column: str = "value") -> DataFrame:
+    """(ord, paper_id, record) of promoted papers: an object with a list ``promoted_papers``, or the list or map by itself."""
+    return paper_ids(records, column, "promoted_papers")
+
+
+def seed_pool(records: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Ids of a seed pool (ord, paper_id, record), and one row (total_kept) with the count that it declares."""
+    return paper_ids(records, column, "papers"), records.select(F.get_json_object(column, "$.total_kept").try_cast("long").alias("total_kept"))
+
+
+def evidence_claims(records: DataFrame, key: str = "paper", column: str = "value") -> DataFrame:
+    """(paper, claims): the claims of verified evidence as JSON texts. Null says that there is no such list, an empty array that it is empty."""
+    return records.select(key, _listed(F.get_json_object(column, "$.claims")).alias("claims"))

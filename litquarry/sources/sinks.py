@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import json as jsonx
 from ..operators import state
 
 
@@ -16,18 +17,49 @@ def _fs(spark: SparkSession, path: str):
 
 
 def replace(spark: SparkSession, path: str, write) -> None:
-    """Write to a folder beside ``path`` and rename it into place, so that readers see the old rows or the new ones."""
+    """Write to a folder beside ``path`` and move it into place.
+
+    Readers see the old rows or the new ones; between the two moves, for a moment, there is nothing at ``path``, and a reader
+    that comes then fails and has to come again. If the second move fails, the first is taken back. A table that must never be
+    away is kept with ``publish`` and read through ``published``.
+    """
     beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}.tmp"
     write(beside)
     fs, target = _fs(spark, path)
     made, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, f"{beside}.old"))
-    if fs.exists(target):
-        fs.rename(target, old)
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"could not move {path} away")
     if not fs.rename(made, target):
+        if had:
+            fs.rename(old, target)
         raise OSError(f"could not move {beside} to {path}")
     fs.delete(old, True)
 
 
+def publish(spark: SparkSession, path: str, write) -> str:
+    """Write a new version below ``path`` and let it count by creating its mark, which is one step; the version's name."""
+    fs, base = _fs(spark, path)
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(base)
+    version = f"v{max([int(v[1:]) for v in _marks(spark, path)], default=0) + 1:012d}"
+    write(f"{path}/{version}")
+    if not fs.createNewFile(Path(f"{path}/{version}.current")):
+        raise OSError(f"{version} of {path} is there already")
+    return version
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest version that counts."""
+    marks = _marks(spark, path)
+    return f"{path}/{max(marks)}" if marks else None
+
+
+def _marks(spark: SparkSession, path: str) -> list[str]:
+    found = _fs(spark, path)[0].globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*.current"))
+    return [str(s.getPath().getName()).removesuffix(".current") for s in found or []]
+
+
 def json_snapshot(rows: DataFrame, path: str) -> None:
     """Records with their fields in the order of names."""
     rows = rows.select(*sorted(rows.columns))
@@ -70,8 +102,7 @@ def remove(gone: DataFrame, path: str, keys: list[str], drop_empty: bool = False
 
 def append_log(events: DataFrame, path: str) -> None:
     """Events with an id that depends on what they say and not on when."""
-    said = [c for c in sorted(events.columns) if c != "timestamp"]
-    ident = F.substring(F.sha2(F.to_json(F.struct(*said)), 256), 1, 16)
+    ident = jsonx.event_id([c for c in events.columns if c != "timestamp"])
     events.withColumn("event_id", ident).write.mode("append").json(path)
 
 

@@ -48,29 +48,46 @@ def appending(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter
 def cached(puts: DataFrame, ttl_seconds: int) -> DataFrame:
     """(key, payload, fetched_at, live): the last put of each key, and a row with live = false when it has expired.
 
-    Time is event time, so ``puts`` needs a watermark on fetched_at; the state of a key goes when it expires.
+    Time is event time, so ``puts`` needs a watermark on fetched_at. A put is live while the watermark is less than the time
+    to live beyond it; one that comes when it has expired already is told at once with live = false and leaves no state. Of puts
+    of one time the last one wins; a put that is older than the one held changes nothing and tells nothing.
     """
 
     def step(key, frames, held: GroupState):
+        row = lambda payload, at, live: pd.DataFrame({"key": [key[0]], "payload": [payload], "fetched_at": [pd.Timestamp(at, unit="us")], "live": [live]})
         if held.hasTimedOut:
             payload, at = held.get
             held.remove()
-            yield pd.DataFrame({"key": [key[0]], "payload": [payload], "fetched_at": [pd.Timestamp(at, unit="us")], "live": [False]})
+            yield row(payload, at, False)
             return
-        payload, at = held.get if held.exists else (None, -1)
+        payload, at = before = held.get if held.exists else (None, -1)
         for f in frames:
-            micros = f["fetched_at"].astype("datetime64[us]").astype("int64")
-            i = micros.to_numpy().argmax()
-            if micros.iloc[i] >= at:
-                payload, at = f["payload"].iloc[i], int(micros.iloc[i])
+            micros = f["fetched_at"].astype("datetime64[us]").astype("int64").to_numpy()
+            i = len(micros) - 1 - micros[::-1].argmax()
+            if micros[i] >= at:
+                payload, at = f["payload"].iloc[i], int(micros[i])
+        if (payload, at) == tuple(before):
+            return
+        expires = at // 1000 + ttl_seconds * 1000
+        if expires <= held.getCurrentWatermarkMs():
+            if held.exists:
+                held.remove()
+            yield row(payload, at, False)
+            return
         held.update((payload, at))
-        held.setTimeoutTimestamp(max(at // 1000 + ttl_seconds * 1000, held.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"key": [key[0]], "payload": [payload], "fetched_at": [pd.Timestamp(at, unit="us")], "live": [True]})
+        held.setTimeoutTimestamp(expires)
+        yield row(payload, at, True)
 
     kind = puts.schema["key"].dataType.simpleString()
     return puts.groupBy("key").applyInPandasWithState(step, f"key {kind}, payload string, fetched_at timestamp, live boolean", "payload string, at long", "update", GroupStateTimeout.EventTimeTimeout)
 
 
+def latest_cache_state(rows: DataFrame) -> DataFrame:
+    """The table that the rows of ``cached`` tell, once they are written: the last row of each key, gone ones left out."""
+    last = rows.groupBy("key").agg(F.max_by(F.struct("payload", "fetched_at", "live"), F.struct("fetched_at", (~F.col("live")).alias("gone"))).alias("r"))
+    return last.where("r.live").select("key", "r.payload", "r.fetched_at")
+
+
 def quiet(changes: DataFrame, gap: str, late: str) -> DataFrame:
     """(key, from, until, changes): bursts of changes of a key that are followed by ``gap`` without one."""
     return changes.withWatermark("at", late).groupBy("key", F.session_window("at", gap)).agg(F.count(F.lit(1)).alias("changes")).select("key", F.col("session_window.start").alias("from"), F.col("session_window.end").alias("until"), "changes")

@@ -1,5 +1,8 @@
 import datetime
 import json
+import os
+
+import pytest
 
 from litquarry.operators import state
 from litquarry.streaming import folds
@@ -7,9 +10,13 @@ from litquarry.streaming import folds
 PUTS = "key string, payload string, fetched_at timestamp, ord long"
 
 
-def land(folder, name, events):
+def land(folder, name, events, nth=None):
+    """A file of events; files are read in the order of their times, which ``nth`` sets."""
     folder.mkdir(exist_ok=True)
-    (folder / f"{name}.json").write_text("\n".join(map(json.dumps, events)))
+    path = folder / f"{name}.json"
+    path.write_text("\n".join(map(json.dumps, events)))
+    if nth is not None:
+        os.utime(path, (1_700_000_000 + 60 * nth, 1_700_000_000 + 60 * nth))
 
 
 def at(minute):
@@ -55,14 +62,21 @@ def test_append(spark, tmp_path):
     assert spark.read.schema(PUTS).json(str(tmp_path / "out")).count() == 1
 
 
-def test_cache_expires(spark, tmp_path):
-    land(tmp_path / "in", "1", [put("a", "1", 0), put("b", "1", 5)])
-    land(tmp_path / "in", "2", [put("b", "2", 60)])
-    land(tmp_path / "in", "3", [put("c", "1", 61)])
+@pytest.mark.parametrize("order", [(1, 2, 3), (3, 1, 2), (2, 3, 1)])
+def test_cache_expires(spark, tmp_path, order):
+    files = {1: [put("a", "1", 0), put("b", "1", 5)], 2: [put("b", "2", 60)], 3: [put("c", "1", 61)]}
+    for nth, name in enumerate(order):
+        land(tmp_path / "in", str(name), files[name], nth)
     stream = folds.landed(spark, str(tmp_path / "in"), PUTS, per_trigger=1).withWatermark("fetched_at", "1 minute")
-    drain(folds.cached(stream, 600), "update", "cached_puts", tmp_path / "c")
-    got = [tuple(r) for r in spark.table("cached_puts").select("key", "payload", "live").collect()]
-    assert ("a", "1", False) in got and ("b", "2", True) in got and ("c", "1", True) in got
+    table = "cached_puts_" + "".join(map(str, order))
+    drain(folds.cached(stream, 600), "update", table, tmp_path / "c")
+    got = [tuple(r) for r in spark.table(table).select("key", "payload", "live").collect()]
+    assert ("b", "2", True) in got and ("c", "1", True) in got and ("c", "1", False) not in got and ("b", "2", False) not in got
+    # what is past its time is either told as gone in the end or came too late to be told at all
+    assert [r for r in got if r[0] == "a"] in ([("a", "1", True), ("a", "1", False)], [("a", "1", False)], [])
+    assert order != (1, 2, 3) or ("a", "1", False) in got
+    state_now = {tuple(r) for r in folds.latest_cache_state(spark.table(table)).select("key", "payload").collect()}
+    assert state_now == {("b", "2"), ("c", "1")}
 
 
 def test_windows_and_bursts(spark, tmp_path):
