@@ -50,7 +50,8 @@ def cached(puts: DataFrame, ttl_seconds: int) -> DataFrame:
 
     Time is event time, so ``puts`` needs a watermark on fetched_at. A put is live while the watermark is less than the time
     to live beyond it; one that comes when it has expired already is told at once with live = false and leaves no state. Of puts
-    of one time the last one wins; a put that is older than the one held changes nothing and tells nothing.
+    of one time the last one wins; a put that is older than the one held changes nothing and tells nothing. A put that is not
+    after the watermark that the batch before it began with is late: Spark drops it before it gets here.
     """
 
     def step(key, frames, held: GroupState):

@@ -120,3 +120,25 @@ def test_singletons():
     assert best["methods"][0]["family_id"] == "c"
     pair = outline.merge_singletons(book([("a", ["m1"], []), ("b", ["m2"], []), ("c", ["m3", "m4"], [])], [("m1", "a", []), ("m2", "b", []), ("m3", "c", []), ("m4", "c", [])]))
     assert {f["id"]: (f["title"], f["method_ids"]) for f in pair["families"]} == {"a": ("Complementary Methods", ["m1", "m2"]), "c": ("c", ["m3", "m4"])}
+
+
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        ("$$ $a_{t}=\\texttt{GO}(b)$ $$\n", "$$\na_{t}=\\texttt{GO}(b)\n$$\n"),
+        ("$$\n$r=\\frac{x}{y},$ (1)\n$$\n", "$$\nr=\\frac{x}{y}, (1)\n$$\n"),
+        ("$$ (1) $\\text{At}k$ $$\n", "$$\n(1) \\text{At}k\n$$\n"),
+        ("$$ $x,$ (3) $\n", "$$\nx, (3)\n$$\n"),
+        ("Inline $x+1$ stays.\n\n$$\ny=x+2\n$$\n", "Inline $x+1$ stays.\n\n$$\ny=x+2\n$$\n"),
+        ("$$\n\\texttt{val_bpb}+\\text{A_TO_B}\n$$\n", "$$\n\\texttt{val\\_bpb}+\\text{A\\_TO\\_B}\n$$\n"),
+        ("Use \\(P^{\\prime}\\) here.\n", "Use $P^{\\prime}$ here.\n"),
+        ("Use `\\(raw\\)`.\n\n```md\n\\[x\\]\n```\n", "Use `\\(raw\\)`.\n\n```md\n\\[x\\]\n```\n"),
+        ("\\[\na+b\n=c\n\\]\n", "$$\na+b\n=c\n$$\n"),
+        ("$$\na\\\\[8.0pt]0\n$$\n", "$$\na\\\\[8.0pt]0\n$$\n"),
+        ("$$\nS(x)$ $=y$ (1) $+z\n$$\n", "$$\nS(x) =y (1) +z\n$$\n"),
+    ],
+)
+def test_mathematical_markup(given, want):
+    from litquarry.functions.math import normalise_math
+
+    assert normalise_math(given) == want and normalise_math(want) == want
