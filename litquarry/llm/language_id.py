@@ -62,17 +62,17 @@ def codewords(n: int) -> np.ndarray:
 
 def _features(data: np.ndarray, offsets: np.ndarray):
     """For slices of the joined bytes: each place's text, and its feature for each length of run."""
-    values = _PLAIN[data].astype(np.uint64)
     none = np.int64(1 << FEATURE_BITS)
     step = K.SLICE // 4
     for lo in range(0, len(data), step):
         hi = min(len(data), lo + step)
         text, left = K.room(offsets, lo, hi)
+        values = _PLAIN[data[lo : hi + max(RUNS)]].astype(np.uint64)
         out = []
         for n in RUNS:
             part = np.zeros(hi - lo, np.uint64)
             for k in range(n):
-                piece = values[lo + k : hi + k]
+                piece = values[k : hi - lo + k]
                 part[: len(piece)] |= piece << K.U(8 * k)
             f = (K.mix(part, n) >> K.U(64 - FEATURE_BITS)).astype(np.int64)
             f[left < n] = none

@@ -99,11 +99,11 @@ def masks(half: int, width: int = 64) -> np.ndarray:
 class _Layout:
     """How the scrambled variants of all groups are cut into buckets and values."""
 
-    def __init__(self, n: int, radius: int, least: int, width: int = 64):
+    def __init__(self, n: int, radius: int, least: int, width: int = 64, variants: int | None = None):
         if radius % 2:
             raise ValueError("radius must be even: variants meet half way")
         self.masks = masks(radius // 2, width)
-        group = max(1, GROUP // len(self.masks))
+        group = max(1, (variants or GROUP) // len(self.masks))
         self.groups = groups_for(n, group)
         each, total = (max(1, k) * len(self.masks) for k in (min(n, group), n))
         self.bucket_bits = max(4, (max(least, groups_for(total, BUCKET)) - 1).bit_length())
@@ -218,13 +218,13 @@ def _link(radius: int):
     return link
 
 
-def links(distinct: DataFrame, n: int, radius: int = RADIUS, width: int = 64) -> DataFrame:
+def links(distinct: DataFrame, n: int, radius: int = RADIUS, width: int = 64, variants: int | None = None) -> DataFrame:
     """(a, b): edges between the n distinct fingerprints ``fp`` whose components are those of all links of at most ``radius`` bits.
 
-    Fingerprints are linked only if all bits above the lowest ``width`` are equal.
+    Fingerprints are linked only if all bits above the lowest ``width`` are equal. ``variants`` is how many a group holds at a time.
     """
     least = shuffle_partitions(distinct.sparkSession)
-    x = _Layout(n, radius, least, width)
+    x = _Layout(n, radius, least, width, variants)
     groups = distinct.select("fp", F.pmod(F.xxhash64("fp"), F.lit(x.groups)).cast("int").alias("grp")).repartition(max(least, groups_for(x.groups, 16)), "grp").groupBy("grp")
     said = groups.applyInArrow(_say(x), "bucket int, grp int, first binary, width int, gaps binary")
     answers = said.groupBy("bucket").applyInArrow(_answer, "grp int, places binary")
