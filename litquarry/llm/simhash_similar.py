@@ -36,6 +36,8 @@ from .simhash import links, majority
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.98
 #: Most differing bits of two fingerprints that are linked, fewest bits of a fingerprint, and bits beyond those that number all texts.
 RADIUS, LEAST_BITS, SPARE_BITS = 2, 32, 13
+#: Variants that a group of fingerprints holds at a time.
+VARIANTS = 4 << 20
 #: Words of 64 bits in a sketch, and by how many standard deviations a similar pair's sketches may differ more than expected.
 SKETCH, DEVIATIONS = 8, 3.5
 
@@ -118,11 +120,14 @@ def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: float =
     tables, bits = plan(texts.count(), similarity, recall)
     prints = cut(texts.select("node", "text").mapInArrow(_fingerprints(shingle, tables, bits), "node long, n int, values array<long>"), "short-fingerprints")
     prints = prints.select("node", "n", F.explode("values").alias("value"))
-    values = cut(prints.select(F.col("value").alias("fp")).distinct(), "values")
-    roots = cut(components(links(values, values.count(), RADIUS, bits)), "value-roots")
-    keys = prints.join(roots, prints["value"] == roots["node"], "left").select(prints["node"], "n", F.coalesce("root", "value").alias("key"))
-    hubs = cut(keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k"), "hubs")
-    shared = cut(keys.join(hubs, "key"), "shared-keys")
+    # most values belong to one text and meet no other, so rows of texts are joined to the others only
+    counted = cut(prints.groupBy("value").agg(F.count(F.lit(1)).alias("k")), "values")
+    roots = cut(components(links(counted.select(F.col("value").alias("fp")), counted.count(), RADIUS, bits, VARIANTS)), "value-roots")
+    named = counted.join(roots, counted["value"] == roots["node"], "left").where("root is not null or k > 1")
+    named = cut(named.select("value", F.coalesce("root", "value").alias("key")), "value-keys")
+    keys = cut(prints.join(named, "value").select("node", "n", "key"), "keys")
+    hubs = cut(keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub")), "hubs")
+    shared = cut(keys.join(hubs, "key").select("key", "node", "n", "hub"), "shared-keys")
     wanted = cut(shared.select("node").distinct(), "colliding")
     sets = cut(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sets(shingle), "node long, shingles array<long>, sketch array<long>"), "shingles")
 
