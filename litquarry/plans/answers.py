@@ -36,32 +36,31 @@ def cat(*parts) -> F.Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-S = F.col("s")
 
 
 @query("json_repair", r"""SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"a": ' || event_id || ', "b": "\\alpha"}' WHEN 1 THEN '{"b": [' || event_id || ', null]}' WHEN 2 THEN '"\n"' END AS json FROM events""")
 def _(spark, d):
-    raw = _cases(4, cat('Here:\n```json\n{"b": "\\alpha", "a": ', S, "}\n```"), cat('  {"b": [', S, ", null]} "), '"\\n"', cat("{broken ", S))
+    raw = _cases(4, cat('Here:\n```json\n{"b": "\\alpha", "a": ', F.col("s"), "}\n```"), cat('  {"b": [', F.col("s"), ", null]} "), '"\\n"', cat("{broken ", F.col("s")))
     return _k(spark, d, "events", "event_id").select(F.col("k").alias("event_id"), jsonx.repair_json(raw).alias("json"))
 
 
 @query("math_sanitize", r"""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '$x_' || p_partkey || '$ and $$ a $b$ c $$' || chr(10) || '`\(code\)`' WHEN 1 THEN '$$' || chr(10) || 'a ' || p_partkey || ' b' || chr(10) || '$$'
     WHEN 2 THEN '$$' || chr(10) || 'r=' || p_partkey || ', (1)' || chr(10) || '$$' || chr(10) || '\mathrm{Pass} \text{Fail to} \texttt{v\_' || p_partkey || '}' ELSE '```' || chr(10) || '\(x_' || p_partkey || '\)' || chr(10) || '```' END AS text, p_partkey % 4 IN (0, 1) AS bad FROM part""")
 def _(spark, d):
-    raw = _cases(4, cat("\\(x_", S, "\\) and $$ a $b$ c $$\n`\\(code\\)`"), cat("$$ $a$ ", S, " $b$ $$"), cat("$$\n$r=", S, ",$ (1)\n$$\n\\textsc{Pass} \\textsc{Fail to} \\texttt{v_", S, "}"), cat("```\n\\(x_", S, "\\)\n```"))
+    raw = _cases(4, cat("\\(x_", F.col("s"), "\\) and $$ a $b$ c $$\n`\\(code\\)`"), cat("$$ $a$ ", F.col("s"), " $b$ $$"), cat("$$\n$r=", F.col("s"), ",$ (1)\n$$\n\\textsc{Pass} \\textsc{Fail to} \\texttt{v_", F.col("s"), "}"), cat("```\n\\(x_", F.col("s"), "\\)\n```"))
     seen = F.when(F.col("k") % 4 == 2, F.lit("plain")).otherwise(raw)
     return _k(spark, d, "part", "p_partkey").select(F.col("k").alias("p_partkey"), math.math_normalised(raw).alias("text"), math.bad_math(seen).alias("bad"))
 
 
 @query("heading_once", "SELECT s_suppkey AS k, CASE s_suppkey % 2 WHEN 0 THEN '---' || chr(10) || 'title: \"T ' || s_suppkey || '\"' || chr(10) || '---' || chr(10) || chr(10) || 'body' ELSE '---' || chr(10) || 'title: T' || chr(10) || '---' || chr(10) || '# Other' || chr(10) || 'body' END AS text, s_suppkey % 2 = 0 AS repeated FROM supplier")
 def _(spark, d):
-    raw = _cases(2, cat('---\ntitle: "T ', S, '"\n---\n# T  ', S, "\n\nbody"), "---\ntitle: T\n---\n# Other\nbody")
+    raw = _cases(2, cat('---\ntitle: "T ', F.col("s"), '"\n---\n# T  ', F.col("s"), "\n\nbody"), "---\ntitle: T\n---\n# Other\nbody")
     return _k(spark, d).select("k", math.heading_once(raw).alias("text"), math.repeated_heading(raw).alias("repeated"))
 
 
 @query("section_summary", "SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 'It begins here and ends in line ' || s_suppkey || '.' WHEN 1 THEN substr(repeat('word' || s_suppkey || ' ', 80), 1, 240) ELSE 'No end ' || s_suppkey END AS summary FROM supplier")
 def _(spark, d):
-    lines = _cases(3, F.array(F.lit("# Head"), F.lit("  It begins here"), F.lit(""), cat("and ends in line ", S, ". Then more.")), F.array(F.lit("## Head"), F.repeat(cat("word", S, " "), F.lit(80))), F.array(cat("No end ", S)))
+    lines = _cases(3, F.array(F.lit("# Head"), F.lit("  It begins here"), F.lit(""), cat("and ends in line ", F.col("s"), ". Then more.")), F.array(F.lit("## Head"), F.repeat(cat("word", F.col("s"), " "), F.lit(80))), F.array(cat("No end ", F.col("s"))))
     rows = _k(spark, d).select("k", text.mechanical_summary(lines).alias("summary"))
     return rows.withColumn("summary", F.when(F.col("k") % 3 == 1, F.rpad("summary", 240, " ")).otherwise(F.col("summary")))
 
@@ -71,7 +70,7 @@ ORACLES["section_summary"] = ORACLES["section_summary"].replace("substr(repeat('
 
 @query("sentences_topk", "SELECT s_suppkey AS paper, n AS nth, CASE n WHEN 1 THEN 'Here is the first sentence of ' || s_suppkey || ' that is long enough.' ELSE 'Another one follows it, number ' || s_suppkey || ' as well!' END AS sentence FROM supplier, (VALUES (1), (2)) AS t(n)")
 def _(spark, d):
-    body = cat("# Head\nFigure: no sentence at all here.\n**Table 1 is none either.**\n| a | b |\nShort Title\nAbstract\nHere is the first sentence of ", S, " that is long enough. Too short. HERE is the FIRST sentence of ", S, " that is long enough.\nAnother one follows it, number ", S, " as well! A third one is beyond the limit, surely.")
+    body = cat("# Head\nFigure: no sentence at all here.\n**Table 1 is none either.**\n| a | b |\nShort Title\nAbstract\nHere is the first sentence of ", F.col("s"), " that is long enough. Too short. HERE is the FIRST sentence of ", F.col("s"), " that is long enough.\nAnother one follows it, number ", F.col("s"), " as well! A third one is beyond the limit, surely.")
     return packs.picked_sentences(_k(spark, d).select(F.col("k").alias("paper"), body.alias("text")), 2)
 
 
@@ -114,7 +113,7 @@ def _(spark, d):
 
 @query("gap_scope_greedy", "SELECT s_suppkey AS paper, CASE s_suppkey % 4 WHEN 0 THEN 'small ring' WHEN 1 THEN 'small ring,ring' WHEN 2 THEN 'own gap' ELSE '' END AS gap_scope FROM supplier")
 def _(spark, d):
-    evidence = _cases(4, cat("A Small  Rings' case ", S), cat("a small ring and another ring ", S), "small ring", "boring gearbox, sprung")
+    evidence = _cases(4, cat("A Small  Rings' case ", F.col("s")), cat("a small ring and another ring ", F.col("s")), "small ring", "boring gearbox, sprung")
     rows = _k(spark, d).select(F.col("k").alias("paper"), F.when(F.col("k") % 4 == 2, F.array(F.lit("own gap"))).otherwise(F.array().cast("array<string>")).alias("explicit"), evidence.alias("evidence"))
     return packs.gap_scopes(rows, ["ring", "small ring", "gear"]).select("paper", F.array_join("gap_scope", ",").alias("gap_scope"))
 
@@ -126,7 +125,7 @@ def _(spark, d):
     linked = _cases(4, "[]", "[]", '["fb"]', '["fb"]')
     method = lambda i: f'{{"id":"{i}","family_id":"f{i[0]}"}}'
     doc = cat('{"families":[{"id":"fa","method_ids":["a1","a2"]},{"id":"fb","method_ids":["b1","b2","b3"]},{"id":"fc","method_ids":["c1"],"neighbor_family_ids":', linked, '}],"methods":[' + ",".join(method(i) for i in ("a1", "a2", "b1", "b2", "b3")) + ',{"id":"c1","family_id":"fc","neighbor_method_ids":', near, '}],"parts":[{"id":"p","family_ids":["fa","fb","fc"]}]}')
-    rows = outline.merge_all(_k(spark, d).select(cat("o", S).alias("outline_id"), doc.alias("outline")))
+    rows = outline.merge_all(_k(spark, d).select(cat("o", F.col("s")).alias("outline_id"), doc.alias("outline")))
     return rows.select("outline_id", F.get_json_object("outline", "$.methods[5].family_id").alias("family"), F.json_array_length(F.get_json_object("outline", "$.families")).alias("families"))
 
 
@@ -152,7 +151,7 @@ def _(spark, d):
 
 @query("keep_all_issues", "WITH s AS (SELECT 'a' || s_suppkey AS id, s_suppkey AS k FROM supplier), x AS (SELECT 'pool_missing' AS code, id, k % 10 = 3 AS hit FROM s UNION ALL SELECT 'mirror_missing', id, k % 9 = 1 AND k % 10 <> 3 FROM s UNION ALL SELECT 'raw_missing', id, k % 20 = 5 FROM s UNION ALL SELECT 'mirror_repeated', id, k = 2 FROM s) SELECT 'error' AS severity, code, string_agg(id, ',' ORDER BY id) AS detail FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY id) AS n FROM x WHERE hit) WHERE n <= 10 GROUP BY code UNION ALL VALUES ('error', 'raw_extra', 'extra'), ('error', 'raw_kept_differs', '7') UNION ALL SELECT 'error', 'pool_too_small', cast(count(*) AS VARCHAR) FROM s WHERE k % 10 <> 3 HAVING count(*) < 40")
 def _(spark, d):
-    seeds = _k(spark, d).select(cat("a", S).alias("paper_id"), "k")
+    seeds = _k(spark, d).select(cat("a", F.col("s")).alias("paper_id"), "k")
     one = lambda x: spark.createDataFrame([(x,)], "paper_id string")
     raw = seeds.where("k % 20 <> 5").select("paper_id").unionByName(one("extra"))
     pool = seeds.where("k % 10 <> 3")
@@ -163,7 +162,7 @@ def _(spark, d):
 
 @query("bootstrap_issues", "WITH s AS (SELECT 'a' || s_suppkey AS id, s_suppkey AS k FROM supplier) SELECT 'error' AS severity, code, id AS detail FROM (SELECT id, 'no_reader_needed_concepts' AS code FROM s WHERE k % 7 = 1 UNION ALL SELECT id, 'text_missing' FROM s WHERE k % 2 = 0 AND k % 5 = 1 AND k % 3 <> 0 UNION ALL SELECT id, 'index_missing' FROM s WHERE k % 2 = 0 AND k % 5 <> 1 AND k % 11 = 4 UNION ALL SELECT id, 'no_claims' FROM s WHERE k % 2 = 0 AND k % 5 <> 1 AND k % 13 = 2 UNION ALL SELECT id, 'claim_not_grounded' FROM s WHERE k % 2 = 0 AND k % 5 <> 1 AND k % 13 = 4)")
 def _(spark, d):
-    s = _k(spark, d).select(cat("a", S).alias("paper_id"), "k")
+    s = _k(spark, d).select(cat("a", F.col("s")).alias("paper_id"), "k")
     words = F.array().cast("array<string>")
     weak = s.select("paper_id", F.when(F.col("k") % 7 == 1, words).otherwise(F.array(F.lit("x"))).alias("reader_needed_concepts"))
     promoted = s.where("k % 2 = 0").select("paper_id")
@@ -174,14 +173,14 @@ def _(spark, d):
 
 @query("gap_output_issues", "WITH s AS (SELECT 'c' || s_suppkey AS id, s_suppkey AS k FROM supplier) SELECT 'error' AS severity, code, detail FROM (SELECT 'concept_not_in_digest' AS code, id AS detail FROM s WHERE k % 4 = 1 UNION ALL SELECT 'queue_too_long', cast(count(*) AS VARCHAR) FROM s UNION ALL SELECT 'priority_too_low', id FROM s WHERE k % 3 = 2 UNION ALL SELECT 'too_few_queries', id FROM s WHERE k % 5 = 0)")
 def _(spark, d):
-    s = _k(spark, d).withColumn("concept", cat("c", S))
+    s = _k(spark, d).withColumn("concept", cat("c", F.col("s")))
     queue = s.select("concept", F.when(F.col("k") % 3 == 2, 0.5).otherwise(0.7).alias("priority"), F.when(F.col("k") % 5 == 0, F.array(F.lit("q"))).otherwise(F.array(F.lit("q"), F.lit("r"))).alias("search_queries"))
     return quality.gap_outputs(queue, s.where("k % 4 <> 1").select("concept"))
 
 
 @query("expansion_issues", "WITH s AS (SELECT 'a' || s_suppkey AS id, s_suppkey AS k FROM supplier) SELECT 'error' AS severity, code, id AS detail FROM (SELECT 'accepted_not_in_pool' AS code, id FROM s WHERE k % 4 < 2 AND k % 3 = 0 UNION ALL SELECT 'accepted_without_gap', id FROM s WHERE k % 4 < 2 AND k % 5 = 1 UNION ALL SELECT 'accepted_without_reason', id FROM s WHERE k % 4 < 2 AND k % 7 = 2 UNION ALL SELECT 'unknown_status', id FROM s WHERE k % 4 = 3)")
 def _(spark, d):
-    s = _k(spark, d).withColumn("paper_id", cat("a", S))
+    s = _k(spark, d).withColumn("paper_id", cat("a", F.col("s")))
     rows = s.select("paper_id", _cases(4, "accepted", "accepted", "rejected", "maybe").alias("status"), F.when(F.col("k") % 5 != 1, "g").alias("gap_id"), F.when(F.col("k") % 7 == 2, " ").otherwise("why").alias("why_needed"))
     return quality.expansion_outputs(rows, s.where("k % 3 <> 0").select("paper_id"))
 
@@ -209,7 +208,7 @@ def _(spark, d):
 
 @query("roots_with_details", "SELECT 'a' || s_suppkey AS paper_id, CASE WHEN s_suppkey % 2 = 0 THEN 'detail ' || s_suppkey ELSE 'row ' || s_suppkey END AS title, s_suppkey AS ord FROM supplier")
 def _(spark, d):
-    s = _k(spark, d).select(cat("a", S).alias("paper_id"), cat("row ", S).alias("title"), F.col("k").alias("ord"), "k")
+    s = _k(spark, d).select(cat("a", F.col("s")).alias("paper_id"), cat("row ", F.col("s")).alias("title"), F.col("k").alias("ord"), "k")
     details = s.where("k % 2 = 0").select("paper_id", cat("detail ", F.col("k").cast("string")).alias("title"))
     return discovery.rooted(s.drop("k"), details)
 
@@ -233,8 +232,8 @@ def _(spark, d):
 @query("metadata_batch", "SELECT s_suppkey AS pos, 'a' || s_suppkey AS id, CASE WHEN s_suppkey % 3 <> 1 THEN 'first' END AS title, CASE WHEN s_suppkey % 3 <> 1 THEN 2020 END AS year, s_suppkey % 3 <> 1 AS found FROM supplier")
 def _(spark, d):
     s = _k(spark, d)
-    asked = s.select(F.col("k").alias("pos"), cat("a", S).alias("id"))
-    held = s.where("k % 3 <> 1").select(cat("a", S).alias("paper_id"), F.explode(F.array(F.struct(F.lit(2).alias("ord"), F.lit("second").alias("title")), F.struct(F.lit(1).alias("ord"), F.lit("first").alias("title")))).alias("x"))
+    asked = s.select(F.col("k").alias("pos"), cat("a", F.col("s")).alias("id"))
+    held = s.where("k % 3 <> 1").select(cat("a", F.col("s")).alias("paper_id"), F.explode(F.array(F.struct(F.lit(2).alias("ord"), F.lit("second").alias("title")), F.struct(F.lit(1).alias("ord"), F.lit("first").alias("title")))).alias("x"))
     papers = held.select("paper_id", "x.title", F.lit(2020).alias("year"), F.lit("t").alias("abstract"), "x.ord")
     return search.metadata_batch(asked, papers).drop("abstract")
 
@@ -242,7 +241,7 @@ def _(spark, d):
 @query("aliases_repointed", "SELECT s_suppkey AS key, CASE WHEN s_suppkey % 2 = 0 THEN 'new' ELSE 'old' END || s_suppkey AS entry_id FROM supplier")
 def _(spark, d):
     s = _k(spark, d)
-    return state.repointed(s.select(F.col("k").alias("key"), cat("old", S).alias("entry_id")), s.where("k % 2 = 0").select(F.col("k").alias("key"), cat("new", S).alias("entry_id")))
+    return state.repointed(s.select(F.col("k").alias("key"), cat("old", F.col("s")).alias("entry_id")), s.where("k % 2 = 0").select(F.col("k").alias("key"), cat("new", F.col("s")).alias("entry_id")))
 
 
 @query("candidates_rebuilt", "SELECT s_suppkey AS paper_id, (s_suppkey % 50) / 100.0 AS final_score FROM supplier")
@@ -253,13 +252,13 @@ def _(spark, d):
 
 @query("rewrites_spliced", "SELECT 'm' || s_suppkey AS chapter_id, CASE WHEN s_suppkey % 6 = 0 THEN 'new' ELSE 'old' END AS text FROM supplier")
 def _(spark, d):
-    s = _k(spark, d).withColumn("chapter_id", cat("m", S))
+    s = _k(spark, d).withColumn("chapter_id", cat("m", F.col("s")))
     return packs.spliced(s.select("chapter_id", F.lit("old").alias("text")), s.where("k % 2 = 0").select("chapter_id", F.lit("new").alias("text")), s.select("chapter_id", (F.col("k") % 3 == 0).alias("passed")))
 
 
 @query("figures_chosen", "SELECT s_suppkey AS paper, 'https://x.org/b' || s_suppkey || '.png' AS source_url, 'Overview of the framework in Figure 1' AS caption, 2 AS line FROM supplier")
 def _(spark, d):
-    body = cat("![Accuracy curve](https://x.org/a", S, ".png)\n![Overview  of the framework in Figure 1](https://x.org/b", S, ".png) text\n![none](ftp://x.org/c.png)\n![Overview  of the framework in Figure 1](https://x.org/b", S, ".png)")
+    body = cat("![Accuracy curve](https://x.org/a", F.col("s"), ".png)\n![Overview  of the framework in Figure 1](https://x.org/b", F.col("s"), ".png) text\n![none](ftp://x.org/c.png)\n![Overview  of the framework in Figure 1](https://x.org/b", F.col("s"), ".png)")
     rows = packs.figure_candidates(_k(spark, d).select(F.col("k").alias("paper"), body.alias("text")))
     return packs.best_figures(rows).select("paper", "source_url", "caption", "line")
 
@@ -273,7 +272,7 @@ def _(spark, d):
 
 @query("section_bodies", "SELECT s_suppkey AS paper, CASE t WHEN 1 THEN 'a' ELSE 'b ' || s_suppkey END AS title, CASE t WHEN 1 THEN 'one' || chr(10) || 'three ' || s_suppkey ELSE 'two' END AS body FROM supplier, (VALUES (1), (2)) AS x(t)")
 def _(spark, d):
-    body = cat("# T\nlost\n## A\none\n## B ", S, "\ntwo\n\n## a:\nthree ", S, "\n")
+    body = cat("# T\nlost\n## A\none\n## B ", F.col("s"), "\ntwo\n\n## a:\nthree ", F.col("s"), "\n")
     return pages.section_map(_k(spark, d).select(F.col("k").alias("paper"), body.alias("text")))
 
 
@@ -299,8 +298,8 @@ def _(spark, d):
 
 @query("display_titles", "SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 'On x ' || s_suppkey || ' nets' WHEN 1 THEN 'On nets (x-' || s_suppkey || ')' ELSE 'On x-' || s_suppkey || ' nets' END AS title FROM supplier")
 def _(spark, d):
-    title = _cases(3, cat("On x ", S, " nets"), "On nets", cat("On x-", S, " nets"))
-    return _k(spark, d).select("k", text.display_title(title, cat("x-", S)).alias("title"))
+    title = _cases(3, cat("On x ", F.col("s"), " nets"), "On nets", cat("On x-", F.col("s"), " nets"))
+    return _k(spark, d).select("k", text.display_title(title, cat("x-", F.col("s"))).alias("title"))
 
 
 @query("heading_keys", "SELECT s_suppkey AS k, 'results and more' AS heading, 'results and more 2' AS title FROM supplier")
@@ -312,23 +311,23 @@ def _(spark, d):
 @query("outline_lines_copied", "SELECT s_suppkey AS k, 3 + s_suppkey % 3 AS copied, 'See  and ' || s_suppkey AS plain FROM supplier")
 def _(spark, d):
     body = cat("- 1 Intro\n* 2.3 model here\n- A.1 Proofs\n- plain item\n2 Intro\n- 5\n", F.repeat(F.lit("- Baselines.\n"), (F.col("k") % 3).cast("int")))
-    return _k(spark, d).select("k", text.copied_outline_lines(body).alias("copied"), text.without_citations(cat("See [arxiv:2401.1, n3] and ", S)).alias("plain"))
+    return _k(spark, d).select("k", text.copied_outline_lines(body).alias("copied"), text.without_citations(cat("See [arxiv:2401.1, n3] and ", F.col("s"))).alias("plain"))
 
 
 @query("diagram_labels", "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN 'Decoder,X' || s_suppkey ELSE 'X' || s_suppkey END AS labels FROM supplier")
 def _(spark, d):
     allowed = F.when(F.col("k") % 2 == 0, F.array(F.lit("Encoder"))).otherwise(F.array(F.lit("Encoder"), F.lit("Decoder")))
-    return _k(spark, d).select("k", F.array_join(text.provenance_violations(cat("Encoder --> Decoder --> X", S, " lower"), allowed), ",").alias("labels"))
+    return _k(spark, d).select("k", F.array_join(text.provenance_violations(cat("Encoder --> Decoder --> X", F.col("s"), " lower"), allowed), ",").alias("labels"))
 
 
 @query("blocks_inserted", "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN 'before' || chr(10) || '# Head' || chr(10) || chr(10) || 'B' || s_suppkey || chr(10) || 'after' ELSE 'B' || s_suppkey || chr(10) || chr(10) || 'no head' END AS text FROM supplier")
 def _(spark, d):
-    return _k(spark, d).select("k", text.insert_after_heading(_cases(2, "before\n# Head\nafter", "no head"), cat("B", S)).alias("text"))
+    return _k(spark, d).select("k", text.insert_after_heading(_cases(2, "before\n# Head\nafter", "no head"), cat("B", F.col("s"))).alias("text"))
 
 
 @query("front_values", "SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 < 2 THEN 'T' || s_suppkey END AS title, 'body' AS body FROM supplier")
 def _(spark, d):
-    raw = _cases(3, cat("---\ntitle: \"T", S, "\"\nx: 1\n---\nbody"), cat("---\ntitle: T", S, "\n---\nbody"), "body")
+    raw = _cases(3, cat("---\ntitle: \"T", F.col("s"), "\"\nx: 1\n---\nbody"), cat("---\ntitle: T", F.col("s"), "\n---\nbody"), "body")
     return _k(spark, d).select("k", text.front_value(raw, "title").alias("title"), text.body(raw).alias("body"))
 
 

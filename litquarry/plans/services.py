@@ -20,14 +20,13 @@ def _paper(ident, *more) -> F.Column:
     return F.concat(F.lit('{"paperId":"S'), ident, F.lit('","externalIds":{"ArXiv":"a'), ident, F.lit('"},"title":"T'), ident, F.lit('","citationCount":'), ident, *[F.lit(x) for x in more], F.lit("}"))
 
 
-S = F.col("s")
 
 
 @query("service_search_items", "SELECT 'q' || s_suppkey AS query, o AS ord, 'a' || (s_suppkey + o) AS paper_id, s_suppkey + o AS citation_count FROM supplier, (VALUES (0), (1)) AS t(o)")
 def _(spark, d):
     from ..operators.search import paper_rows
 
-    body = F.concat(F.lit('{"total":2,"data":['), _paper(S), F.lit(","), _paper((F.col("k") + 1).cast("string")), F.lit("]}"))
+    body = F.concat(F.lit('{"total":2,"data":['), _paper(F.col("s")), F.lit(","), _paper((F.col("k") + 1).cast("string")), F.lit("]}"))
     items = V.search_items(_answers(spark, d, body))
     rows = paper_rows(items.select(F.struct("query", "ord").alias("ord"), "item"))
     return rows.select("ord.query", "ord.ord", "paper_id", "citation_count")
@@ -35,44 +34,44 @@ def _(spark, d):
 
 @query("service_batch_items", "SELECT 'q' || s_suppkey AS query, o AS ord, o <> 1 AS found FROM supplier, (VALUES (0), (1), (2)) AS t(o)")
 def _(spark, d):
-    body = F.concat(F.lit("["), _paper(S), F.lit(",null,"), _paper(S), F.lit("]"))
+    body = F.concat(F.lit("["), _paper(F.col("s")), F.lit(",null,"), _paper(F.col("s")), F.lit("]"))
     return V.batch_items(_answers(spark, d, body)).select("query", "ord", "found")
 
 
 @query("service_recommended", "SELECT 'q' || s_suppkey AS query, 0 AS ord, 'S' || s_suppkey AS scholar_id FROM supplier")
 def _(spark, d):
-    items = V.recommended_items(_answers(spark, d, F.concat(F.lit('{"recommendedPapers":['), _paper(S), F.lit("]}"))))
+    items = V.recommended_items(_answers(spark, d, F.concat(F.lit('{"recommendedPapers":['), _paper(F.col("s")), F.lit("]}"))))
     return items.select("query", "ord", F.get_json_object("item", "$.paperId").alias("scholar_id"))
 
 
 @query("service_details", "SELECT 'q' || s_suppkey AS query, 'a' || s_suppkey AS paper_id, s_suppkey AS citation_count, 'x' AS citations FROM supplier")
 def _(spark, d):
-    body = _paper(S, ',"citations":[{"externalIds":{"ArXiv":"x"}},{"externalIds":{}}]')
+    body = _paper(F.col("s"), ',"citations":[{"externalIds":{"ArXiv":"x"}},{"externalIds":{}}]')
     return V.detail_rows(_answers(spark, d, body)).select("query", "paper_id", "citation_count", F.array_join("citations", ",").alias("citations"))
 
 
 @query("service_monthly", "SELECT 'q' || s_suppkey AS query, 'p' || s_suppkey AS paper_id, 'own' AS abstract FROM supplier")
 def _(spark, d):
-    body = F.concat(F.lit('[{"paper":{"id":"p'), S, F.lit('","summary":"own"},"summary":"other"},{"paper":{"id":""}}]'))
+    body = F.concat(F.lit('[{"paper":{"id":"p'), F.col("s"), F.lit('","summary":"own"},"summary":"other"},{"paper":{"id":""}}]'))
     return V.monthly_rows(_answers(spark, d, body)).select("query", "paper_id", "abstract")
 
 
 @query("service_overviews", "SELECT 'q' || s_suppkey AS query, 'v' || s_suppkey AS version_id, CASE WHEN s_suppkey % 2 = 0 THEN '# ' || s_suppkey ELSE '' END AS overview FROM supplier")
 def _(spark, d):
-    versions = V.version_ids(_answers(spark, d, F.concat(F.lit('{"paper":{"paper_version":{"id":"v'), S, F.lit('"}}}'))))
-    found = V.overviews(_answers(spark, d, F.when(F.col("k") % 2 == 0, F.concat(F.lit('{"overview":"# '), S, F.lit('"}'))).otherwise("{}")))
+    versions = V.version_ids(_answers(spark, d, F.concat(F.lit('{"paper":{"paper_version":{"id":"v'), F.col("s"), F.lit('"}}}'))))
+    found = V.overviews(_answers(spark, d, F.when(F.col("k") % 2 == 0, F.concat(F.lit('{"overview":"# '), F.col("s"), F.lit('"}'))).otherwise("{}")))
     return versions.join(found, "query")
 
 
 @query("service_similar", "SELECT 'q' || s_suppkey AS query, 'b' || s_suppkey AS paper_id, 'text' AS abstract FROM supplier")
 def _(spark, d):
-    listed = F.concat(F.lit('[{"universal_paper_id":"b'), S, F.lit('v3","abstract":"text"}]'))
+    listed = F.concat(F.lit('[{"universal_paper_id":"b'), F.col("s"), F.lit('v3","abstract":"text"}]'))
     return V.similar_rows(_answers(spark, d, F.when(F.col("k") % 2 == 0, listed).otherwise(F.concat(F.lit('{"papers":'), listed, F.lit("}"))))).select("query", "paper_id", "abstract")
 
 
 @query("service_previews", "SELECT 'q' || s_suppkey AS query, CASE WHEN s_suppkey % 2 = 0 THEN 'u' || s_suppkey ELSE 'q' || s_suppkey END AS paper_id, 'T' AS title FROM supplier")
 def _(spark, d):
-    body = F.when(F.col("k") % 2 == 0, F.concat(F.lit('{"title":"T","universal_paper_id":"u'), S, F.lit('"}'))).otherwise('{"title":"T","universal_paper_id":" "}')
+    body = F.when(F.col("k") % 2 == 0, F.concat(F.lit('{"title":"T","universal_paper_id":"u'), F.col("s"), F.lit('"}'))).otherwise('{"title":"T","universal_paper_id":" "}')
     return V.previews(_answers(spark, d, body)).select("query", "paper_id", "title")
 
 
