@@ -110,7 +110,7 @@ SELECT page_id, n AS payload_bytes, sha256(h) AS payload_digest, CASE WHEN page_
     WHEN 'iban' THEN list_reduce(list_prepend(0, list_transform(string_split(replace(m, ' ', '')[5:] || replace(m, ' ', '')[1:4], ''), lambda x: ascii(x))),
       lambda a, x: CASE WHEN x >= 65 THEN (a * 100 + x - 55) % 97 ELSE (a * 10 + x - 48) % 97 END) = 1
     ELSE true END), x AS (
-  SELECT c.*, substr(t, greatest(s - 40, 0) + 1, least(s, 40)) || ' | ' || substr(t, e + 1, 40) AS near FROM c JOIN d USING (doc_id)), z AS (
+  SELECT c.*, substr(t, cast(greatest(s - 40, 0) + 1 AS BIGINT), cast(least(s, 40) AS BIGINT)) || ' | ' || substr(t, cast(e + 1 AS BIGINT), 40) AS near FROM c JOIN d USING (doc_id)), z AS (
   SELECT *, CASE kind """
     + " ".join(f"WHEN '{k}' THEN {SCORE[k]} + CASE WHEN regexp_matches(near, '(?i){CONTEXT[k]}') THEN {CONTEXT_BONUS} ELSE 0 END" for k in _PII)
     + r""" END AS score FROM x), o AS (
