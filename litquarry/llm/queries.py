@@ -6,6 +6,7 @@ from .common import table
 from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .language_id import identify
+from .lexical_search import search
 from .packing import pack_documents
 from .pii import CONTEXT, CONTEXT_BONUS, SCORE, pii_digest
 from .simhash import simhash_dedup
@@ -55,6 +56,10 @@ def op10_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark, sf_dir):
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_warc": op2_warc,
@@ -66,6 +71,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _PII_KIND = """
@@ -136,4 +142,15 @@ FROM d WINDOW g AS (PARTITION BY t)""",
   SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
   FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
+    "op13_lexical_search": r"""WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents), c AS (
+  SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS volume FROM d WHERE len(w) > 0), i AS (
+  SELECT item_id, term, count(*)::BIGINT AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL), t AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) GROUP BY ALL), f AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM t, c GROUP BY term, docs), s AS (
+  SELECT item_id, r, doc_id, sum(q * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // volume))))::BIGINT AS score
+  FROM i JOIN t USING (term) JOIN f USING (term), c GROUP BY item_id, r, doc_id), k AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM k WHERE rank <= 20""",
 }
