@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .alignment import align_documents
 from .common import table
 from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
@@ -56,6 +57,10 @@ def op10_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark, sf_dir):
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark, sf_dir):
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,6 +76,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
+    "op12_token_alignment": op12_token_alignment,
     "op13_lexical_search": op13_lexical_search,
 }
 
