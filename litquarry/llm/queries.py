@@ -8,6 +8,7 @@ from .decontaminate import contaminated
 from .exact_dedup import exact_dedup
 from .language_id import identify
 from .lexical_search import search
+from .minhash import minhash_dedup
 from .packing import pack_documents
 from .pii import CONTEXT, CONTEXT_BONUS, SCORE, pii_digest
 from .simhash import simhash_dedup
@@ -57,6 +58,10 @@ def op10_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark, sf_dir):
+    return minhash_dedup(table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark, sf_dir):
     return align_documents(table(spark, sf_dir, "documents"))
 
@@ -76,6 +81,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
+    "op11_minhash": op11_minhash,
     "op12_token_alignment": op12_token_alignment,
     "op13_lexical_search": op13_lexical_search,
 }
@@ -148,6 +154,16 @@ FROM d WINDOW g AS (PARTITION BY t)""",
   SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
   FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
+    "op11_minhash": r"""WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents), s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM d), n AS (
+  SELECT r, count(*) AS n FROM s GROUP BY r), p AS (
+  SELECT x.r AS a, y.r AS b, count(*) AS shared FROM s x JOIN s y ON x.shingle = y.shingle AND x.r <> y.r GROUP BY ALL), e AS (
+  SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)), t(r, other) AS (
+  SELECT r, r FROM d UNION SELECT t.r, e.b FROM t JOIN e ON e.a = t.other), c AS (
+  SELECT t.r, min(d.doc_id) AS component_id FROM t JOIN d ON d.r = t.other GROUP BY t.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d JOIN c USING (r) LEFT JOIN n USING (r)""",
     "op13_lexical_search": r"""WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents), c AS (
   SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS volume FROM d WHERE len(w) > 0), i AS (
