@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.landing import durable
 from .quality import FAMILY_WORDS, METHOD_WORDS, PLACEHOLDERS, all_of, issues
 
 # The sections of a book and their files, the headings of its chapters, the sections that a pack needs.
@@ -330,6 +331,7 @@ def walk(items: DataFrame) -> DataFrame:
         out = rows if out is None else out.unionByName(rows)
         level = level.select("ord", F.posexplode(F.from_json(F.get_json_object("item", "$.children"), "array<string>")).alias("n", "child"))
         level = level.select(F.concat_ws(".", "ord", F.lpad(F.col("n").cast("string"), 6, "0")).alias("ord"), F.col("child").alias("item"))
+        level = durable(level, "level")  # else each level would compute those before it anew
         if level.isEmpty():
             return out
         depth += 1

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
+from ..sources.landing import durable
 
 MAX_AGE = 6
 #: Queries of a first search, by kind.
@@ -86,15 +87,52 @@ def running_exclusion(hits: DataFrame, key: str = "paper_id") -> DataFrame:
     return hits.withColumn("_first", first).where("query = _first").drop("_first")
 
 
-def running_exclusion_capped(hits: DataFrame, queries: list[int], cap: int, key: str = "paper_id") -> DataFrame:
-    """As ``running_exclusion`` where a query keeps its first ``cap`` hits and only what was kept is excluded later."""
-    kept = None
-    for q in queries:
-        rows = hits.where(F.col("query") == q)
-        if kept is not None:
-            rows = rows.join(kept.select(key), key, "left_anti")
-        rows = rows.orderBy("ord").limit(cap)
-        kept = rows if kept is None else kept.unionByName(rows)
+#: Rows of the ordered fold of ``running_exclusion_capped``; where more would be needed, the queries are taken step by step.
+FOLD_ROWS = 2_000_000
+
+
+def running_exclusion_capped(hits: DataFrame, queries: list[int], cap: int, key: str = "paper_id", fold_rows: int = FOLD_ROWS) -> DataFrame:
+    """As ``running_exclusion`` where a query keeps its first ``cap`` hits and only what was kept is excluded later.
+
+    ``queries`` stand in the order in which they ran; of a query's hits with one id the first by ord counts, and ties of ord go by id. All
+    queries before the n-th keep at most ``cap * n`` ids, so its first ``cap * (n + 1)`` hits decide what it keeps. So many
+    are taken of each by rank, in one pass, and one ordered fold over them carries the ids kept: a plan of one size for any number of
+    queries, and a fold of ``cap * n * (n + 1) / 2`` rows at the most, whatever the number of hits. Where that is more than
+    ``fold_rows``, each query is a step of its own that is written, and what was kept is excluded from the next by a join.
+    """
+    order = F.create_map(*[F.lit(x) for pair in ((q, n) for n, q in enumerate(queries)) for x in pair]) if queries else None
+    if order is None or cap <= 0:
+        return hits.limit(0)
+    placed = hits.withColumn("_nth", F.element_at(order, F.col("query").cast("int"))).where(F.col("_nth").isNotNull() & F.col(key).isNotNull())
+    once = F.row_number().over(Window.partitionBy("_nth", key).orderBy("ord"))
+    first = placed.withColumn("_again", once).where("_again = 1").drop("_again")
+    if cap * len(queries) * (len(queries) + 1) // 2 > fold_rows:
+        return _capped_in_steps(first, len(queries), cap, key).select(*hits.columns)
+    place = F.row_number().over(Window.partitionBy("_nth").orderBy("ord", key))
+    few = first.withColumn("_place", place).where(F.col("_place") <= cap * (F.col("_nth") + 1))
+
+    columns, n_queries = hits.columns, len(queries)
+
+    def fold(frame):
+        kept, rows, left = set(), [], dict.fromkeys(range(n_queries), cap)
+        ordered = frame.sort_values(["_nth", "_place"])
+        for i, n, value in zip(ordered.index, ordered["_nth"], ordered[key], strict=True):
+            if left[n] and value not in kept:
+                left[n] -= 1
+                rows.append(i)
+                kept.add(value)
+        return frame.loc[rows, columns]
+
+    return few.groupBy(F.lit(0).alias("_all")).applyInPandas(fold, hits.schema)
+
+
+def _capped_in_steps(first: DataFrame, n: int, cap: int, key: str) -> DataFrame:
+    first, kept = durable(first, "hits"), None
+    for i in range(n):
+        rows = first.where(F.col("_nth") == i)
+        rows = rows if kept is None else rows.join(kept.select(key), key, "left_anti")
+        step = durable(rows.orderBy("ord", key).limit(cap).select(*first.columns), "kept")
+        kept = step if kept is None else kept.unionByName(step)
     return kept
 
 
@@ -190,17 +228,3 @@ def eligible(promoted: DataFrame, with_text: DataFrame, indexed: DataFrame, veri
     for s in (with_text, indexed, verified):
         out = out.join(s.select(key).distinct(), key, "left_semi")
     return out.where(~text.is_survey_title(title))
-
-
-def first_neighbor_match(items: DataFrame, titles: DataFrame, gram: int = 3) -> DataFrame:
-    """For each title the first item whose name holds it, by containment of lower-case texts.
-
-    Candidates come from an equi-join of a title's first characters with the runs of characters in a name, so no pair
-    without those in common is formed. Titles shorter than ``gram`` are compared by all their characters.
-    """
-    name = F.lower("name")
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(gram)), lambda g: F.transform(F.sequence(F.lit(1), F.greatest(F.length(name) - g + 1, F.lit(1))), lambda i: F.substring(name, i, g))))
-    runs = items.select("*", F.explode(F.array_distinct(grams)).alias("_gram"))
-    t = titles.select("title", F.lower(F.trim("title")).alias("_low")).where("_low <> ''").withColumn("_gram", F.substring("_low", 1, gram))
-    hit = t.join(runs, "_gram").where(F.contains(F.lower("name"), F.col("_low")))
-    return hit.groupBy("title").agg(F.min_by("name", "ord").alias("name"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
+from ..sources.landing import durable
 
 CORE = 4
 #: Types of edges that say that a paper works with what they point to.
@@ -18,8 +19,8 @@ METHOD_EDGES = ["USES", "INTRODUCES", "USES_DATASET", "EXTENDS"]
 TOP, CAP, LEAST = 150, 180, 0.30
 NAME_CHARS, SNIPPET_CHARS, NEIGHBORS, SHOWN_NEIGHBORS = 80, 120, 5, 3
 DIGEST_BYTES = 200_000
-#: Blocks to which the concepts of one paper are dealt when pairs are formed.
-BLOCKS = 4
+#: Concepts of a paper whose pairs are formed at once; those of a paper with more are dealt to blocks of about so many.
+SIDE = 128
 
 
 def mention_rows(evidence: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
@@ -82,19 +83,37 @@ def union_counts(m: DataFrame, edges: DataFrame) -> DataFrame:
     return both.groupBy("norm").agg(F.count_distinct("paper").alias("paper_count"))
 
 
-def neighbors(edges: DataFrame, limit: int = NEIGHBORS, blocks: int = BLOCKS) -> DataFrame:
+def _cells(own: DataFrame, side: int) -> DataFrame:
+    """(a, b): two lists of concepts of one paper; each pair of different concepts of a paper stands once, in one row.
+
+    A paper of up to ``side`` concepts is one row with its list twice. A hub, one with more, has its concepts dealt to blocks by hash,
+    as many as its own number of concepts asks for, and a row for each two blocks: no row has more than about ``side ** 2`` pairs.
+    """
+    hubs = own.groupBy("src").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > side)
+    hubs = durable(hubs.select("src", F.ceil(F.col("_n") / side).alias("_blocks")), "hubs")
+    small = own.join(hubs, "src", "left_anti").groupBy("src").agg(F.collect_list("norm").alias("a")).select("a", F.col("a").alias("b"))
+    dealt = own.join(hubs, "src").withColumn("_block", F.pmod(F.xxhash64("norm"), F.col("_blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)).alias("_other")
+    spread = dealt.select("src", "norm", "_block", other).select("src", "norm", "_block", F.least("_block", "_other").alias("_lo"), F.greatest("_block", "_other").alias("_hi"))
+    of = lambda c: F.collect_list(F.when(F.col("_block") == F.col(c), F.col("norm")))
+    return small.unionByName(spread.groupBy("src", "_lo", "_hi").agg(of("_lo").alias("a"), of("_hi").alias("b")).select("a", "b", "_lo", "_hi"), allowMissingColumns=True)
+
+
+def neighbors(edges: DataFrame, limit: int = NEIGHBORS, side: int = SIDE) -> DataFrame:
     """(norm, neighbor, shared, rank): concepts that share most papers; ties by name.
 
-    Pairs are formed within a paper by an equi-join. One side is dealt to blocks by a hash and the other is copied to each, so the
-    pairs of a paper with very many concepts are formed by that many tasks; counts are combined before they are shuffled.
+    Pairs are formed in lists within a row (``_cells``), each unordered pair once, and counted before they are told to both concepts.
     """
-    each = edges.select("src", "norm").distinct()
-    left = each.withColumn("_block", F.pmod(F.xxhash64("norm"), F.lit(blocks)))
-    right = each.select("src", F.col("norm").alias("neighbor"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
-    pairs = left.join(right, ["src", "_block"]).where("norm <> neighbor")
-    counts = pairs.groupBy("norm", "neighbor").agg(F.count(F.lit(1)).alias("shared"))
-    rank = F.row_number().over(Window.partitionBy("norm").orderBy(F.desc("shared"), "neighbor"))
-    return counts.withColumn("rank", rank).where(F.col("rank") <= limit)
+    own = durable(edges.select("src", "norm").where("src is not null and norm is not null").distinct(), "concepts")
+    cells = _cells(own, side)
+    one_list = F.col("_lo").isNull() | (F.col("_lo") == F.col("_hi"))
+    rows = cells.select(F.explode("a").alias("x"), "b", one_list.alias("_one")).select("x", F.explode("b").alias("y"), "_one")
+    pairs = rows.where((F.col("x") < F.col("y")) | ~F.col("_one"))
+    counts = pairs.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("shared"))
+    both = F.inline(F.array(F.struct(F.col("x").alias("norm"), F.col("y").alias("neighbor")), F.struct(F.col("y").alias("norm"), F.col("x").alias("neighbor"))))
+    # names begin alike, so the sort goes by their hash first
+    rank = F.row_number().over(Window.partitionBy(F.xxhash64("norm"), "norm").orderBy(F.desc("shared"), "neighbor"))
+    return counts.select("shared", both).withColumn("rank", rank).where(F.col("rank") <= limit).select("norm", "neighbor", "shared", "rank")
 
 
 def known_keys(known: DataFrame) -> DataFrame:

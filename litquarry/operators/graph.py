@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.landing import durable, folder
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -106,39 +107,52 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.join(F.broadcast(most), F.lit(True)).select("id", "degree", (F.col("degree") / F.col("most")).alias("centrality"))
 
 
-def reach(edges: DataFrame, seeds: DataFrame, depth: int, per_node: int | None = None, checkpoint=None) -> DataFrame:
+def reach(edges: DataFrame, seeds: DataFrame, depth: int, per_node: int | None = None) -> DataFrame:
     """(id, hop): nodes reachable from the seeds in at most ``depth`` steps, with the fewest steps; breadth first.
 
-    With ``per_node`` a node passes on its first that many targets by ord. ``checkpoint`` may cut the lineage of a level.
+    With ``per_node`` a node passes on its first that many targets by ord. The steps and each level are written to the shared folder, so
+    a level costs its own join and not those before it, and a lost executor takes nothing with it. The search ends with the first
+    level that finds nothing new, whatever the depth. An empty table of seeds gives an empty result.
     """
+    spark = edges.sparkSession
     step = edges.select("src", "dst", "ord")
     if per_node is not None:
         nth = F.row_number().over(Window.partitionBy("src").orderBy("ord", "dst"))
         step = step.withColumn("_n", nth).where(F.col("_n") <= per_node)
-    step = step.select("src", "dst").distinct()
-    seen = seeds.select("id").distinct().withColumn("hop", F.lit(0))
-    frontier = seen
+    step = durable(step.select("src", "dst").distinct(), "steps")
+    kinds = step.select(F.col("dst").alias("id"), F.lit(0).alias("hop")).schema
+    path = folder(spark, "levels")
+    level = lambda n: f"{path}/level={n:04d}"
+    seeds.select("id").distinct().withColumn("hop", F.lit(0)).write.parquet(level(0))
+    done = [level(0)]
     for hop in range(1, depth + 1):
+        frontier, seen = spark.read.schema(kinds).parquet(done[-1]), spark.read.schema(kinds).parquet(*done)
+        if frontier.isEmpty():
+            break
         fresh = step.join(frontier.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).distinct()
-        frontier = fresh.join(seen, "id", "left_anti").withColumn("hop", F.lit(hop))
-        frontier = checkpoint(frontier) if checkpoint else frontier
-        seen = seen.unionByName(frontier)
-    return seen
+        fresh.join(seen.select("id"), "id", "left_anti").withColumn("hop", F.lit(hop)).write.parquet(level(hop))
+        done.append(level(hop))
+    return spark.read.schema(kinds).parquet(*done)
 
 
 def expand_citations(links: DataFrame, seeds: DataFrame, depth: int, limit: int, least: int, excluded: DataFrame | None = None) -> DataFrame:
     """(root, path, id, level): citations of citations, the ``limit`` most cited of each, down to ``depth`` levels.
 
-    ``links`` has (paper, id, cites, ord). An excluded id is neither listed nor followed.
+    ``links`` has (paper, id, cites, ord). An excluded id is neither listed nor followed. The chosen citations and each level are
+    written to the shared folder; the expansion ends with the first level that is empty.
     """
     if excluded is not None:
         links = links.join(excluded.select(F.col("id")), "id", "left_anti")
     nth = F.row_number().over(Window.partitionBy("paper").orderBy(F.desc("cites"), "ord", "id"))
     best = links.where(F.coalesce("cites", F.lit(0)) >= least).withColumn("_n", nth).where(F.col("_n") <= limit).select("paper", F.col("id").alias("child"))
+    best = durable(best, "citations")
     level = seeds.select(F.col("id").alias("root"), F.col("id").alias("path"), "id")
     out = None
     for n in range(1, depth + 1):
         level = level.join(best, level["id"] == best["paper"]).select("root", F.concat_ws("/", "path", "child").alias("path"), F.col("child").alias("id"))
+        level = durable(level, "level")
+        if out is not None and level.isEmpty():
+            break
         row = level.withColumn("level", F.lit(n))
         out = row if out is None else out.unionByName(row)
     return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json as jsonx
 from ..functions import scoring, text
-from ..operators import discovery, gaps, graph, packs, pages, promotion, quality, search, state
+from ..operators import discovery, gaps, graph, matching, packs, pages, promotion, quality, search, state
 from ..sources import adapter as A
 from ..sources.adapter import FIELDS, NORM_SQL, sql, table
 from .registry import ORACLES, QUERIES, query
@@ -230,6 +230,13 @@ def _(spark, d):
     return graph.reach(_hops(spark, d), seeds, 3)
 
 
+@query("citation_bfs_depth8", "WITH RECURSIVE hops AS (" + _HOPS + "), r(id, hop) AS (SELECT 'p' || p_partkey, 0 FROM part WHERE p_partkey < 3 UNION SELECT dst, hop + 1 FROM r JOIN hops ON src = id WHERE hop < 8) SELECT id, min(hop) AS hop FROM r GROUP BY id")
+def _(spark, d):
+    """Further than most papers are apart: the search ends with the first level that finds nothing."""
+    seeds = table(spark, d, "part").where("p_partkey < 3").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"))
+    return graph.reach(_hops(spark, d), seeds, 8)
+
+
 @query("citation_expansion", sql("SELECT s.id || '/' || a.id || '/' || b.id AS path, b.id AS id, 2 AS level FROM seeds s JOIN best a ON a.paper = s.id JOIN best b ON b.paper = a.id UNION ALL SELECT s.id || '/' || a.id, a.id, 1 FROM seeds s JOIN best a ON a.paper = s.id", hops=_HOPS, seeds="SELECT 'p' || p_partkey AS id FROM part WHERE p_partkey < 20", best="SELECT src AS paper, dst AS id FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY cites DESC, dst) AS n FROM (SELECT src, dst, length(dst) AS cites FROM hops WHERE dst <> 's1') WHERE cites >= 2) WHERE n <= 3"))
 def _(spark, d):
     links = _hops(spark, d).select(F.col("src").alias("paper"), F.col("dst").alias("id"), F.length("dst").alias("cites"), "ord")
@@ -356,7 +363,7 @@ def _(spark, d):
 @query("title_substring_match", sql("SELECT title, arg_min(name, ord) AS name FROM t JOIN (SELECT p_name || ' ' || p_brand AS name, p_partkey AS ord FROM part) ON contains(lower(name), lower(title)) GROUP BY title", t="SELECT DISTINCT p_name AS title FROM part"))
 def _(spark, d):
     part = table(spark, d, "part")
-    return discovery.first_neighbor_match(part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.col("p_partkey").alias("ord")), part.select(F.col("p_name").alias("title")).distinct())
+    return matching.first_match(part.select(F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.col("p_partkey").alias("ord")), part.select(F.col("p_name").alias("title")).distinct())
 
 
 _GS = "SELECT paper_id, q AS query, CASE WHEN q = 0 OR doc_id % 2 = 0 THEN 'hub ' ELSE 'archive ' END || q AS abstract FROM papers, (VALUES (0), (1)) t(q) WHERE (doc_id + q) % 3 = 0 AND (q = 0 OR doc_id % 2 = 0 OR doc_id % 5 = 0)"

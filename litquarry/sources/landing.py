@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, what: str) -> str:
@@ -22,6 +22,13 @@ def folder(spark: SparkSession, what: str) -> str:
     return re.sub("^file:/(?!/)", "file:///", whole).rstrip("/") + f"/litquarry/{what}-{uuid.uuid4().hex}"
 
 
+def durable(df: DataFrame, what: str = "step") -> DataFrame:
+    """``df`` written as Parquet into the shared folder and read again: the lineage ends there, and a lost executor takes nothing with it."""
+    path = folder(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def put(spark: SparkSession, path: str, content: str | bytes) -> None:
     """A small file from the driver, as for settings or a list of sources."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
