@@ -798,4 +798,4 @@ def _(spark, d):
 ORACLES["stream_latest"] = sql("SELECT key, seq, status FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY fetched_at DESC, seq DESC) AS n FROM cache_puts) WHERE n = 1", "cache_puts")
 
 
-from . import answers, book, landed, services  # noqa: E402, F401  they register further queries
+from . import answers, book, increments, landed, services  # noqa: E402, F401  they register further queries

@@ -11,7 +11,8 @@ from ..functions import json as jsonx
 from ..operators import state
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
@@ -25,7 +26,7 @@ def replace(spark: SparkSession, path: str, write) -> None:
     """
     beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}.tmp"
     write(beside)
-    fs, target = _fs(spark, path)
+    fs, target = file_system(spark, path)
     made, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, f"{beside}.old"))
     had = fs.exists(target)
     if had and not fs.rename(target, old):
@@ -39,7 +40,7 @@ def replace(spark: SparkSession, path: str, write) -> None:
 
 def publish(spark: SparkSession, path: str, write) -> str:
     """Write a new version below ``path`` and let it count by creating its mark, which is one step; the version's name."""
-    fs, base = _fs(spark, path)
+    fs, base = file_system(spark, path)
     Path = spark._jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(base)
     version = f"v{max([int(v[1:]) for v in _marks(spark, path)], default=0) + 1:012d}"
@@ -56,7 +57,7 @@ def published(spark: SparkSession, path: str) -> str | None:
 
 
 def _marks(spark: SparkSession, path: str) -> list[str]:
-    found = _fs(spark, path)[0].globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*.current"))
+    found = file_system(spark, path)[0].globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v*.current"))
     return [str(s.getPath().getName()).removesuffix(".current") for s in found or []]
 
 
@@ -84,7 +85,7 @@ def pool_with_mirror(rows: DataFrame, path: str, mirror: str, key: str = "paper_
 def upsert(rows: DataFrame, path: str, keys: list[str]) -> None:
     """Put rows into a keyed snapshot; the rows have ord, of one key the last counts."""
     spark = rows.sparkSession
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     fresh = state.latest(rows, keys, ["ord"]).drop("ord")
     all_rows = state.upsert(spark.read.parquet(path), rows, keys) if fs.exists(p) else fresh
     parquet_snapshot(all_rows.orderBy(*keys), path)
@@ -94,7 +95,7 @@ def remove(gone: DataFrame, path: str, keys: list[str], drop_empty: bool = False
     spark = gone.sparkSession
     left = state.delete(spark.read.parquet(path), gone, keys)
     if drop_empty and left.isEmpty():
-        fs, p = _fs(spark, path)
+        fs, p = file_system(spark, path)
         fs.delete(p, True)
         return
     parquet_snapshot(left, path)
@@ -110,7 +111,7 @@ def preserve(contents: DataFrame, path: str) -> None:
     """(name, content) kept under their SHA-256; what is there already is not written again."""
     spark = contents.sparkSession
     rows = contents.withColumn("sha256", F.sha2(F.col("content").cast("binary"), 256)).dropDuplicates(["sha256"])
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     if fs.exists(p):
         rows = rows.join(spark.read.parquet(path).select("sha256"), "sha256", "left_anti")
     rows.write.mode("append").parquet(path)
