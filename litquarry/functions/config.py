@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
+from datetime import UTC, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -68,8 +69,19 @@ def year_range(now: Column, back: Column, ahead: Column) -> Column:
 
 
 def utc_stamp(at: Column) -> Column:
-    """A time as ISO text in UTC, to the second. Its time comes from the caller, never from the clock."""
-    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    """A time as ISO text in UTC, to the second, whatever the session's zone. Its time comes from the caller, never from the clock.
+
+    A timestamp without a zone counts as one of the session's zone.
+    """
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.date_format(start + F.make_dt_interval(secs=F.unix_seconds(at.cast("timestamp")).cast("decimal(18,6)")), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
+def utc_text(at: datetime) -> str:
+    """As ``utc_stamp`` for one time with a zone."""
+    if at.tzinfo is None:
+        raise ValueError("a stamp needs a time with a zone")
+    return at.astimezone(UTC).isoformat(timespec="seconds")
 
 
 def run_topic(config: Column, topic_text: Column, name: Column) -> Column:

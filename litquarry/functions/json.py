@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import StringType
 
 
 def safe_get(value: Column, path: str, default: str | None = None) -> Column:
@@ -70,13 +70,6 @@ def parse_lenient(text: str | None):
     raise ValueError("no JSON")
 
 
-def _leaves(value) -> list[str]:
-    if isinstance(value, str):
-        return [value]
-    parts = value.values() if isinstance(value, dict) else value if isinstance(value, list) else ()
-    return [x for p in parts for x in _leaves(p)]
-
-
 @pandas_udf(StringType())
 def repair_json(texts: pd.Series) -> pd.Series:
     """Canonical JSON with sorted keys, null where nothing can be parsed."""
@@ -90,7 +83,39 @@ def repair_json(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-@pandas_udf(ArrayType(StringType()))
-def string_leaves(texts: pd.Series) -> pd.Series:
-    """All strings within a JSON value, in order; keys are not values."""
-    return texts.map(lambda t: _leaves(json.loads(t)) if t else [])
+#: A JSON string, with the colon behind it where it is a key.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*+:)?+'
+
+
+def string_leaves(value: Column | str) -> Column:
+    """All strings within a JSON value, at any depth and in order; keys are not values. Null for what is no JSON, and for objects that repeat a key.
+
+    The value is checked as a variant; in a text that is JSON, a string is a value unless a colon follows it.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    found = F.array_join(F.filter(F.regexp_extract_all(value, F.lit(_STRING), F.lit(0)), lambda x: ~F.endswith(x, F.lit(":"))), ",")
+    return F.when(F.try_parse_json(value).isNotNull(), F.from_json(F.concat(F.lit("["), found, F.lit("]")), "array<string>"))
+
+
+def text_at(value: Column, path: str) -> Column:
+    """The text at a path of a variant, without blanks around it; null where there is none, where it is blank, or no string."""
+    here = F.try_variant_get(value, path, "variant")
+    own = F.regexp_replace(F.try_variant_get(value, path, "string"), r"^\s+|\s+$", "")
+    return F.when((F.schema_of_variant(here) == "STRING") & (own != ""), own)
+
+
+#: Fields that may name a concept, in the order in which they are looked at.
+CONCEPT_FIELDS = ("concept", "name", "title", "text")
+
+
+def concept_text(value: Column | str) -> Column:
+    """The text of a concept that is given as a JSON string or as an object with one of several fields; empty where there is none."""
+    item = F.try_parse_json(F.col(value) if isinstance(value, str) else value)
+    return F.coalesce(text_at(item, "$"), *[text_at(item, f"$.{name}") for name in CONCEPT_FIELDS], F.lit(""))
+
+
+def first_text(items: Column | str, field: str, default: str) -> Column:
+    """The first text that is not blank at a field of the objects of a JSON list, else the default. A number counts as its digits, as does true."""
+    listed = F.from_json(items, "array<string>")
+    said = F.transform(listed, lambda x: F.regexp_replace(F.try_variant_get(F.try_parse_json(x), f"$.{field}", "string"), r"^\s+|\s+$", ""))
+    return F.coalesce(F.get(F.filter(said, lambda t: t.isNotNull() & (t != "")), F.lit(0)), F.lit(default))

@@ -23,6 +23,17 @@ def evidence_score(neighbor_methods: list, neighbor_families: list, family_id: s
     return shared if shared >= 2 or shared and family_id in (neighbor_families or []) else 0
 
 
+def family_scores(neighbors: DataFrame, members: DataFrame, linked: DataFrame) -> DataFrame:
+    """(method, family, score) for each method and family that share a neighbour, by the rule of ``evidence_score``.
+
+    ``neighbors`` has (method, neighbor), ``members`` (family, method), ``linked`` (method, family): which families a method is linked with.
+    """
+    shared = neighbors.distinct().join(members.select("family", F.col("method").alias("neighbor")).distinct(), "neighbor")
+    counts = shared.groupBy("method", "family").agg(F.count(F.lit(1)).alias("_n"))
+    rows = counts.join(linked.select("method", "family", F.lit(True).alias("_linked")).distinct(), ["method", "family"], "left")
+    return rows.select("method", "family", F.when((F.col("_n") >= 2) | F.col("_linked").isNotNull(), F.col("_n")).otherwise(0).alias("score"))
+
+
 class _Book:
     def __init__(self, outline: dict):
         self.out = copy.deepcopy(outline)

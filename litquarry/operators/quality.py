@@ -269,3 +269,9 @@ def image_extension(url: Column, content_type: Column) -> Column:
     of_url = F.nullif(F.regexp_extract(F.lower(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))), r"\.(png|jpe?g|gif|svg|webp)$", 1), F.lit(""))
     of_type = F.nullif(F.regexp_extract(F.lower(F.trim(F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1)))), r"^image/(png|jpe?g|gif|svg|webp)(?:\+xml)?$", 1), F.lit(""))
     return F.concat(F.lit("."), F.replace(F.coalesce(of_url, of_type), F.lit("jpeg"), F.lit("jpg")))
+
+
+def lacking(have: Column, required: list[str]) -> Column:
+    """The required names that are not among those that are there, in the order of the requirement; all of them where there is no list."""
+    need = F.array(*map(F.lit, required)) if required else F.array().cast("array<string>")
+    return F.array_except(need, F.coalesce(have, F.array().cast("array<string>")))

@@ -162,13 +162,13 @@ def _(spark, d):
     return B.excluded_chapters(rel(spark, d, "b_chapters"))
 
 
-@query("chapter_measures", "SELECT s_suppkey AS k, 3 AS words, 2 AS equations, 1 AS pseudocode, s_suppkey % 3 AS citations, s_suppkey % 4 AS copied FROM supplier")
+@query("chapter_measures", "SELECT s_suppkey AS k, 3 + s_suppkey % 3 + s_suppkey % 4 AS words, 2 AS equations, 1 AS pseudocode, s_suppkey % 3 AS citations, s_suppkey % 4 AS copied FROM supplier")
 def _(spark, d):
     k = F.col("s_suppkey")
     text = F.concat(F.lit("---\nx: y z\n---\none $$a$$ $$ two $$\n```\n```\n"), F.repeat(F.lit("[arxiv:]"), F.lit(0)), F.repeat(F.lit("[arxiv:*]"), F.lit(0)), F.lit(""))
     rows = table(spark, d, "supplier").select(k, text.alias("t")).withColumn("t", F.concat("t", F.repeat(F.lit("[arxiv:-]"), (k % 3).cast("int")), F.repeat(F.lit("\n- Baselines."), (k % 4).cast("int"))))
     m = B.measures(rows.select(F.lit("methods").alias("kind"), k.cast("string").alias("id"), F.col("t").alias("text")))
-    return m.select(F.col("id").cast("int").alias("k"), (F.col("words") - F.col("citations") - F.col("copied")).alias("words"), "equations", "pseudocode", "citations", "copied")
+    return m.select(F.col("id").cast("int").alias("k"), "words", "equations", "pseudocode", "citations", "copied")
 
 
 @query("chapter_currency", "SELECT 'm' || s_suppkey AS id, s_suppkey % 3 <> 1 AS current FROM supplier")

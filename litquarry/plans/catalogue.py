@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json as jsonx
 from ..functions import scoring, text
-from ..operators import discovery, gaps, graph, matching, packs, pages, promotion, quality, search, state
+from ..operators import discovery, gaps, graph, matching, outline, packs, pages, promotion, quality, search, state
 from ..sources import adapter as A
 from ..sources.adapter import FIELDS, NORM_SQL, sql, table
 from .registry import ORACLES, QUERIES, query
@@ -446,7 +446,7 @@ def _(spark, d):
     return graph.merge_verified(*_fragments(spark, d)).select("src", "dst", "type", "node", csv(F.col("lines").cast("array<string>")).alias("lines"), "paper", "nth")
 
 
-@query("dangling_node_prune", sql("SELECT paper, id, type FROM fragment_nodes WHERE type = 'Paper' OR (paper, id) IN (SELECT paper, src FROM v UNION SELECT paper, dst FROM v)", _FE, _FN, rejected=_REASON, v=_VALID))
+@query("dangling_node_prune", sql("SELECT paper, id, type FROM fragment_nodes WHERE type = 'Paper' UNION ALL SELECT paper, id, type FROM fragment_nodes SEMI JOIN ends USING (paper, id) WHERE type <> 'Paper'", _FE, _FN, rejected=_REASON, v=_VALID, ends="SELECT paper, src AS id FROM v UNION SELECT paper, dst FROM v"))
 def _(spark, d):
     e, n, c = _fragments(spark, d)
     return graph.prune_nodes(n, graph.valid_edges(e, n, c))
@@ -486,11 +486,11 @@ def _(spark, d):
     return graph.degrees(A.graph_edges(spark, d)).select("id", "degree", F.round("centrality", 6).alias("centrality"))
 
 
-@query("family_evidence_score", sql("SELECT a.paper AS method, b.family, CASE WHEN count(*) >= 2 THEN count(*) ELSE 0 END AS score FROM (SELECT DISTINCT paper, norm FROM mentions) a JOIN (SELECT DISTINCT importance AS family, norm FROM mentions WHERE field = 0) b USING (norm) GROUP BY 1, 2", "mentions"))
+@query("family_evidence_score", sql("SELECT a.paper AS method, b.family, CASE WHEN count(*) >= 2 OR max(l.family) IS NOT NULL THEN count(*) ELSE 0 END AS score FROM (SELECT DISTINCT paper, norm FROM mentions) a JOIN (SELECT DISTINCT importance AS family, norm FROM mentions WHERE field = 0) b USING (norm) LEFT JOIN (SELECT DISTINCT paper, importance AS family FROM mentions WHERE field = 1) l ON l.paper = a.paper AND l.family = b.family GROUP BY 1, 2", "mentions"))
 def _(spark, d):
     m = _mentions(spark, d)
-    shared = m.select("paper", "norm").distinct().join(m.where("field = 0").select(F.col("importance").alias("family"), "norm").distinct(), "norm")
-    return shared.groupBy(F.col("paper").alias("method"), "family").agg(F.count(F.lit(1)).alias("n")).select("method", "family", F.when(F.col("n") >= 2, F.col("n")).otherwise(0).alias("score"))
+    near, own = m.select(F.col("paper").alias("method"), F.col("norm").alias("neighbor")), m.where("field = 0").select(F.col("importance").alias("family"), F.col("norm").alias("method"))
+    return outline.family_scores(near, own, m.where("field = 1").select(F.col("paper").alias("method"), F.col("importance").alias("family")))
 
 
 # ---- promotion ------------------------------------------------------------------------------------------------------

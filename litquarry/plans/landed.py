@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..functions import config
 from ..functions import json as jsonx
 from ..functions import text
 from ..sources import readers as R
+from ..sources import snapshots
 from ..sources import sinks as S
 from ..sources.adapter import table
 from ..sources.landing import folder, put
@@ -34,10 +37,12 @@ def _(spark, d):
     return R.json_documents(spark, _texts(_suppliers(spark, d), record, path), "arxiv_id string, n int", required=True)
 
 
-@query("source_json_missing", "SELECT count(*) AS records, count(*) AS broken FROM nation WHERE n_nationkey < 0")
+@query("source_json_missing", "SELECT 'a' || s_suppkey AS arxiv_id, 0 AS records FROM supplier")
 def _(spark, d):
+    """How many records of a file that is not there each supplier has."""
     gone = R.json_documents(spark, folder(spark, "nothing"), "arxiv_id string")
-    return gone.agg(F.count(F.lit(1)).alias("records"), F.count("arxiv_id").alias("broken"))
+    counts = gone.groupBy("arxiv_id").agg(F.count(F.lit(1)).alias("n"))
+    return _suppliers(spark, d).join(counts, "arxiv_id", "left").select("arxiv_id", F.coalesce("n", F.lit(0)).cast("int").alias("records"))
 
 
 @query("source_json_lenient", "SELECT CASE WHEN s_suppkey % 4 <> 1 THEN 'a' || s_suppkey END AS arxiv_id FROM supplier")
@@ -255,22 +260,32 @@ def _(spark, d):
     return S.markdown_table(rows, ["r_name", "n"], ["n"])
 
 
-@query("sink_state_stamped", "SELECT s_suppkey AS k, '2024-01-02T03:04:05+00:00' AS updated_at FROM supplier")
+@query("sink_state_stamped", "SELECT s_suppkey AS k, 1 + s_suppkey % 2 AS run, '2024-01-02T03:04:05+00:00' AS updated_at, '2024-01-02T03:04:0' || (s_suppkey % 10) || '+00:00' AS seen_at FROM supplier")
 def _(spark, d):
-    path = folder(spark, "state")
-    stamp = config.utc_stamp(F.to_timestamp(F.lit("2024-01-02 03:04:05.6"))) if spark.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC") else F.lit("2024-01-02T03:04:05+00:00")
-    S.json_snapshot(_suppliers(spark, d).select("k", stamp.alias("updated_at")), path)
-    return R.json_documents(spark, path, "k int, updated_at string", required=True).select("k", "updated_at") if False else spark.read.schema("k int, updated_at string").json(path)
+    """State that was saved twice, each time as a version of its own with a stamp; the second one is read."""
+    path, at = folder(spark, "state"), datetime(2024, 1, 2, 4, 4, 5, tzinfo=timezone(timedelta(hours=1)))
+    seen = config.utc_stamp(F.timestamp_seconds(F.lit(1_704_164_640) + F.col("k") % 10))
+    rows = _suppliers(spark, d).select("k", (1 + F.col("k") % 2).cast("int").alias("run"), seen.alias("seen_at"))
+    snapshots.save(rows.where("k % 2 = 0").withColumn("run", F.lit(9)), path, config.utc_text(at - timedelta(days=1)))
+    snapshots.save(rows, path, config.utc_text(at))
+    return snapshots.load(spark, path, "k int, run int, seen_at string").withColumn("updated_at", F.lit(snapshots.version(path)["updated_at"]))
 
 
 # ---- settings and small arithmetic --------------------------------------------------------------------------------------
 
 
-@query("settings_resolved", "SELECT * FROM (VALUES ('file', 7, true), ('override', 9, false), ('default', 100, true)) AS t(origin, normal_limit, relevance_fail_open)")
+@query("settings_resolved", "SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 1 + s_suppkey % 50 WHEN 1 THEN 9 ELSE 100 END AS normal_limit, s_suppkey % 3 <> 1 AS relevance_fail_open FROM supplier")
 def _(spark, d):
-    get = config.Settings.resolve
-    rows = [("file", get('{"normal_limit": "7"}')), ("override", get('{"normal_limit": 7}', {"LITQUARRY_NORMAL_LIMIT": "9", "LITQUARRY_RELEVANCE_FAIL_OPEN": "off"})), ("default", get(None))]
-    return spark.createDataFrame([(o, s.normal_limit, s.relevance_fail_open) for o, s in rows], "origin string, normal_limit int, relevance_fail_open boolean")
+    """Settings of a run for each supplier: from its file, from an override of it, or the defaults."""
+
+    def resolve(frames):
+        for f in frames:
+            over = {"LITQUARRY_NORMAL_LIMIT": "9", "LITQUARRY_RELEVANCE_FAIL_OPEN": "off"}
+            found = [config.Settings.resolve(t, over if k % 3 == 1 else {}) for k, t in zip(f["k"], f["file"], strict=True)]
+            yield pd.DataFrame({"k": f["k"], "normal_limit": [s.normal_limit for s in found], "relevance_fail_open": [s.relevance_fail_open for s in found]})
+
+    file = F.when(F.col("k") % 3 < 2, F.to_json(F.struct((1 + F.col("k") % 50).cast("string").alias("normal_limit"))))
+    return _suppliers(spark, d).select("k", file.alias("file")).mapInPandas(resolve, "k long, normal_limit int, relevance_fail_open boolean").select(F.col("k").cast("int").alias("k"), "normal_limit", "relevance_fail_open")
 
 
 @query("run_topics", "SELECT s_suppkey AS k, CASE s_suppkey % 3 WHEN 0 THEN 'from config' WHEN 1 THEN 'from file' ELSE 'run' || s_suppkey END AS topic FROM supplier")
@@ -338,6 +353,17 @@ def _(spark, d):
     return table(spark, d, "events").select(F.col("event_id").alias("k"), F.array_join(jsonx.string_leaves(value), ",").alias("leaves"))
 
 
+@query("gap_concept_texts", "SELECT event_id AS k, CASE event_id % 6 WHEN 0 THEN event_type || ' ' || event_id WHEN 1 THEN event_type WHEN 2 THEN 'n' || event_id WHEN 3 THEN '' WHEN 4 THEN 't' || user_id ELSE '' END AS concept, CASE WHEN event_id % 6 = 4 THEN 't' || user_id ELSE 'none' END AS title FROM events")
+def _(spark, d):
+    """Concepts given as strings, as objects with one of several fields, as numbers and as no JSON at all; and the first title of a list."""
+    k, t = F.col("event_id").cast("string"), F.col("event_type")
+    cases = [F.concat(F.lit('"  '), t, F.lit(" "), k, F.lit('\\n"')), F.concat(F.lit('{"concept": "'), t, F.lit('", "name": "x"}')), F.concat(F.lit('{"concept": " ", "name": "n'), k, F.lit('"}')), F.concat(F.lit('{"concept": '), k, F.lit("}")), F.concat(F.lit('{"name": ["a"], "title": "t'), F.col("user_id").cast("string"), F.lit('"}')), F.lit("{not json")]
+    item = F.coalesce(*[F.when(F.col("event_id") % 6 == i, c) for i, c in enumerate(cases)])
+    rows = table(spark, d, "events").select(F.col("event_id").alias("k"), item.alias("item"))
+    listed = F.when(F.try_parse_json("item").isNotNull(), F.concat(F.lit('[{"title": "  "}, {}, '), "item", F.lit("]"))).otherwise(F.lit("[]"))
+    return rows.select("k", jsonx.concept_text("item").alias("concept"), jsonx.first_text(listed, "title", "none").alias("title"))
+
+
 @query("external_ids", "SELECT s_suppkey AS k, CASE s_suppkey % 5 WHEN 0 THEN '2401.' || (10000 + s_suppkey) WHEN 1 THEN '2401.' || (10000 + s_suppkey) || 'v2' WHEN 2 THEN '2401.' || (10000 + s_suppkey) WHEN 3 THEN '2401.' || (10000 + s_suppkey) END AS ident, CASE WHEN s_suppkey % 5 < 4 THEN 2 ELSE 1 END AS keys FROM supplier")
 def _(spark, d):
     base = F.concat(F.lit("2401."), (10000 + F.col("k")).cast("string"))
