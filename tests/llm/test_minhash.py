@@ -47,8 +47,10 @@ def copies(rng, base, n, share):
         yield " ".join(words)
 
 
-def test_groups_of_edited_copies(spark):
+@pytest.mark.parametrize("wide", [minhash.WIDE, 2])
+def test_groups_of_edited_copies(spark, monkeypatch, wide):
     """Copies with edits around the threshold, chains, small sets and texts of one template."""
+    monkeypatch.setattr(minhash, "WIDE", wide)
     rng = random.Random(2)
     fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
     texts = [t for n, share in ((150, 0.02), (150, 0.03), (400, 0.01), (60, 0.04)) for t in copies(rng, fresh(n), 40, share)]
