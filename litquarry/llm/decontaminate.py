@@ -382,12 +382,12 @@ def _enough_runs(items: Items, item: np.ndarray, buffer: np.ndarray, base: np.nd
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def _pieces(batch: pa.RecordBatch, column: int):
-    """Slices of a batch of about TEXT_BYTES of text."""
+def _pieces(batch: pa.RecordBatch, column: int, text_bytes: int = TEXT_BYTES):
+    """Slices of a batch of about ``text_bytes`` of text."""
     data, offsets = K.joined(batch.column(column))
     lo = 0
     while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + TEXT_BYTES, "right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + text_bytes, "right")) - 1)
         yield batch.slice(lo, hi - lo)
         lo = hi
 

@@ -8,9 +8,8 @@ are linked. A bit differs with probability arccos(2s / (1 + s)) / pi for two set
 that, the number of fingerprints follows so that a pair at the least similarity collides with probability ``RECALL``, and
 their length grows with the logarithm of the number of texts so that chance collisions stay in proportion.
 
-Colliding texts are first verified against the least of them only, which makes one component of a group of near copies with
-as many comparisons as it has members. Texts that collide and are then still in different components are compared pair by
-pair, by a sketch of 512 other bits first, which a pair at the least similarity passes but once in about four thousand cases.
+Colliding texts are compared as described in ``verified``, without pairs of all texts that collide, and by a sketch of 512 other
+bits first, which a pair at the least similarity passes but once in about four thousand cases.
 
 Defined results: words are runs of other bytes than ASCII white space, with A-Z in lower case; a text of fewer words than a
 shingle is one shingle; null and blank texts are alike; one row stays of each component, whatever ids are null or repeat; a
@@ -31,11 +30,13 @@ from .common import cut, fresh, one_of_each
 from .components import components
 from .decontaminate import _LOWER, _pieces
 from .simhash import links, majority
+from .verified import linked
 
 #: Words in a shingle, least similarity of a link, and the probability that a pair at that similarity collides.
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.98
-#: Most differing bits of two fingerprints that are linked, fewest bits of a fingerprint, and bits beyond those that number all texts.
-RADIUS, LEAST_BITS, SPARE_BITS = 2, 32, 13
+#: Most differing bits of two fingerprints that are linked, fewest bits of a fingerprint, bits beyond those that number all texts, and
+#: bits for a fingerprint's number. From 2**41 texts on lengths grow no more; chance collisions then cost more, and results stay.
+RADIUS, LEAST_BITS, SPARE_BITS, TABLE_BITS = 2, 32, 13, 10
 #: Variants that a group of fingerprints holds at a time.
 VARIANTS = 4 << 20
 #: Words of 64 bits in a sketch, and by how many standard deviations a similar pair's sketches may differ more than expected.
@@ -49,7 +50,7 @@ def bit_differs(similarity: float) -> float:
 
 def plan(n: int, similarity: float = SIMILARITY, recall: float = RECALL) -> tuple[int, int]:
     """How many fingerprints each of n texts has, and their bits."""
-    bits = min(48, max(LEAST_BITS, max(1, n).bit_length() + SPARE_BITS))
+    bits = min(64 - TABLE_BITS, max(LEAST_BITS, max(1, n).bit_length() + SPARE_BITS))
     p = bit_differs(similarity)
     meet = sum(math.comb(bits, k) * p**k * (1 - p) ** (bits - k) for k in range(RADIUS + 1))
     return math.ceil(math.log(1 - recall) / math.log(1 - meet)), bits
@@ -87,7 +88,7 @@ def short_fingerprints(hashes: np.ndarray, n: np.ndarray, tables: int, bits: int
 
 
 def _fingerprints(shingle: int, tables: int, bits: int):
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("values", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("values", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
@@ -95,7 +96,7 @@ def _fingerprints(shingle: int, tables: int, bits: int):
                 hashes, n = shingle_sets(piece.column(1), shingle)
                 flat = pa.array(short_fingerprints(hashes, n, tables, bits).view(np.int64).ravel())
                 values = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * tables, flat)
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(n.astype(np.int32)), values], schema=schema)
+                yield pa.RecordBatch.from_arrays([piece.column(0), values], schema=schema)
 
     return run
 
@@ -115,46 +116,36 @@ def _sets(shingle: int):
     return run
 
 
-def similar_links(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """(a, b): edges between the nodes of (node, text) whose components are those of all colliding pairs that are similar enough."""
+def similar_roots(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """(node, root) for the nodes of (node, text) that have links, by the components of all colliding pairs that are similar enough."""
     tables, bits = plan(texts.count(), similarity, recall)
-    prints = cut(texts.select("node", "text").mapInArrow(_fingerprints(shingle, tables, bits), "node long, n int, values array<long>"), "short-fingerprints")
-    prints = prints.select("node", "n", F.explode("values").alias("value"))
+    prints = cut(texts.select("node", "text").mapInArrow(_fingerprints(shingle, tables, bits), "node long, values array<long>"), "short-fingerprints")
+    prints = prints.select("node", F.explode("values").alias("value"))
     # most values belong to one text and meet no other, so rows of texts are joined to the others only
     counted = cut(prints.groupBy("value").agg(F.count(F.lit(1)).alias("k")), "values")
     roots = cut(components(links(counted.select(F.col("value").alias("fp")), counted.count(), RADIUS, bits, VARIANTS)), "value-roots")
     named = counted.join(roots, counted["value"] == roots["node"], "left").where("root is not null or k > 1")
     named = cut(named.select("value", F.coalesce("root", "value").alias("key")), "value-keys")
-    keys = cut(prints.join(named, "value").select("node", "n", "key"), "keys")
-    hubs = cut(keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub")), "hubs")
-    shared = cut(keys.join(hubs, "key").select("key", "node", "n", "hub"), "shared-keys")
-    wanted = cut(shared.select("node").distinct(), "colliding")
-    sets = cut(texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sets(shingle), "node long, shingles array<long>, sketch array<long>"), "shingles")
-
-    def alike(n, m):  # similar sets have similar sizes
-        return F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        rows = pairs.join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("x", "y")))
-        return rows.where(F.col("both") >= similarity * (F.size("x") + F.size("y") - F.col("both")) - 1e-9).select("a", "b")
-
-    stars = shared.where((F.col("node") != F.col("hub.node")) & alike(F.col("n"), F.col("hub.n"))).select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
-    stars = cut(stars, "star-pairs")
-    edges = cut(verified(stars), "star-edges")
-    rooted = cut(components(edges), "star-roots").withColumnRenamed("node", "named")
-    parts = cut(shared.join(rooted, shared["node"] == rooted["named"], "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")), "rooted-keys")
-    split = cut(parts.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key"), "split-keys")
-    words = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)]
-    parts = cut(parts.join(split, "key", "left_semi").join(sets.select("node", *words), "node"), "sketched-keys")
-    p, q = parts.alias("p"), parts.alias("q")
+    keys = cut(prints.join(named, "value").select("node", "key"), "keys")
+    several = cut(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key"), "meeting-keys")
+    shared = cut(keys.join(several, "key").select("key", "node").distinct(), "shared-keys")
+    wanted = cut(shared.select("node").distinct(), "meeting-nodes")
+    sets = texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sets(shingle), "node long, shingles array<long>, sketch array<long>")
+    sets = cut(sets.select("node", F.size("shingles").cast("long").alias("n"), "shingles", "sketch"), "sets")
+    return linked(shared, sets, round(100 * similarity), _sketches_near(similarity))
+
+
+def _sketches_near(similarity: float):
+    """Pairs whose sketches differ in no more bits than those of sets at the least similarity, but for once in four thousand times."""
     apart = bit_differs(similarity)
-    most = 64 * SKETCH * (apart + DEVIATIONS * math.sqrt(apart * (1 - apart) / (64 * SKETCH)))
-    differ = sum((F.bit_count(F.col(f"p.s{i}").bitwiseXOR(F.col(f"q.s{i}"))) for i in range(SKETCH)), F.lit(0))
-    near = alike(F.col("p.n"), F.col("q.n")) & (differ <= int(most))
-    rest = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.node") > F.col("q.node")) & (F.col("p.root") != F.col("q.root")) & near)
-    rest = rest.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    return edges.unionByName(cut(verified(cut(rest, "rest-pairs")), "rest-edges"))
+    most = int(64 * SKETCH * (apart + DEVIATIONS * math.sqrt(apart * (1 - apart) / (64 * SKETCH))))
+
+    def passing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        x, y = (sets.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab")
+        differ = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+        return pairs.join(x, "a").join(y, "b").where(differ <= most).select("a", "b")
+
+    return passing
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -162,5 +153,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     node = fresh(docs.columns, "_node")
     rows = cut(docs.withColumn(node, F.monotonically_increasing_id()), "numbered")
     texts = rows.select(F.col(node).alias("node"), F.col(text_col).alias("text"))
-    roots = cut(components(similar_links(texts, shingle, similarity, recall)), "roots")
+    roots = similar_roots(texts, shingle, similarity, recall)
     return one_of_each(rows, roots, node, id_col).select(*docs.columns)

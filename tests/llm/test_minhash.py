@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from litquarry.llm import minhash
+from litquarry.llm import minhash, verified
 from litquarry.llm.common import table
 
 
@@ -47,10 +47,10 @@ def copies(rng, base, n, share):
         yield " ".join(words)
 
 
-@pytest.mark.parametrize("wide", [minhash.WIDE, 2])
+@pytest.mark.parametrize("wide", [verified.WIDE, 2])
 def test_groups_of_edited_copies(spark, monkeypatch, wide):
     """Copies with edits around the threshold, chains, small sets and texts of one template."""
-    monkeypatch.setattr(minhash, "WIDE", wide)
+    monkeypatch.setattr(verified, "WIDE", wide)
     rng = random.Random(2)
     fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
     texts = [t for n, share in ((150, 0.02), (150, 0.03), (400, 0.01), (60, 0.04)) for t in copies(rng, fresh(n), 40, share)]
@@ -125,8 +125,8 @@ def test_a_template_makes_no_pairs(spark, monkeypatch):
     template = [f"t{k}" for k in range(200)]
     rows = [(i, " ".join([*template, *(f"o{rng.randrange(10**9)}" for _ in range(28))])) for i in range(600)]
     listed = []
-    real = minhash.cut
-    monkeypatch.setattr(minhash, "cut", lambda df, what="cut": (listed.append((what, out.count())), out)[1] if (out := real(df, what)) is not None and what.endswith("-pairs") else out)
+    real = verified.cut
+    monkeypatch.setattr(verified, "cut", lambda df, what="cut": (listed.append((what, out.count())), out)[1] if (out := real(df, what)) is not None and what.endswith("-pairs") else out)
     got = minhash.minhash_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got.where("kept").count() == 600
     assert sum(n for _, n in listed) < 3000, listed

@@ -76,3 +76,48 @@ def test_shingles_do_not_depend_on_neighbours():
     texts = ["A b c d e f", "a  b\nc d E f", "x y", None, " ", "a b c d e"]
     hashes, n = simhash_similar.shingle_sets(pa.array(texts))
     assert n.tolist() == [2, 2, 1, 1, 1, 1] and (hashes[:2] == hashes[2:4]).all() and hashes[5] == hashes[6] and hashes[7] in hashes[:2]
+
+
+def test_a_template_makes_no_pairs(spark, monkeypatch):
+    """Texts of one template, similar at 0.71, collide in their fingerprints; what is listed of them grows with their number only."""
+    from litquarry.llm import verified
+
+    listed = {}
+    real = verified.cut
+
+    def counting(df, what="cut"):
+        out = real(df, what)
+        if what.endswith("-pairs"):
+            listed[what] = listed.get(what, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(verified, "cut", counting)
+    for n in (300, 1200):
+        rng = random.Random(n)
+        template = [f"t{k}" for k in range(200)]
+        rows = [(i, " ".join([*template, *(f"o{rng.randrange(10**9)}" for _ in range(40))])) for i in range(n)]
+        listed.clear()
+        assert simhash_similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == n
+        assert sum(listed.values()) < 4 * n, listed
+
+
+def test_edited_copies_of_one_text(spark):
+    """A large group of copies with few to many edits each: the rows that stay are those of all pairs, and far fewer pairs are listed."""
+    rng = random.Random(12)
+    base = [f"b{k}" for k in range(160)]
+    rows = []
+    for i in range(250):
+        words = base[:]
+        for _ in range(rng.randrange(0, 9)):
+            k = rng.randrange(len(words))
+            words[k : k + rng.randrange(0, 3)] = [f"e{rng.randrange(10**9)}"] * rng.randrange(0, 2)
+        rows.append((i, " ".join(words)))
+    got = sorted(r.doc_id for r in simhash_similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), recall=0.999999).collect())
+    assert got == sorted(rows[i][0] for i in firsts(rows))
+
+
+def test_lengths_follow_the_number_of_texts():
+    for n in (1, 10**6, 10**9, 2**40, 2**50):
+        tables, bits = simhash_similar.plan(n)
+        assert tables <= 1 << simhash_similar.TABLE_BITS and bits + simhash_similar.TABLE_BITS <= 64
+        assert bits >= min(n, 2**40).bit_length() + simhash_similar.SPARE_BITS
