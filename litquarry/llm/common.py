@@ -85,6 +85,6 @@ def one_of_each(rows: DataFrame, roots: DataFrame, node: str, id_col: str) -> Da
     """
     ids = rows.select(F.col(node).alias("node"), F.col(id_col).cast("long").alias("id"))
     members = roots.join(ids, "node").select("root", F.struct(F.col("id").isNull().alias("null"), "id", "node").alias("row"))
-    first = members.groupBy("root").agg(F.min("row").alias("first"))
+    first = cut(members.groupBy("root").agg(F.min("row").alias("first")), "firsts")
     gone = members.join(first, "root").where("row.node <> first.node").select(F.col("row.node").alias(node))
     return rows.join(gone, node, "left_anti")

@@ -148,4 +148,4 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     dealt = counted.withColumn("grp", F.pmod(F.xxhash64("doc_id", "row"), F.lit(groups)).cast("int"))
     schema = "doc_id long, piece int, start_token long, n_tokens int, bin_id string, bin_size int, bin_offset int, bin_used int"
-    return dealt.repartition(max(shuffle_partitions(docs.sparkSession), groups), "grp").groupBy("grp").applyInArrow(run, schema)
+    return dealt.repartition(max(shuffle_partitions(docs.sparkSession), groups_for(groups, 16)), "grp").groupBy("grp").applyInArrow(run, schema)

@@ -238,7 +238,8 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = cut(components(links(distinct.select("fp"), distinct.count(), radius)), "roots")
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = cut(rooted, "rooted")
+    ids = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     named = rooted.join(ids, "root").select("fp", "component_id")
     return rows.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
