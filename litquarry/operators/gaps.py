@@ -127,9 +127,11 @@ def is_known(concepts: DataFrame, known: DataFrame, columns: list[str]) -> DataF
     return forms.join(known_keys(known), F.col("_form") == F.col("known_key"), "left_semi").drop("_form").distinct()
 
 
-def candidates(m: DataFrame, nodes: DataFrame, edges: DataFrame, known: DataFrame, importance: DataFrame, least: float = LEAST) -> DataFrame:
-    """All concepts with their signals, importance, and the reason for which one is dropped (null if it is not)."""
-    ce = concept_edges(nodes, edges)
+def candidates(m: DataFrame, nodes: DataFrame, ce: DataFrame, known: DataFrame, importance: DataFrame, least: float = LEAST) -> DataFrame:
+    """All concepts with their signals, importance, and the reason for which one is dropped (null if it is not).
+
+    ``ce`` are the ``concept_edges``. They and the mentions are read by several aggregates, so they are best given as written tables.
+    """
     ev, ge, gc, counts = evidence_signals(m), graph_signals(ce, importance), graph_concepts(nodes), union_counts(m, ce)
     universe = ev.select("norm").unionByName(ge.select("norm")).unionByName(gc.select("norm")).distinct()
     rows = (
@@ -162,19 +164,17 @@ def candidates(m: DataFrame, nodes: DataFrame, edges: DataFrame, known: DataFram
 def selected(c: DataFrame, top: int = TOP, cap: int = CAP) -> DataFrame:
     """The first ``top`` candidates by importance, then later ones with two core papers, ``cap`` in all, with their rank.
 
-    The order is total: ties go by key. Ranks need one order of all candidates, so only the few that can be chosen are ranked. Each
-    task keeps its best ``top`` and its best ``top`` + ``cap`` with two core papers in one pass, and what the tasks kept is
-    ranked together; the candidates are computed once.
+    The order is total: ties go by key. Ranks need one order of all candidates, so only the few that can be chosen are ranked: the best
+    ``top``, and the best ``top`` + ``cap`` with two core papers. Both are a top-k that each task begins, over the live candidates, which
+    are written once.
     """
     order = [F.desc("importance"), F.asc("norm")]
-    live = c.where("reason is null").withColumn("_task", F.spark_partition_id()).withColumn("_cored", F.col("core_paper_count") >= 2)
-    own = F.row_number().over(Window.partitionBy("_task").orderBy(*order))
-    cored = F.row_number().over(Window.partitionBy("_task", "_cored").orderBy(*order))
-    few = live.withColumn("_own", own).withColumn("_nth", cored).where((F.col("_own") <= top) | F.col("_cored") & (F.col("_nth") <= top + cap)).drop("_task", "_own", "_nth")
+    live = durable(c.where("reason is null"), "live")
+    few = live.orderBy(*order).limit(top).unionByName(live.where("core_paper_count >= 2").orderBy(*order).limit(top + cap)).dropDuplicates(["norm"])
     place = F.row_number().over(Window.orderBy(*order))
-    chosen = few.withColumn("_place", place).where((F.col("_place") <= top) | F.col("_cored"))
+    chosen = few.withColumn("_place", place).where((F.col("_place") <= top) | (F.col("core_paper_count") >= 2))
     rank = F.row_number().over(Window.orderBy((F.col("_place") > top).cast("int"), *order))
-    return chosen.withColumn("rank", rank).where(F.col("rank") <= cap).drop("_place", "_cored")
+    return chosen.withColumn("rank", rank).where(F.col("rank") <= cap).drop("_place")
 
 
 def first_references(m: DataFrame, snippets: DataFrame, refs: int = 1) -> DataFrame:

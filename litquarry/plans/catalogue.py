@@ -13,6 +13,7 @@ from ..functions import scoring, text
 from ..operators import discovery, gaps, graph, matching, outline, packs, pages, promotion, quality, search, state
 from ..sources import adapter as A
 from ..sources.adapter import FIELDS, NORM_SQL, sql, table
+from ..sources.landing import durable
 from .registry import ORACLES, QUERIES, query
 
 #: The reference year of all scores and ages, and the keywords of the filters.
@@ -60,8 +61,14 @@ _ALL = {"ce": _CE, "ev": _EV, "ge": _GE, "gc": _GC, "uc": _UC, "kn": _KN, "cand"
 _GAP = ("mentions", "edges", "nodes", "known")
 
 
-def _candidates(spark, d) -> DataFrame:
-    return gaps.candidates(_mentions(spark, d), A.graph_nodes(spark, d), A.graph_edges(spark, d), A.known(spark, d), _importance(spark, d))
+def _signals(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Mentions and the graph's concepts, which several aggregates of one query read, written once."""
+    return durable(_mentions(spark, d), "mentions"), durable(_concept_edges(spark, d).select("src", "norm", "type"), "concept-edges")
+
+
+def _candidates(spark, d, signals=None) -> DataFrame:
+    m, e = signals or _signals(spark, d)
+    return gaps.candidates(m, A.graph_nodes(spark, d), e, A.known(spark, d), m.select("paper", "importance").distinct())
 
 
 @query("concept_paper_counts", sql("SELECT norm, count(DISTINCT paper) AS paper_count, count(DISTINCT paper) FILTER (importance >= 4) AS core_paper_count FROM mentions GROUP BY norm", "mentions"))
@@ -142,8 +149,8 @@ def _(spark, d):
 
 @query("gap_digest", sql("SELECT rank, substr(concept, 1, 80) AS concept, norm AS normalized, round(importance, 6) AS importance, paper_count, core_paper_count, coalesce(ref.paper || '|' || slot || '|' || snippet, '') AS evidence_refs, coalesce(names, '') AS graph_neighbors FROM sel LEFT JOIN ref USING (norm) LEFT JOIN (SELECT nb.norm, string_agg(substr(coalesce(display, neighbor), 1, 80), ',' ORDER BY rank) AS names FROM nb LEFT JOIN gc ON gc.norm = neighbor WHERE rank <= 3 GROUP BY 1) USING (norm) WHERE rank <= 180", *_GAP, "claims", **_ALL, sel=_SEL, nb=_NB, sol=_SOL, ref=_REF))
 def _(spark, d):
-    m, e = _mentions(spark, d), _concept_edges(spark, d)
-    records = gaps.digest(gaps.selected(_candidates(spark, d)), gaps.first_references(m, _snippets(spark, d)), gaps.neighbors(e), gaps.graph_concepts(A.graph_nodes(spark, d)))
+    m, e = signals = _signals(spark, d)
+    records = gaps.digest(gaps.selected(_candidates(spark, d, signals)), gaps.first_references(m, _snippets(spark, d)), gaps.neighbors(e), gaps.graph_concepts(A.graph_nodes(spark, d)))
     refs = F.array_join(F.transform("evidence_refs", lambda r: F.concat_ws("|", r["arxiv_id"], r["slot"], r["snippet"])), ";")
     return gaps.within_budget(records).select("rank", "concept", "normalized", F.round("importance", 6).alias("importance"), "signals.paper_count", "signals.core_paper_count", refs.alias("evidence_refs"), csv("graph_neighbors").alias("graph_neighbors"))
 
@@ -423,7 +430,8 @@ _VALID = "SELECT * FROM rejected WHERE reasons = ''"
 
 
 def _fragments(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return A.fragment_edges(spark, d), A.fragment_nodes(spark, d), A.claims(spark, d)
+    claims = durable(A.claims(spark, d), "claims")
+    return A.fragment_edges(claims), A.fragment_nodes(claims), claims
 
 
 @query("weak_graph_merge", sql("SELECT src, dst, type, confidence FROM (SELECT *, row_number() OVER (PARTITION BY src, dst, type ORDER BY file, ord, confidence) AS n FROM edges) WHERE n = 1", "edges"))
@@ -798,4 +806,4 @@ def _(spark, d):
 ORACLES["stream_latest"] = sql("SELECT key, seq, status FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY fetched_at DESC, seq DESC) AS n FROM cache_puts) WHERE n = 1", "cache_puts")
 
 
-from . import answers, book, increments, landed, services  # noqa: E402, F401  they register further queries
+from . import answers, book, increments, landed, services, site  # noqa: E402, F401  they register further queries

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Fields of an evidence record that hold concepts, in the order in which they are read, and the slot of each.
@@ -33,9 +33,7 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
 
 def mention_rows(spark: SparkSession, d: str) -> DataFrame:
     """(paper, title, importance, field, ord, raw): one row per item of a field of an evidence record."""
-    rows = _lines(spark, d)
-    title = rows.groupBy("l_orderkey").agg(F.min("raw").alias("title"))
-    rows = rows.join(title, "l_orderkey")
+    rows = _lines(spark, d).withColumn("title", F.min("raw").over(Window.partitionBy("l_orderkey")))
     return rows.select(F.col("l_orderkey").cast("string").alias("paper"), "title", (1 + F.col("l_orderkey") % 5).cast("int").alias("importance"), ((F.col("l_linenumber") + F.col("l_partkey")) % 8).cast("int").alias("field"), F.concat_ws("|", F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lpad(F.col("l_partkey").cast("string"), 12, "0")).alias("ord"), "raw")
 
 
@@ -63,17 +61,14 @@ def known(spark: SparkSession, d: str) -> DataFrame:
 
 def claims(spark: SparkSession, d: str) -> DataFrame:
     """(paper, nth, claim_id, node, lines, text, claim_type): grounded claims of verified evidence."""
-    from pyspark.sql import Window
-
     nth = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
     rows = _lines(spark, d).withColumn("nth", nth)
     kind = F.when(F.col("l_returnflag") == "A", "method").when(F.col("l_returnflag") == "N", "result").otherwise("limitation")
     return rows.select(F.col("l_orderkey").cast("string").alias("paper"), "nth", F.concat(F.lit("c"), F.lpad(F.col("nth").cast("string"), 3, "0")).alias("claim_id"), F.concat(F.lit("s.0"), (1 + F.col("l_linenumber") % 4).cast("string")).alias("node"), F.array(F.col("l_linenumber") * 3, F.col("l_linenumber") * 3 + 1).alias("lines"), F.col("raw").alias("text"), kind.alias("claim_type"))
 
 
-def fragment_edges(spark: SparkSession, d: str) -> DataFrame:
-    """(paper, nth, claim_id, src, dst, type, confidence, node, lines): edges proposed for the verified graph, some of them bad."""
-    rows = claims(spark, d)
+def fragment_edges(rows: DataFrame) -> DataFrame:
+    """(paper, nth, claim_id, src, dst, type, confidence, node, lines): edges proposed for the verified graph from ``claims``, some of them bad."""
     n = F.col("nth") + F.col("paper").cast("long")
     return rows.select(
         "paper", "nth",
@@ -86,9 +81,8 @@ def fragment_edges(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def fragment_nodes(spark: SparkSession, d: str) -> DataFrame:
-    """(paper, id, type): nodes of each fragment; some endpoints are missing, some nodes are unused."""
-    rows = claims(spark, d)
+def fragment_nodes(rows: DataFrame) -> DataFrame:
+    """(paper, id, type): nodes of each fragment of ``claims``; some endpoints are missing, some nodes are unused."""
     own = rows.select("paper", F.col("paper").alias("id"), F.lit("Paper").alias("type")).distinct()
     others = rows.where("(nth + cast(paper as bigint)) % 6 <> 0").select("paper", F.col("text").alias("id"), F.lit("Concept").alias("type"))
     spare = rows.where("nth = 1").select("paper", F.concat(F.lit("spare "), F.col("text")).alias("id"), F.lit("Concept").alias("type"))

@@ -34,7 +34,7 @@ def test_gap_digest(spark, corpus):
     evidence, nodes, edges, known = corpus
     rows = gaps.mention_rows(evidence, FIELDS)
     m = gaps.mentions(rows, FIELDS)
-    c = gaps.candidates(m, nodes, edges, known, rows.select("paper", "importance").distinct())
+    c = gaps.candidates(m, nodes, gaps.concept_edges(nodes, edges), known, rows.select("paper", "importance").distinct())
     kept = [(r.norm, r.paper_count, r.core_paper_count, ",".join(r.in_slots), r.is_method_of_core, round(r.importance, 6)) for r in gaps.selected(c).orderBy("rank").collect()]
     assert kept == [
         ("vit", 2, 2, "method,result,title", True, 0.733333),
