@@ -58,6 +58,41 @@ def _(spark, d):
     return _drained(spark, stateful.turn_results(events), "turns").where("turn_id is not null")
 
 
+def _landed_events(spark, d) -> DataFrame:
+    path = folder(spark, "events")
+    table(spark, d, "events").select(F.date_format("ts", _UTC).alias("at"), "event_type", "user_id").repartition(5).write.json(path)
+    return folds.landed(spark, path, "at timestamp, event_type string, user_id long", per_trigger=2)
+
+
+def _day(c: str):
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+
+
+@query("stream_sliding_windows", "SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 12 HOUR, ts), time_bucket(INTERVAL 12 HOUR, ts) - INTERVAL 12 HOUR, time_bucket(INTERVAL 12 HOUR, ts) - INTERVAL 24 HOUR]) AS start FROM events) GROUP BY 1, 2")
+def _(spark, d):
+    """Events in windows of 36 hours that begin every 12 hours, by a stream over files in any order."""
+    rows = folds.windowed_counts(_landed_events(spark, d), "at", "36 hours", "40 days", ["event_type"], "12 hours")
+    return _completed(spark, rows, "sliding").select(_day("start").alias("start"), "event_type", "n")
+
+
+@query("stream_bursts", "SELECT key, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first, count(*) AS changes FROM (SELECT *, sum(CASE WHEN gap THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS burst FROM (SELECT user_id AS key, ts, event_id, coalesce(ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 8 HOUR, true) AS gap FROM events)) GROUP BY key, burst")
+def _(spark, d):
+    """Bursts of events of a user with less than 8 hours between one and the next, by session windows of a stream."""
+    rows = folds.quiet(_landed_events(spark, d).select(F.col("user_id").alias("key"), "at"), "8 hours", "40 days")
+    return _completed(spark, rows, "bursts").select("key", _day("from").alias("first"), "changes")
+
+
+def _completed(spark, rows: DataFrame, name: str) -> DataFrame:
+    """The rows of a streaming aggregate that has read all there is, also those whose windows are still open; each batch writes them anew."""
+    path = folder(spark, name)
+    write = lambda found, _: sinks.parquet_snapshot(found, path)
+    q = rows.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", folder(spark, f"{name}-checkpoint")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _sources(spark, paths: list[str], run: int) -> DataFrame:
     rows = spark.read.schema("doc_id long, n_chars long").json(paths)
     return rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars")).withColumn("run", F.lit(run))

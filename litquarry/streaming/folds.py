@@ -31,9 +31,13 @@ def turns(events: DataFrame) -> DataFrame:
     return state.turn_results(events)
 
 
-def windowed_counts(events: DataFrame, at: str, width: str, late: str, keys: list[str]) -> DataFrame:
-    """Events per window and key; what comes later than ``late`` behind the newest is dropped and its state let go."""
-    return events.withWatermark(at, late).groupBy(F.window(at, width), *keys).agg(F.count(F.lit(1)).alias("n")).select("window.start", "window.end", *keys, "n")
+def windowed_counts(events: DataFrame, at: str, width: str, late: str, keys: list[str], slide: str | None = None) -> DataFrame:
+    """Events per window and key; what comes later than ``late`` behind the newest is dropped and its state let go.
+
+    Windows follow one another, or with ``slide`` begin so far apart, so that an event counts in several.
+    """
+    window = F.window(at, width) if slide is None else F.window(at, width, slide)
+    return events.withWatermark(at, late).groupBy(window, *keys).agg(F.count(F.lit(1)).alias("n")).select("window.start", "window.end", *keys, "n")
 
 
 def upserting(events: DataFrame, path: str, keys: list[str], checkpoint: str) -> DataStreamWriter:
