@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import incremental
-from ..sources import sinks
+from ..sources import keyed, sinks
 from ..sources.adapter import table
 from ..sources.landing import folder
 from ..streaming import folds, stateful
@@ -58,6 +58,20 @@ def _(spark, d):
     return _drained(spark, stateful.turn_results(events), "turns").where("turn_id is not null")
 
 
+@query("keyed_upserts", "SELECT user_id AS key, arg_max(event_id, ts) AS event_id, count(*) AS n FROM (SELECT * FROM events WHERE event_type <> 'error') GROUP BY user_id HAVING max(CASE WHEN event_type = 'purchase' THEN event_id ELSE -1 END) % 4 <> 1")
+def _(spark, d):
+    """A keyed table after three changes, each of which rewrites its own buckets, and a removal."""
+    path, kinds = folder(spark, "keyed"), "key long, event_id long, n long"
+    e = table(spark, d, "events").where("event_type <> 'error'")
+    last = e.groupBy(F.col("user_id").alias("key")).agg(F.max_by("event_id", "ts").alias("event_id"), F.count(F.lit(1)).alias("n"))
+    keyed.upsert(last.where("key % 2 = 0").select("key", F.lit(-1).cast("long").alias("event_id"), "n", F.lit(1).alias("ord")), path, ["key"], 8)
+    keyed.upsert(last.select("key", "event_id", F.lit(0).cast("long").alias("n"), F.lit(1).alias("ord")).unionByName(last.withColumn("ord", F.lit(2))), path, ["key"])
+    keyed.upsert(last.limit(0).withColumn("ord", F.lit(1)), path, ["key"])
+    bought = e.where("event_type = 'purchase'").groupBy(F.col("user_id").alias("key")).agg(F.max("event_id").alias("last"))
+    keyed.remove(bought.where("last % 4 = 1"), path, ["key"], kinds)
+    return keyed.read(spark, path, kinds)
+
+
 def _landed_events(spark, d) -> DataFrame:
     path = folder(spark, "events")
     table(spark, d, "events").select(F.date_format("ts", _UTC).alias("at"), "event_type", "user_id").repartition(5).write.json(path)

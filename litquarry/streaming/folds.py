@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import state
-from ..sources import sinks
+from ..sources import keyed
 
 
 def landed(spark: SparkSession, path: str, schema: str, fmt: str = "json", per_trigger: int = 1000) -> DataFrame:
@@ -40,9 +40,12 @@ def windowed_counts(events: DataFrame, at: str, width: str, late: str, keys: lis
     return events.withWatermark(at, late).groupBy(window, *keys).agg(F.count(F.lit(1)).alias("n")).select("window.start", "window.end", *keys, "n")
 
 
-def upserting(events: DataFrame, path: str, keys: list[str], checkpoint: str) -> DataStreamWriter:
-    """Keep a keyed Parquet snapshot up to date; of a batch the last event per key by ord counts."""
-    return events.writeStream.foreachBatch(lambda rows, _: sinks.upsert(rows, path, keys)).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+def upserting(events: DataFrame, path: str, keys: list[str], checkpoint: str, buckets: int = keyed.BUCKETS) -> DataStreamWriter:
+    """Keep a table of ``sources.keyed`` up to date; of a batch the last event per key by ord counts.
+
+    A batch rewrites the buckets of its keys only. A batch that is repeated after a failure puts the same rows again.
+    """
+    return events.writeStream.foreachBatch(lambda rows, _: keyed.upsert(rows, path, keys, buckets)).option("checkpointLocation", checkpoint).trigger(availableNow=True)
 
 
 def appending(events: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
