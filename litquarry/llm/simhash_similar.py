@@ -39,6 +39,9 @@ SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.98
 RADIUS, LEAST_BITS, SPARE_BITS, TABLE_BITS = 2, 32, 13, 10
 #: Variants that a group of fingerprints holds at a time.
 VARIANTS = 4 << 20
+#: Texts of a key that are compared by their sketches before their sets are made, and texts whose numbers are broadcast as a filter; of
+#: more, the texts are shuffled.
+FEW, BROADCAST_NODES = 8, 4 << 20
 #: Words of 64 bits in a sketch, and by how many standard deviations a similar pair's sketches may differ more than expected.
 SKETCH, DEVIATIONS = 8, 3.5
 
@@ -88,7 +91,7 @@ def short_fingerprints(hashes: np.ndarray, n: np.ndarray, tables: int, bits: int
 
 
 def _fingerprints(shingle: int, tables: int, bits: int):
-    schema = pa.schema([("node", pa.int64()), ("values", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("values", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
@@ -96,22 +99,22 @@ def _fingerprints(shingle: int, tables: int, bits: int):
                 hashes, n = shingle_sets(piece.column(1), shingle)
                 flat = pa.array(short_fingerprints(hashes, n, tables, bits).view(np.int64).ravel())
                 values = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * tables, flat)
-                yield pa.RecordBatch.from_arrays([piece.column(0), values], schema=schema)
+                flat = pa.array(np.ascontiguousarray(lanes(hashes, n, 1000, SKETCH)).view(np.int64).ravel())
+                sketch = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * SKETCH, flat)
+                yield pa.RecordBatch.from_arrays([piece.column(0), values, sketch], schema=schema)
 
     return run
 
 
 def _sets(shingle: int):
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
             for piece in _pieces(batch, 1):
                 hashes, n = shingle_sets(piece.column(1), shingle)
                 sets = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32), pa.array(hashes.view(np.int64)))
-                flat = pa.array(np.ascontiguousarray(lanes(hashes, n, 1000, SKETCH)).view(np.int64).ravel())
-                sketch = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * SKETCH, flat)
-                yield pa.RecordBatch.from_arrays([piece.column(0), sets, sketch], schema=schema)
+                yield pa.RecordBatch.from_arrays([piece.column(0), sets], schema=schema)
 
     return run
 
@@ -119,7 +122,8 @@ def _sets(shingle: int):
 def similar_roots(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """(node, root) for the nodes of (node, text) that have links, by the components of all colliding pairs that are similar enough."""
     tables, bits = plan(texts.count(), similarity, recall)
-    prints = cut(texts.select("node", "text").mapInArrow(_fingerprints(shingle, tables, bits), "node long, values array<long>"), "short-fingerprints")
+    prints = cut(texts.select("node", "text").mapInArrow(_fingerprints(shingle, tables, bits), "node long, values array<long>, sketch array<long>"), "short-fingerprints")
+    sketches = prints.select("node", *(F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)))
     prints = prints.select("node", F.explode("values").alias("value"))
     # most values belong to one text and meet no other, so rows of texts are joined to the others only
     counted = cut(prints.groupBy("value").agg(F.count(F.lit(1)).alias("k")), "values")
@@ -129,23 +133,39 @@ def similar_roots(texts: DataFrame, shingle: int = SHINGLE, similarity: float =
     keys = cut(prints.join(named, "value").select("node", "key"), "keys")
     several = cut(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key"), "meeting-keys")
     shared = cut(keys.join(several, "key").select("key", "node").distinct(), "shared-keys")
-    wanted = cut(shared.select("node").distinct(), "meeting-nodes")
-    sets = texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sets(shingle), "node long, shingles array<long>, sketch array<long>")
-    sets = cut(sets.select("node", F.size("shingles").cast("long").alias("n"), "shingles", "sketch"), "sets")
-    return linked(shared, sets, round(100 * similarity), _sketches_near(similarity))
+    shared = _worth(shared, sketches, similarity)
+    nodes = cut(shared.select("node").distinct(), "meeting-nodes")
+    wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
+    sets = texts.join(wanted, "node", "left_semi").select("node", "text").mapInArrow(_sets(shingle), "node long, shingles array<long>")
+    sets = cut(sets.select("node", F.size("shingles").cast("long").alias("n"), "shingles"), "sets")
 
+    def passing(pairs: DataFrame, _: DataFrame) -> DataFrame:
+        x, y = (sketches.select(F.col("node").alias(c), F.struct(*(f"s{i}" for i in range(SKETCH))).alias(f"s{c}")) for c in "ab")
+        return pairs.join(x, "a").join(y, "b").where(_near("sa", "sb", similarity)).select("a", "b")
 
-def _sketches_near(similarity: float):
-    """Pairs whose sketches differ in no more bits than those of sets at the least similarity, but for once in four thousand times."""
-    apart = bit_differs(similarity)
-    most = int(64 * SKETCH * (apart + DEVIATIONS * math.sqrt(apart * (1 - apart) / (64 * SKETCH))))
+    return linked(shared, sets, round(100 * similarity), passing)
 
-    def passing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        x, y = (sets.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab")
-        differ = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH)), F.lit(0))
-        return pairs.join(x, "a").join(y, "b").where(differ <= most).select("a", "b")
 
-    return passing
+def _near(x: str, y: str, similarity: float):
+    """Whether sketches differ in no more bits than those of sets at the least similarity, but for once in four thousand times."""
+    apart = bit_differs(similarity)
+    most = int(64 * SKETCH * (apart + DEVIATIONS * math.sqrt(apart * (1 - apart) / (64 * SKETCH))))
+    return sum((F.bit_count(F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}"))) for i in range(SKETCH)), F.lit(0)) <= most
+
+
+def _worth(shared: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """(key, node) without the texts of a key of few whose sketches are far from those of all others of it.
+
+    Most keys are a few texts that collide by chance; their sketches say so before any set of shingles is made. Keys of more than
+    FEW texts stay whole, so that no key makes more than a bounded number of pairs here.
+    """
+    sizes = cut(shared.groupBy("key").agg(F.count(F.lit(1)).alias("k")), "key-sizes")
+    many = shared.join(sizes.where(F.col("k") > FEW), "key").select("key", "node")
+    few = cut(shared.join(sizes.where(F.col("k") <= FEW), "key").join(sketches, "node").drop("k"), "keys-of-few")
+    p, q = few.alias("p"), few.alias("q")
+    pairs = p.join(q, (F.col("p.key") == F.col("q.key")) & (F.col("p.node") < F.col("q.node")) & _near("p", "q", similarity))
+    alive = pairs.select(F.col("p.key").alias("key"), F.explode(F.array("p.node", "q.node")).alias("node")).distinct()
+    return cut(many.unionByName(alive), "worth-keys")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
