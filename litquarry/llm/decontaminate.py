@@ -440,10 +440,11 @@ def keep_clean(docs: DataFrame, bench: DataFrame, text_col: str = "text", simila
 
         def run(batches, items=items):
             for batch in batches:
-                for piece in _pieces(batch, column):
+                for piece in _pieces(batch, column, TEXT_BYTES // 4):
                     clean = np.ones(piece.num_rows, bool)
                     clean[[t for t, *_ in search(piece.column(column), items)]] = False
                     yield piece.filter(pa.array(clean))
+                pa.default_memory_pool().release_unused()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

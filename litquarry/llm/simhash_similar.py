@@ -37,8 +37,10 @@ SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.98
 #: Most differing bits of two fingerprints that are linked, fewest bits of a fingerprint, bits beyond those that number all texts, and
 #: bits for a fingerprint's number. From 2**41 texts on lengths grow no more; chance collisions then cost more, and results stay.
 RADIUS, LEAST_BITS, SPARE_BITS, TABLE_BITS = 2, 32, 13, 10
+#: Bytes of text that are hashed at a time.
+TEXT_BYTES = 1 << 20
 #: Variants that a group of fingerprints holds at a time.
-VARIANTS = 4 << 20
+VARIANTS = 2 << 20
 #: Texts of a key that are compared by their sketches before their sets are made, and texts whose numbers are broadcast as a filter; of
 #: more, the texts are shuffled.
 FEW, BROADCAST_NODES = 8, 4 << 20
@@ -95,13 +97,14 @@ def _fingerprints(shingle: int, tables: int, bits: int):
 
     def run(batches):
         for batch in batches:
-            for piece in _pieces(batch, 1):
+            for piece in _pieces(batch, 1, TEXT_BYTES):
                 hashes, n = shingle_sets(piece.column(1), shingle)
                 flat = pa.array(short_fingerprints(hashes, n, tables, bits).view(np.int64).ravel())
                 values = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * tables, flat)
                 flat = pa.array(np.ascontiguousarray(lanes(hashes, n, 1000, SKETCH)).view(np.int64).ravel())
                 sketch = pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * SKETCH, flat)
                 yield pa.RecordBatch.from_arrays([piece.column(0), values, sketch], schema=schema)
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -111,10 +114,11 @@ def _sets(shingle: int):
 
     def run(batches):
         for batch in batches:
-            for piece in _pieces(batch, 1):
+            for piece in _pieces(batch, 1, TEXT_BYTES):
                 hashes, n = shingle_sets(piece.column(1), shingle)
                 sets = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32), pa.array(hashes.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([piece.column(0), sets], schema=schema)
+            pa.default_memory_pool().release_unused()
 
     return run
 
