@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..functions import scoring, text
 from ..sources.landing import durable
@@ -154,23 +158,37 @@ def chunks(rows: DataFrame, size: int, order: list[str], key: str) -> DataFrame:
     return rows.withColumn("chunk", F.floor((nth - 1) / size))
 
 
-def relevance_gate(rows: DataFrame, judge, id_col: str = "paper_id", chunk: int = 50, fail_open: bool = True) -> DataFrame:
-    """The rows that a user's judge keeps: it gets up to ``chunk`` rows as a pandas frame and returns ids.
+def judged(rows: DataFrame, judge, id_col: str = "paper_id", chunk: int = 50, fail_open: bool = True) -> DataFrame:
+    """The rows with what a user's judge says: (group, kept, failed) beside their own columns.
 
-    Ids that it invents are ignored. Where it raises, the chunk stays (fail_open) or goes.
+    The judge gets up to ``chunk`` rows as a pandas frame and returns ids; ids that it invents are ignored. Rows are put into groups by a hash of
+    their id and into the order of ids there, so which rows it sees together depends on the rows alone and not on how they are
+    partitioned. Where it raises, its chunk is marked as failed and stays (fail_open) or goes; how many did is
+    ``where("failed").select("group").distinct().count()``.
     """
+    n = max(1, math.ceil(rows.count() / chunk))
+    names = rows.columns
+
+    def run(key, frame):
+        frame = frame[names].sort_values(id_col, kind="stable", na_position="last").reset_index(drop=True)
+        parts = []
+        for i in range(0, max(1, len(frame)), chunk):
+            part, failed = frame.iloc[i : i + chunk], False
+            try:
+                good = set(judge(part))
+            except Exception:  # a judge is foreign code; what its failure means is the caller's choice
+                good, failed = set(part[id_col]) if fail_open else set(), True
+            kept = part[id_col].isin(good) | (fail_open and failed)
+            parts.append(part.assign(group=f"{key[0]}-{i // chunk}", kept=kept, failed=failed))
+        return pd.concat(parts)
+
+    schema = StructType([*rows.schema.fields, StructField("group", StringType()), StructField("kept", BooleanType()), StructField("failed", BooleanType())])
+    return rows.groupBy(F.pmod(F.xxhash64(id_col), F.lit(n)).alias("_bucket")).applyInPandas(run, schema)
 
-    def run(frames):
-        for frame in frames:
-            for i in range(0, len(frame), chunk):
-                part = frame.iloc[i : i + chunk]
-                try:
-                    good = set(judge(part))
-                except Exception:  # a judge is foreign code; what its failure means is the caller's choice
-                    good = set(part[id_col]) if fail_open else set()
-                yield part[part[id_col].isin(good)]
-
-    return rows.mapInPandas(run, rows.schema)
+
+def relevance_gate(rows: DataFrame, judge, id_col: str = "paper_id", chunk: int = 50, fail_open: bool = True) -> DataFrame:
+    """The rows that a user's judge keeps, see ``judged``."""
+    return judged(rows, judge, id_col, chunk, fail_open).where("kept").select(*rows.columns)
 
 
 def metadata(sources: list[DataFrame], key: str = "paper_id") -> DataFrame:

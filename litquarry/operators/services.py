@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.landing import numbered
 from . import discovery, search
 
 # The most that the services take at a time.
@@ -23,13 +24,10 @@ TRIES, DELAY = 5, 1.0
 
 
 def request_batches(ids: DataFrame, order: list[str], size: int = BATCH_LIMIT) -> DataFrame:
-    """(batch, pos, id): distinct ids in their order, so many to a batch, for one request each.
-
-    The order is one of all ids of a request plan, which is a list that a service would answer one batch a second.
-    """
+    """(batch, pos, id): distinct ids in their order, so many to a batch, for one request each; ids are numbered by ranges (``numbered``)."""
     once = ids.where(F.coalesce(F.trim("id"), F.lit("")) != "").groupBy("id").agg(F.min(F.struct(*order)).alias("o"))
-    nth = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("o", "id")) - 1
-    return once.select("id", nth.alias("n")).select(F.floor(F.col("n") / size).alias("batch"), (F.col("n") % size).alias("pos"), "id")
+    n = numbered(once, ["o", "id"], "n")
+    return n.select(F.floor(F.col("n") / size).alias("batch"), (F.col("n") % size).alias("pos"), "id")
 
 
 def _items(answers: DataFrame, path: str) -> DataFrame:

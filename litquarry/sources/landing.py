@@ -6,7 +6,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession, what: str) -> str:
@@ -29,6 +30,21 @@ def durable(df: DataFrame, what: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, order: list, name: str = "nth") -> DataFrame:
+    """The rows with their place, from 0, in one order of all of them; no task sees more than its range.
+
+    Rows are dealt to ranges, sorted there and written with the number of their range and their place in it; the sizes of the ranges, one
+    number each, give what comes before them. Ties are in no particular order, so an order that is to be told apart ends with a key.
+    """
+    row, part = F.monotonically_increasing_id().alias("_row"), F.spark_partition_id().alias("_part")
+    dealt = durable(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("*", part, row), "ranges")
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # a row for each range, as many as there are shuffle partitions
+    places = dealt.join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
+    # the lower 33 bits of Spark's increasing ids count the rows of a task
+    return places.withColumn(name, F.col("_before") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_row", "_before")
+
+
 def put(spark: SparkSession, path: str, content: str | bytes) -> None:
     """A small file from the driver, as for settings or a list of sources."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -3,7 +3,8 @@
 Each task writes its rows to a file of its own and says so in its commit message. Only when all tasks have, the driver writes one
 small file, the version, that names the files, the number of rows and the time stamp; a reader takes the newest version. So a
 reader sees the rows of one run or of another, never a part, a failed or repeated task leaves files that no version
-names, and between two versions there is no moment without one. Old versions stay until ``expire``.
+names, and between two versions there is no moment without one. Old versions stay until ``expire``, files of failed runs until
+``sweep``.
 
     rows.write.format("litquarry-snapshot").option("path", path).option("stamp", stamp).mode("append").save()
 """
@@ -75,7 +76,7 @@ class SnapshotWriter(DataSourceWriter):
         files.move(f"{target}.{self.run}.tmp", target)
 
     def abort(self, messages) -> None:
-        """The files of the run go; what a lost task left there goes with its folder."""
+        """The files of the run go with their folder. A task that is still ending may put one there afterwards; no version names it (``sweep``)."""
         files, base = _opened(self.path)
         folder = posixpath.join(base, f"data/{self.run}")
         if files.get_file_info(folder).is_file is False and files.get_file_info(folder).type.name == "Directory":
@@ -141,3 +142,19 @@ def expire(path: str, keep: int = 1) -> list[int]:
             for name in set(records[number]["files"]) - needed:
                 files.delete_file(posixpath.join(base, name))
     return gone
+
+
+def sweep(path: str) -> int:
+    """Delete the files that no version names, as failed runs leave them; how many. To be called while nothing writes there."""
+    from pyarrow import fs
+
+    files, base = _opened(path)
+    named = set()
+    for _, p in _versions(files, base):
+        with files.open_input_stream(p) as f:
+            named |= {posixpath.join(base, name) for name in json.loads(f.read())["files"]}
+    there = files.get_file_info(fs.FileSelector(posixpath.join(base, "data"), allow_not_found=True, recursive=True))
+    gone = [f.path for f in there if f.is_file and f.path not in named]
+    for p in gone:
+        files.delete_file(p)
+    return len(gone)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from litquarry.operators import discovery, gaps, graph, matching
+from litquarry.sources.landing import numbered
 
 
 def test_many_titles_of_one_prefix(spark):
@@ -103,3 +104,11 @@ def test_the_plan_of_an_exclusion_does_not_grow(spark):
     assert size(50) == size(2)
     got = discovery.running_exclusion_capped(hits, list(range(50)), 10).collect()
     assert sorted((r.paper_id, r["query"]) for r in got) == capped([(r.paper_id, r["query"], r.ord) for r in hits.collect()], range(50), 10)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_numbers_by_ranges(spark, n):
+    rng = random.Random(7)
+    rows = [(rng.randrange(40), f"k{i}") for i in range(n)]
+    got = numbered(spark.createDataFrame(rows, "a int, k string").repartition(5), ["a", "k"]).collect()
+    assert [(r.a, r.k) for r in sorted(got, key=lambda r: r.nth)] == sorted(rows) and sorted(r.nth for r in got) == list(range(n))
