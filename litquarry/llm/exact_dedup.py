@@ -24,6 +24,8 @@ from .common import cut, fresh
 
 #: Characters of the normalised text that the second refinement hashes.
 PREFIX_CHARS = 256
+#: Decisions, of about a hundred bytes each, that go out to the texts; of more, the texts are shuffled to them.
+BROADCAST_ROWS = 1 << 19
 _LAST = (1 << 63) - 1
 
 
@@ -71,7 +73,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     said = marked.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count_if("kept").alias("_stay"), F.count(F.lit(1)).alias("_n")).where("_stay = 0 or _n > 1")
     said = cut(said, "exact-said")
     own, stay, ident, sha = (fresh(docs.columns, n) for n in ("_own_sha", "_stay", "_id", "_sha"))
+    few = said.count() <= BROADCAST_ROWS
     said = said.select(F.col("_id").alias(ident), F.col("_sha").alias(sha), F.col("_stay").alias(stay))
+    said = F.broadcast(said) if few else said  # then no text is shuffled
     rows = docs.withColumn(own, F.sha2(collapse_space(F.col(text_col)), 256))
     rows = rows.join(said, rows[id_col].eqNullSafe(said[ident]) & (rows[own] == said[sha]), "left")
     single = rows.where(F.col(stay).isNull()).select(*docs.columns)
