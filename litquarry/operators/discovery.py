@@ -77,11 +77,11 @@ def top_linked(links: DataFrame, limit: int, least: int = 0, key: str = "paper")
 
 
 def ranked_by_impact(papers: DataFrame, now: int, most: int | None = None, key: str = "paper_id") -> DataFrame:
-    """(paper_id, abstract, score): the best score and the first abstract of each id, best first, at most ``most`` of them."""
+    """(paper_id, abstract, score): the best score and the first abstract of each id, best first, at most ``most`` of them; ties by ord, then id."""
     score = F.coalesce(scoring.impact(F.coalesce("citations", F.lit(0)), F.col("year"), now), F.lit(0.0))
     rows = papers.withColumn("score", score)
     out = rows.groupBy(key).agg(F.max("score").alias("score"), F.min_by(text.or_default("abstract"), F.when(text.or_default("abstract").isNotNull(), F.col("ord"))).alias("abstract"), F.min("ord").alias("ord"))
-    out = out.orderBy(F.desc("score"), "ord")
+    out = out.orderBy(F.desc("score"), "ord", key)
     return out if most is None else out.limit(max(0, most))
 
 
