@@ -194,14 +194,14 @@ def relevance_gate(rows: DataFrame, judge, id_col: str = "paper_id", chunk: int
 def metadata(sources: list[DataFrame], key: str = "paper_id") -> DataFrame:
     """Title and year of each paper: the first title that is no placeholder, else the last one before it, and the first year.
 
-    ``sources`` stand in order of precedence and have key, title and year.
+    ``sources`` stand in order of precedence and have key, title and year. A title that is the paper's own id is a placeholder, however long the id.
     """
     rows = None
     for n, s in enumerate(sources):
         part = s.select(key, F.lit(n).alias("rank"), "title", "year")
         rows = part if rows is None else rows.unionByName(part)
     rows = rows.withColumn("title", F.nullif(text.strip("title"), F.lit("")))
-    real = F.when(F.col("title").isNotNull() & ~text.is_placeholder_title("title"), F.col("rank"))
+    real = F.when(F.col("title").isNotNull() & ~text.is_placeholder_title("title") & ~F.col("title").eqNullSafe(F.col(key).cast("string")), F.col("rank"))
     return rows.groupBy(key).agg(
         F.coalesce(F.min_by("title", real), F.max_by("title", F.when(F.col("title").isNotNull(), F.col("rank")))).alias("title"),
         F.min_by("year", F.when(F.col("year").isNotNull() & (F.col("year") != 0), F.col("rank"))).alias("year"),

@@ -14,3 +14,10 @@ def test_ties_of_rank_go_by_id(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert [r.paper_id for r in got] == [f"1801.{k:05d}" for k in range(30)]
+
+
+def test_an_id_of_six_digits_is_no_title(spark):
+    pool = spark.createDataFrame([("1801.100000", "1801.100000", 2018), ("1801.00001", "1801.00001", None), ("1801.7", "A title", 0)], "paper_id string, title string, year int")
+    weak = pool.select("paper_id", F.lit(" weak ").alias("title"), F.lit(2020).alias("year"))
+    got = {r.paper_id: (r.title, r.year) for r in discovery.metadata([pool, weak]).collect()}
+    assert got == {"1801.100000": ("weak", 2018), "1801.00001": ("weak", 2020), "1801.7": ("A title", 2020)}
