@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from litquarry.operators import discovery
+from litquarry.sources import adapter
 
 
 def test_ties_of_rank_go_by_id(spark):
@@ -21,3 +22,12 @@ def test_an_id_of_six_digits_is_no_title(spark):
     weak = pool.select("paper_id", F.lit(" weak ").alias("title"), F.lit(2020).alias("year"))
     got = {r.paper_id: (r.title, r.year) for r in discovery.metadata([pool, weak]).collect()}
     assert got == {"1801.100000": ("weak", 2018), "1801.00001": ("weak", 2020), "1801.7": ("A title", 2020)}
+
+
+def test_variants_of_many_parts_are_made_in_many_tasks(spark, tmp_path):
+    """All parts are in one small file; sorting all their variants in its one task took memory by the number of rows."""
+    n = 3 * adapter.PARTS
+    spark.range(n).selectExpr("id as p_partkey", "concat('name ', id % 500) as p_name", "'b' as p_brand", "cast(id % 9 as int) as p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(3).selectExpr("id as o_orderkey").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = adapter.graph_nodes(spark, str(tmp_path)).where("type <> 'Paper'").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == n * adapter.VARIANTS and max(r["count"] for r in rows) < n * adapter.VARIANTS / 2
