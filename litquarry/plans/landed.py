@@ -16,7 +16,7 @@ from ..sources import readers as R
 from ..sources import snapshots
 from ..sources import sinks as S
 from ..sources.adapter import table
-from ..sources.landing import folder, put
+from ..sources.landing import folder, put, put_each
 from .registry import query
 
 
@@ -25,9 +25,9 @@ def _suppliers(spark, d) -> DataFrame:
 
 
 def _texts(rows: DataFrame, value, path: str) -> str:
-    """Each row's text as a file of its own below a folder of its key."""
-    rows.select("k", value.alias("value")).write.partitionBy("k").text(path)
-    return f"{path}/*/*.txt"
+    """Each row's text as a file of its own that is named by its key."""
+    put_each(rows.select(F.concat(F.col("k").cast("string"), F.lit(".json")).alias("name"), value.alias("content")), path)
+    return path
 
 
 @query("source_json_records", "SELECT 'a' || s_suppkey AS arxiv_id, s_suppkey % 5 AS n FROM supplier")
