@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json as jsonx
 from ..operators import state
+from .landing import put_by_key
 
 
 def file_system(spark: SparkSession, path: str):
@@ -118,8 +119,9 @@ def preserve(contents: DataFrame, path: str) -> None:
 
 
 def per_id(rows: DataFrame, path: str, key: str = "paper_id") -> None:
-    """A folder for each id; rows with an error are not written."""
-    rows.where(F.col("error").isNull()).drop("error").write.mode("overwrite").partitionBy(key).parquet(path)
+    """A folder for each id, which one task writes; rows with an error are not written."""
+    good = rows.where(F.col("error").isNull()).drop("error")
+    replace(rows.sparkSession, path, lambda p: put_by_key(good, p, key))
 
 
 def sidecar(files: DataFrame, version: str) -> DataFrame:

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from litquarry.operators import discovery
-from litquarry.sources import adapter
+from litquarry.plans import landed
+from litquarry.sources import adapter, landing, sinks
 
 
 def test_ties_of_rank_go_by_id(spark):
@@ -31,3 +32,26 @@ def test_variants_of_many_parts_are_made_in_many_tasks(spark, tmp_path):
     spark.range(3).selectExpr("id as o_orderkey").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
     rows = adapter.graph_nodes(spark, str(tmp_path)).where("type <> 'Paper'").groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in rows) == n * adapter.VARIANTS and max(r["count"] for r in rows) < n * adapter.VARIANTS / 2
+
+
+def tasks_that_wrote(spark, run):
+    """How many tasks the largest stage of an action had."""
+    spark.sparkContext.setJobGroup("sizes", "sizes")
+    try:
+        run()
+        status = spark.sparkContext.statusTracker()
+        stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("sizes") for s in status.getJobInfo(j).stageIds]
+        return max(s.numTasks for s in stages if s)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_many_files_are_written_by_many_tasks(spark, tmp_path):
+    """A thousand suppliers lie in one small file; their files were written by its one task."""
+    n = 3 * landing.FILES
+    rows = spark.range(n).coalesce(1).select(F.col("id").alias("k"), F.format_string("a/%d é", "id").alias("paper_id"), F.when(F.col("id") % 4 == 2, "gone").alias("error"))
+    assert tasks_that_wrote(spark, lambda: sinks.per_id(rows, f"file://{tmp_path}/ids")) == 3
+    assert sorted(r.paper_id for r in spark.read.parquet(f"{tmp_path}/ids").collect()) == sorted(f"a/{k} é" for k in range(n) if k % 4 != 2)
+    path = []
+    assert tasks_that_wrote(spark, lambda: path.append(landed._texts(rows, F.col("paper_id"), f"file://{tmp_path}/texts"))) == 3
+    assert len(list((tmp_path / "texts").glob("*.json"))) == n and spark.read.text(path[0]).count() == n
