@@ -135,7 +135,11 @@ def section_bodies(chapters: DataFrame) -> DataFrame:
 
 
 def chapter_issues(chapters: DataFrame, families: DataFrame, methods: DataFrame, files: DataFrame) -> DataFrame:
-    """Rules over the texts of chapters; ``files`` (path) are the files below the book's folder."""
+    """Rules over the texts of chapters; ``files`` (path) are the files below the book's folder.
+
+    Every rule reads the texts, so they are written once: what they are made of is then neither computed nor planned again for each rule.
+    """
+    chapters = durable(chapters.select("kind", "id", "text"), "chapters")
     f = families.where(~F.coalesce("is_group", F.lit(False)) & ~_blank("id")).select("id")
     m = methods.where(~_blank("id")).select("id").distinct()
     own = {"families": chapters.where("kind = 'families'").join(f, "id", "left_semi"), "methods": chapters.where("kind = 'methods'").join(m, "id", "left_semi")}
@@ -152,8 +156,9 @@ def chapter_issues(chapters: DataFrame, families: DataFrame, methods: DataFrame,
     ]
     for kind, rows in expected:
         out.append(issues(rows.join(links, "link", "left_anti"), f"method_taxonomy_missing_{'family' if kind == 'families' else 'method'}_link", F.col("id")))
+    headed = durable(chapters.where(F.col("kind").isin("families", "methods")).select("kind", "id", text.second_headings("text").alias("heads")), "headings")
     for kind, heads in (("families", FAMILY_HEADINGS), ("methods", METHOD_HEADINGS)):
-        diff = own[kind].select("id", text.heading_diff("text", heads).alias("d"))
+        diff = headed.where(F.col("kind") == kind).join(f if kind == "families" else m, "id", "left_semi").select("id", text.listed_diff(F.col("heads"), heads).alias("d"))
         wrong = diff.where((F.size("d.missing") > 0) | (F.size("d.extra") > 0) | F.col("d.out_of_order"))
         out.append(issues(wrong, "wrong_chapter_headings", F.concat_ws("/", F.lit(kind), "id")))
     size = measures(own["families"].unionByName(own["methods"]))

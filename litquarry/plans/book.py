@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from ..operators import book as B
 from ..operators import outline, quality
 from ..sources.adapter import table
+from ..sources.landing import spread
 from .registry import query
 
 _NL = "chr(10)"
+#: Rows of a base table that a task makes relations of; a chapter has up to ten kilobytes.
+CHAPTERS = 2000
 
 
 def _chapter(heads: list[str], words: int, bodies: dict[str, str] | None = None, front: str = "''", tail: str = "''") -> str:
@@ -56,7 +59,7 @@ def rel(spark, d: str, name: str) -> DataFrame:
     for t in _BASE:
         if f"FROM {t}" in text:
             text = text.replace(f"FROM {t}", f"FROM {{{t}}}")
-            used[t] = table(spark, d, t)
+            used[t] = spread(table(spark, d, t), CHAPTERS)
     return spark.sql(text, **used)
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from litquarry.operators import discovery
+from litquarry.plans import catalogue as CORE
 from litquarry.plans import landed
 from litquarry.sources import adapter, landing, sinks
 
@@ -55,3 +56,10 @@ def test_many_files_are_written_by_many_tasks(spark, tmp_path):
     path = []
     assert tasks_that_wrote(spark, lambda: path.append(landed._texts(rows, F.col("paper_id"), f"file://{tmp_path}/texts"))) == 3
     assert len(list((tmp_path / "texts").glob("*.json"))) == n and spark.read.text(path[0]).count() == n
+
+
+def test_rules_read_written_chapters(spark, small):
+    """The texts are made once and not again for each rule, whose plan had them a dozen times."""
+    rows = CORE.QUERIES["book_chapter_issues"](spark, small)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "word word" not in plan and "repeat(" not in plan
