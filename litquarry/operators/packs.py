@@ -59,9 +59,13 @@ def section_sources(items: DataFrame) -> DataFrame:
 
 
 def node_text(sources: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Sources with the text of their node: its lines, else its summary, else nothing. ``nodes`` has (paper, id, section_text, summary)."""
-    n = nodes.select("paper", F.col("id").alias("node"), text.or_default("section_text", "summary").alias("_text"))
-    return sources.join(n, ["paper", "node"], "left").withColumn("section_text", F.coalesce("_text", F.lit(""))).drop("_text")
+    """Sources with the text of their node: its lines, else its summary, else nothing. ``nodes`` has (paper, id, section_text, summary).
+
+    A paper's nodes come to its sources as one list, so that tables that are dealt out by paper are joined where they are.
+    """
+    listed = nodes.groupBy("paper").agg(F.collect_list(F.struct("id", text.or_default("section_text", "summary").alias("t"))).alias("_nodes"))
+    own = F.transform(F.filter("_nodes", lambda n: n["id"] == F.col("node")), lambda n: n["t"])
+    return sources.join(listed, "paper", "left").withColumn("section_text", F.explode_outer(own)).withColumn("section_text", F.coalesce("section_text", F.lit(""))).drop("_nodes")
 
 
 def method_packs(sources: DataFrame, claims: DataFrame) -> DataFrame:

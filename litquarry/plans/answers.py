@@ -78,7 +78,7 @@ _SOURCES = f"""SELECT paper, section_ord, section, node, rank FROM (SELECT *, ro
 
 
 def _sources(spark, d) -> tuple[DataFrame, DataFrame]:
-    c = A.claims(spark, d)
+    c = A.by_paper(A.claims(spark, d))
     return packs.section_sources(c.withColumn("kind", F.concat(F.lit("claims/"), F.col("claim_type")))), c
 
 

@@ -63,3 +63,12 @@ def test_rules_read_written_chapters(spark, small):
     rows = CORE.QUERIES["book_chapter_issues"](spark, small)
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "word word" not in plan and "repeat(" not in plan
+
+
+def test_packs_of_papers_are_shuffled_once(spark, small, monkeypatch):
+    """Claims of each paper, some ten times as many once sections are planned, were shuffled for each grouping and join."""
+    monkeypatch.setattr(adapter, "CLAIMS", 1000)
+    for name in ("pack_method_json", "pack_section_sources"):
+        plan = CORE.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        kinds = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert kinds and all("hashpartitioning(paper#" in line and "REPARTITION_BY_NUM" in line for line in kinds), kinds
