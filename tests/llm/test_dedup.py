@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -254,3 +255,19 @@ def test_components_of_a_path_and_a_star(spark):
 @pytest.mark.parametrize("run", [substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, exact_dedup.exact_dedup, exact_dedup.keep_first, simhash.simhash_dedup, simhash.keep_one, simhash_similar.keep_one])
 def test_empty_table(nothing, run):
     assert run(nothing).collect() == []
+
+
+def test_lone_segments_stay_out_of_the_array(monkeypatch):
+    """A segment that alone has its key holds no string of another one; all of a shard's segments were sorted."""
+    sizes, array = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda t, sigma: sizes.append(len(t)) or array(t, sigma))
+    shared = bytes(range(65, 115))
+    segments = [[b"x" + shared, bytes(range(130, 190))], [shared + b"y", bytes(range(130, 190))]]
+    u16, u64 = (lambda x, t=t: np.array(x, t).tobytes() for t in (np.uint16, np.uint64))
+    rows = [
+        {"shard": 0, "grp": g, "bytes": zstandard.compress(b"".join(s)), "sizes": u16([len(x) for x in s]), "keys": u64([7, 9]), "contents": u64([10 + g, 20]), "docs": np.array([5 - g], np.int64).tobytes(), "times": np.array([2], np.uint32).tobytes()}
+        for g, s in enumerate(segments)
+    ]
+    found = suffix_dedup._shard(50)((pa.scalar(0),), pa.Table.from_pylist(rows, schema=suffix_dedup._SEGMENTS)).to_pylist()
+    assert sizes == [2 * 52]
+    assert [(f["grp"], np.frombuffer(f["contents"], np.uint64).tolist(), np.frombuffer(f["sizes"], np.uint16).tolist(), np.frombuffer(f["docs"], np.int64).tolist()) for f in found] == [(0, [10, 20], [1, 1, 11], [5, 4, 4])]
