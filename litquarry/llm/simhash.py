@@ -11,7 +11,9 @@ twice; only those variants are then sent whole, with their fingerprints, and are
 bits of unequal variants may agree, which costs an answer and changes nothing: all equal variants agree.
 
 All fingerprints that emit one variant lie within r bits of each other, so a star around the least of them has the
-components that all their pairs have. A bucket sends a spanning forest of its stars.
+components that all their pairs have. Buckets are linked so many together that a group of them has about ``MEETINGS`` meetings,
+whatever the number of buckets, and a group sends a spanning forest of its stars: a fingerprint that meets others under many
+variants is one row of it, and not one for each bucket.
 
 Defined results: a null or blank text has the fingerprint zero, linked like any other; rows repeat as in the input; a null
 id counts as larger than all others, and a component of null ids has a null id; an empty table gives an empty result;
@@ -36,6 +38,8 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 #: Variants of a group, variants in a bucket, bits of the mean gap between a group's values in a bucket at least, and
 #: bits that values have beyond those that number all variants.
 GROUP, BUCKET, GAP_BITS, SPARE_BITS = 8 << 20, 4 << 20, 12, 6
+#: Variants that meet in buckets that are linked together.
+MEETINGS = 1 << 20
 _LANES = K.U(0x0101010101010101)
 
 
@@ -229,7 +233,10 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS, width: int = 64, va
     said = groups.applyInArrow(_say(x), "bucket int, grp int, first binary, width int, gaps binary")
     answers = said.groupBy("bucket").applyInArrow(_answer, "grp int, places binary")
     meetings = groups.cogroup(answers.groupBy("grp")).applyInArrow(_meet(x), "bucket int, variants binary, fps binary")
-    return meetings.groupBy("bucket").applyInArrow(_link(radius), "a long, b long").distinct()
+    meetings = cut(meetings, "meetings")
+    met = meetings.agg(F.coalesce(F.sum(F.octet_length("fps")), F.lit(0))).first()[0] // 8
+    together = F.pmod(F.xxhash64("bucket"), F.lit(groups_for(met, MEETINGS))).alias("together")
+    return meetings.select(together, "variants", "fps").groupBy("together").applyInArrow(_link(radius), "a long, b long").distinct()
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:

@@ -271,3 +271,20 @@ def test_lone_segments_stay_out_of_the_array(monkeypatch):
     found = suffix_dedup._shard(50)((pa.scalar(0),), pa.Table.from_pylist(rows, schema=suffix_dedup._SEGMENTS)).to_pylist()
     assert sizes == [2 * 52]
     assert [(f["grp"], np.frombuffer(f["contents"], np.uint64).tolist(), np.frombuffer(f["sizes"], np.uint16).tolist(), np.frombuffer(f["docs"], np.int64).tolist()) for f in found] == [(0, [10, 20], [1, 1, 11], [5, 4, 4])]
+
+
+def test_a_cluster_makes_a_row_a_fingerprint(spark, monkeypatch):
+    """Fingerprints near one another meet under many variants, in many buckets; each bucket's forest named them again."""
+    values = [0, *(1 << k for k in range(30)), 1 << 40 | 7]
+    run = simhash._link
+
+    def counted(radius):
+        link = run(radius)
+        return lambda key, said: pa.table({"a": [0], "b": [len(link(key, said))]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    distinct = spark.createDataFrame([(v,) for v in values], "fp long").repartition(3)
+    linked = {(r.node, r.root) for r in components(simhash.links(distinct, len(values))).collect()}
+    assert linked == {(v, 0) for v in values}
+    monkeypatch.setattr(simhash, "_link", counted)
+    rows = [r.b for r in simhash.links(distinct, len(values)).collect()]
+    assert sum(rows) == len(linked) - 1
