@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scoring, text
-from ..sources.landing import durable
+from ..sources.landing import durable, numbered
 
 CORE = 4
 #: Types of edges that say that a paper works with what they point to.
@@ -35,10 +35,15 @@ def mention_rows(evidence: DataFrame, fields: list[tuple[str, str]]) -> DataFram
     return evidence.select(F.col("arxiv_id").alias("paper"), "title", score.alias("importance"), F.inline(items))
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """Items with their concept's key; those without one are left out."""
+    return rows.where(F.col("raw").isNotNull()).withColumn("norm", text.concept_key("raw")).where("norm <> ''")
+
+
 def mentions(rows: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     """(paper, importance, field, ord, raw, norm, slot, extra); extra is 1 for a row that the title adds."""
     slot = F.element_at(F.array(*[F.lit(s) for _, s in fields]), F.col("field") + 1)
-    base = rows.where(F.col("raw").isNotNull()).withColumn("norm", text.concept_key("raw")).where("norm <> ''")
+    base = keyed(rows)
     in_title = text.all_tokens_in(text.tokens("norm"), text.tokens(text.concept_key(F.coalesce("title", F.lit("")))))
     both = F.array_compact(F.array(F.struct(slot.alias("slot"), F.lit(0).alias("extra")), F.when(in_title, F.struct(F.lit("title").alias("slot"), F.lit(1).alias("extra")))))
     return base.select("paper", "importance", "field", "ord", "raw", "norm", F.inline(both))
@@ -103,17 +108,22 @@ def neighbors(edges: DataFrame, limit: int = NEIGHBORS, side: int = SIDE) -> Dat
     """(norm, neighbor, shared, rank): concepts that share most papers; ties by name.
 
     Pairs are formed in lists within a row (``_cells``), each unordered pair once, and counted before they are told to both concepts.
+    There are many more pairs than concepts, so concepts are numbered in the order of their names, and names come back to what is left.
     """
-    own = durable(edges.select("src", "norm").where("src is not null and norm is not null").distinct(), "concepts")
+    named = durable(edges.select("src", "norm").where("src is not null and norm is not null").distinct(), "concepts")
+    names = durable(numbered(named.select("norm").distinct(), ["norm"], "id"), "numbers")
+    own = durable(named.join(names, "norm").select("src", F.col("id").alias("norm")), "numbered-concepts")
     cells = _cells(own, side)
     one_list = F.col("_lo").isNull() | (F.col("_lo") == F.col("_hi"))
     rows = cells.select(F.explode("a").alias("x"), "b", one_list.alias("_one")).select("x", F.explode("b").alias("y"), "_one")
     pairs = rows.where((F.col("x") < F.col("y")) | ~F.col("_one"))
     counts = pairs.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("shared"))
     both = F.inline(F.array(F.struct(F.col("x").alias("norm"), F.col("y").alias("neighbor")), F.struct(F.col("y").alias("norm"), F.col("x").alias("neighbor"))))
-    # names begin alike, so the sort goes by their hash first
-    rank = F.row_number().over(Window.partitionBy(F.xxhash64("norm"), "norm").orderBy(F.desc("shared"), "neighbor"))
-    return counts.select("shared", both).withColumn("rank", rank).where(F.col("rank") <= limit).select("norm", "neighbor", "shared", "rank")
+    rank = F.row_number().over(Window.partitionBy("norm").orderBy(F.desc("shared"), "neighbor"))
+    best = counts.select("shared", both).withColumn("rank", rank).where(F.col("rank") <= limit)
+    for c in ("norm", "neighbor"):
+        best = best.join(names.select(F.col("id").alias(c), F.col("norm").alias(f"_{c}")), c).drop(c).withColumnRenamed(f"_{c}", c)
+    return best.select("norm", "neighbor", "shared", "rank")
 
 
 def known_keys(known: DataFrame) -> DataFrame:
