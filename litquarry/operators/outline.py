@@ -27,11 +27,13 @@ def family_scores(neighbors: DataFrame, members: DataFrame, linked: DataFrame) -
     """(method, family, score) for each method and family that share a neighbour, by the rule of ``evidence_score``.
 
     ``neighbors`` has (method, neighbor), ``members`` (family, method), ``linked`` (method, family): which families a method is linked with.
+    A neighbour's families come to its methods as one list, and links are counted with what is shared and not joined to it.
     """
-    shared = neighbors.distinct().join(members.select("family", F.col("method").alias("neighbor")).distinct(), "neighbor")
-    counts = shared.groupBy("method", "family").agg(F.count(F.lit(1)).alias("_n"))
-    rows = counts.join(linked.select("method", "family", F.lit(True).alias("_linked")).distinct(), ["method", "family"], "left")
-    return rows.select("method", "family", F.when((F.col("_n") >= 2) | F.col("_linked").isNotNull(), F.col("_n")).otherwise(0).alias("score"))
+    listed = members.groupBy(F.col("method").alias("neighbor")).agg(F.collect_set(F.struct("family")).alias("_families"))
+    shared = neighbors.distinct().join(listed, "neighbor").select("method", F.inline("_families")).withColumns({"_n": F.lit(1), "_linked": F.lit(False)})
+    links = linked.select("method", "family", F.lit(0).alias("_n"), F.lit(True).alias("_linked")).where("method is not null and family is not null")
+    counts = shared.unionByName(links).groupBy("method", "family").agg(F.sum("_n").alias("_n"), F.bool_or("_linked").alias("_linked")).where("_n > 0")
+    return counts.select("method", "family", F.when((F.col("_n") >= 2) | F.col("_linked"), F.col("_n")).otherwise(0).alias("score"))
 
 
 class _Book:
