@@ -83,11 +83,11 @@ def exchanges(rows):
 def test_fragments_are_joined_within_papers(spark, small, monkeypatch):
     """Edges were shuffled for each of their ends and for their place, and so were nodes and claims."""
     monkeypatch.setattr(adapter, "CLAIMS", 1000)
-    for name, more in (("edge_reject_reasons", 0), ("verified_edge_grounding", 1), ("dangling_node_prune", 0), ("compile_claim_edges", 0), ("pack_nodes_topk", 0)):
+    for name in ("edge_reject_reasons", "verified_edge_grounding", "dangling_node_prune", "compile_claim_edges", "pack_nodes_topk"):
         kinds = exchanges(CORE.QUERIES[name](spark, small))
         kinds = [k for k in kinds if k.startswith("hashpartitioning")]
         rest = [k for k in kinds if not (k.startswith("hashpartitioning(paper#") and "REPARTITION_BY_NUM" in k)]
-        assert len(kinds) > len(rest) and len(rest) == more, (name, rest)
+        assert kinds and not rest, (name, rest)
 
 
 def test_a_report_counts_keys_alone(spark, small):
