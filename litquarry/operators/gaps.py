@@ -6,6 +6,8 @@ Relations: ``mentions`` has a row for each item of a field (and one more where t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +46,9 @@ def mentions(rows: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
     """(paper, importance, field, ord, raw, norm, slot, extra); extra is 1 for a row that the title adds."""
     slot = F.element_at(F.array(*[F.lit(s) for _, s in fields]), F.col("field") + 1)
     base = keyed(rows)
-    in_title = text.all_tokens_in(text.tokens("norm"), text.tokens(text.concept_key(F.coalesce("title", F.lit("")))))
-    both = F.array_compact(F.array(F.struct(slot.alias("slot"), F.lit(0).alias("extra")), F.when(in_title, F.struct(F.lit("title").alias("slot"), F.lit(1).alias("extra")))))
+    in_title = text.all_words_in(F.col("norm"), text.concept_key(F.coalesce("title", F.lit(""))))
+    own, added = F.struct(slot.alias("slot"), F.lit(0).alias("extra")), F.struct(F.lit("title").alias("slot"), F.lit(1).alias("extra"))
+    both = F.when(in_title, F.array(own, added)).otherwise(F.array(own))
     return base.select("paper", "importance", "field", "ord", "raw", "norm", F.inline(both))
 
 
@@ -62,16 +65,39 @@ def evidence_signals(m: DataFrame) -> DataFrame:
     )
 
 
+def slot_signals(m: DataFrame) -> DataFrame:
+    """(norm, in_slots, method_of_core) of ``evidence_signals``; a task sends a concept's slots once each."""
+    each = m.groupBy("norm", "slot").agg(F.bool_or(F.when(F.col("field") <= 1, F.col("importance") >= CORE)).alias("moc"))
+    return each.groupBy("norm").agg(F.array_sort(F.collect_list("slot")).alias("in_slots"), F.bool_or("moc").alias("method_of_core"))
+
+
+def paper_counts(m: DataFrame, edges: DataFrame) -> DataFrame:
+    """(norm, paper_count, core_paper_count): papers over mentions and edges, and core papers that mention a concept.
+
+    A concept's papers are told apart once for both counts.
+    """
+    both = m.select("norm", "paper", (F.col("importance") >= CORE).alias("core")).unionByName(edges.select("norm", F.col("src").alias("paper"), F.lit(False).alias("core")))
+    papers = both.where("paper is not null").groupBy("norm", "paper").agg(F.bool_or("core").alias("core"))
+    return papers.groupBy("norm").agg(F.count(F.lit(1)).alias("paper_count"), F.count_if("core").alias("core_paper_count"))
+
+
 def concept_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges from a paper to something else than a paper, with the concept's key."""
+    """Edges from a paper to something else than a paper, with the concept's key.
+
+    Few papers are pointed to, so these are found first, and edges are not sorted by where they point to.
+    """
     own = nodes.where("type = 'Paper'").select(F.col("id").alias("paper_id")).distinct()
-    out = edges.join(own, edges["src"] == own["paper_id"], "left_semi").join(own, edges["dst"] == own["paper_id"], "left_anti")
+    targets = edges.select("dst").distinct()
+    cited = durable(own.join(targets, own["paper_id"] == targets["dst"], "left_semi"), "cited")
+    out = edges.join(cited, edges["dst"] == cited["paper_id"], "left_anti").join(own, edges["src"] == own["paper_id"], "left_semi")
     return out.withColumn("norm", text.concept_key("dst"))
 
 
-def graph_concepts(nodes: DataFrame) -> DataFrame:
-    """(norm, display) for nodes that are no papers; the last written form wins."""
+def graph_concepts(nodes: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
+    """(norm, display) for nodes that are no papers; the last written form wins. Of ``chosen``, a table of few concepts ``norm``, only these."""
     others = nodes.where(~F.col("type").eqNullSafe("Paper")).withColumn("norm", text.concept_key("id")).where("norm <> ''")
+    if chosen is not None:
+        others = others.join(F.broadcast(chosen.select("norm").distinct()), "norm", "left_semi")
     return others.groupBy("norm").agg(F.max_by(text.or_default("display", "id"), F.struct("ord", "id", "display")).alias("display"))
 
 
@@ -140,24 +166,29 @@ def is_known(concepts: DataFrame, known: DataFrame, columns: list[str]) -> DataF
 def candidates(m: DataFrame, nodes: DataFrame, ce: DataFrame, known: DataFrame, importance: DataFrame, least: float = LEAST) -> DataFrame:
     """All concepts with their signals, importance, and the reason for which one is dropped (null if it is not).
 
-    ``ce`` are the ``concept_edges``. They and the mentions are read by several aggregates, so they are best given as written tables.
+    ``ce`` are the ``concept_edges``. They and the mentions are read by several aggregates, so they are best given as written tables. Each
+    signal is made once; what there is of a concept meets in one grouping, since each has a row for it at the most.
     """
-    ev, ge, gc, counts = evidence_signals(m), graph_signals(ce, importance), graph_concepts(nodes), union_counts(m, ce)
-    universe = ev.select("norm").unionByName(ge.select("norm")).unionByName(gc.select("norm")).distinct()
-    rows = (
-        universe.join(ev.select("norm", "core_paper_count", "in_slots", F.col("method_of_core").alias("moc_evidence"), F.col("display").alias("ev_display")), "norm", "left")
-        .join(ge.select("norm", F.col("method_of_core").alias("moc_graph")), "norm", "left")
-        .join(gc.select("norm", F.col("display").alias("graph_display")), "norm", "left")
-        .join(counts, "norm", "left")
-        .select(
-            "norm",
-            F.coalesce("ev_display", "graph_display", "norm").alias("concept"),
-            F.coalesce("paper_count", F.lit(0)).alias("paper_count"),
-            F.coalesce("core_paper_count", F.lit(0)).alias("core_paper_count"),
-            F.coalesce("in_slots", F.array().cast("array<string>")).alias("in_slots"),
-            F.coalesce("moc_graph", F.lit(False)).alias("moc_graph"),
-            (F.coalesce("moc_evidence", F.lit(False)) | F.coalesce("moc_graph", F.lit(False))).alias("is_method_of_core"),
-        )
+    core = importance.where(F.col("importance") >= CORE).select(F.col("paper").alias("core_paper")).distinct()
+    methods = ce.where(F.col("type").isin(METHOD_EDGES))
+    signals = [
+        paper_counts(m, ce),
+        slot_signals(m).withColumnRenamed("method_of_core", "moc_evidence"),
+        m.groupBy("norm").agg(F.min(F.struct("paper", "field", "ord", "raw"))["raw"].alias("ev_display")),
+        ce.select("norm").distinct(),
+        methods.join(core, methods["src"] == core["core_paper"], "left_semi").select("norm", F.lit(True).alias("moc_graph")).distinct(),
+        graph_concepts(nodes).withColumnRenamed("display", "graph_display"),
+    ]
+    known_of = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), signals).where("norm is not null")
+    one = lambda c: F.any_value(c, F.lit(True)).alias(c)
+    rows = known_of.groupBy("norm").agg(*(one(c) for c in known_of.columns if c != "norm")).select(
+        "norm",
+        F.coalesce("ev_display", "graph_display", "norm").alias("concept"),
+        F.coalesce("paper_count", F.lit(0)).alias("paper_count"),
+        F.coalesce("core_paper_count", F.lit(0)).alias("core_paper_count"),
+        F.coalesce("in_slots", F.array().cast("array<string>")).alias("in_slots"),
+        F.coalesce("moc_graph", F.lit(False)).alias("moc_graph"),
+        (F.coalesce("moc_evidence", F.lit(False)) | F.coalesce("moc_graph", F.lit(False))).alias("is_method_of_core"),
     )
     rows = rows.withColumn("importance", scoring.importance(F.col("paper_count"), F.col("core_paper_count"), F.col("in_slots"), F.col("is_method_of_core")))
     keys = known_keys(known)
@@ -187,14 +218,30 @@ def selected(c: DataFrame, top: int = TOP, cap: int = CAP) -> DataFrame:
     return chosen.withColumn("rank", rank).where(F.col("rank") <= cap).drop("_place")
 
 
-def first_references(m: DataFrame, snippets: DataFrame, refs: int = 1) -> DataFrame:
+def neighbors_of(edges: DataFrame, chosen: DataFrame, limit: int = NEIGHBORS) -> DataFrame:
+    """The rows of ``neighbors`` for the few concepts ``norm`` of ``chosen``; only papers that point to one of these are looked at."""
+    own = edges.select("src", "norm").where("src is not null and norm is not null")
+    mine = durable(own.join(F.broadcast(chosen.select("norm")), "norm", "left_semi").distinct(), "papers-of-chosen")
+    others = own.join(mine.select("src").distinct(), "src", "left_semi").distinct()
+    near = others.withColumnRenamed("norm", "neighbor").join(mine, "src").where("norm <> neighbor")
+    rank = F.row_number().over(Window.partitionBy("norm").orderBy(F.desc("shared"), "neighbor"))
+    return near.groupBy("norm", "neighbor").agg(F.count(F.lit(1)).alias("shared")).withColumn("rank", rank).where(F.col("rank") <= limit)
+
+
+def first_references(m: DataFrame, snippets: DataFrame, refs: int = 1, chosen: DataFrame | None = None) -> DataFrame:
     """(norm, paper, slot, snippet, nth): the first papers that mention a concept, in the order of papers.
 
-    ``snippets`` has (paper, solution, problem) as arrays; without either the concept itself is the snippet.
+    ``snippets`` has (paper, solution, problem) as arrays; without either the concept itself is the snippet. Of ``chosen``, a table of few
+    concepts ``norm``, only these have references, and only their papers' snippets are made.
     """
+    if chosen is not None:
+        m = m.join(F.broadcast(chosen.select("norm")), "norm", "left_semi")
     per_paper = m.groupBy("norm", "paper").agg(F.min(F.struct("field", "ord", "extra", "slot"))["slot"].alias("slot"))
     nth = F.row_number().over(Window.partitionBy("norm").orderBy("paper"))
     first = per_paper.withColumn("nth", nth).where(F.col("nth") <= refs)
+    if chosen is not None:
+        first = durable(first, "first-papers")
+        snippets = snippets.join(F.broadcast(first.select("paper").distinct()), "paper", "left_semi")
     joined = lambda c: F.nullif(F.array_join(F.col(c), " "), F.lit(""))
     pool = snippets.select("paper", F.coalesce(joined("solution"), joined("problem")).alias("pool"))
     return first.join(pool, "paper", "left").select("norm", "paper", "slot", F.substring(F.coalesce("pool", "norm"), 1, SNIPPET_CHARS).alias("snippet"), "nth")

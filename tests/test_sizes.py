@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from litquarry.functions import text
-from litquarry.operators import discovery
+from litquarry.operators import discovery, gaps
 from litquarry.plans import catalogue as CORE
 from litquarry.plans import landed
 from litquarry.sources import adapter, landing, sinks
@@ -111,3 +111,30 @@ def test_families_need_no_titles(spark, small):
 def test_keys_of_nodes(spark):
     rows = spark.createDataFrame([(" A  b",), ("a-b c!d",), ("!?x (y) ",), ("a \t b",), (None,), ("é",)], "t string")
     assert [r.k for r in rows.select(text.node_key("t").alias("k")).collect()] == ["a b", "a-b c d", "x y", "a b", "", ""]
+
+
+def test_signals_of_candidates_are_made_once(spark, small):
+    """Each signal was made for the list of all concepts and once more for itself, and counts of papers multiplied the mentions."""
+    plan = CORE.QUERIES["ranked_gaps"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and plan.count("Generate explode") == 3  # variants of parts, and twice the forms of what is known
+
+
+def test_keys_of_concepts_are_those_of_all_rules(spark):
+    odd = ["a-b  C", "-a-", "a--b", "a -b", "A b.", "a.b", "a .", "", "-", "- .", "a b ", "\u00a0a\u2003b", "É-x", "a\n", "a\tb", "x?!", "a-b c#1", None]
+    want = ["a b c", " a ", "a b", "a b", "a b", "a.b", "a ", "", " ", " ", "a b", "a b", "é x", "a", "a b", "x", "a b c#1", None]
+    rows = spark.createDataFrame([(x,) for x in odd], "t string")
+    assert [r.k for r in rows.select(text.concept_key("t").alias("k")).collect()] == want
+    blank = spark.createDataFrame([(" \u2003\n", "x"), (None, "y"), (" z", "x")], "a string, b string")
+    assert [r.v for r in blank.select(text.or_default("a", "b").alias("v")).collect()] == ["x", "y", " z"]
+
+
+def test_neighbors_of_few_are_those_of_all(spark, small):
+    """The digest shows three neighbours of 180 concepts and counted the pairs of all."""
+    edges = CORE._concept_edges(spark, small).select("src", "norm")
+    every = gaps.neighbors(edges)
+    chosen = every.select("norm").distinct().orderBy("norm").limit(40)
+    rows = lambda df: sorted(map(tuple, df.select("norm", "neighbor", "shared", "rank").collect()))
+    few = rows(gaps.neighbors_of(edges, chosen))
+    assert few and few == rows(every.join(chosen, "norm", "left_semi"))
+    plan = CORE.QUERIES["gap_digest"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "numbered-concepts" not in plan and "Expand" not in plan and " numbers-" not in plan
