@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def _minimum(edges: DataFrame) -> DataFrame:
-    """(u, v) with the least of u and its neighbours as m, for each directed edge u -> v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(cut(least, "least"), "u")
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m): the least of u and its neighbours, for each node that a directed edge u -> v leaves."""
+    return cut(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -29,10 +28,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         if tops.isEmpty() and now.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = cut(large.where("u <> v").distinct(), "large")
-        linked = _minimum(large)
-        small = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(linked.select("u", F.col("m").alias("v")))
+        least = _least(large)
+        # a node's own edge to its least neighbour is a row of ``least`` and needs no join; only what has another neighbour is joined
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         now = cut(small.where("u <> v").distinct(), "edges")
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

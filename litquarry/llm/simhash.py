@@ -5,8 +5,8 @@ Every distinct fingerprint therefore emits all variants within r / 2 bits (2,081
 and those that two fingerprints emit link them. No pair of fingerprints is formed otherwise, so the work is linear.
 
 Emitted as rows, the variants would be several times the input. So the shuffle carries, for each group of fingerprints
-and bucket, the sorted leading bits of the scrambled variants as gaps of two bytes, or more where the corpus is large: so
-many bits are kept that one value in sixty-four at most agrees by chance. A bucket answers which values came
+and bucket, the sorted leading bits of the scrambled variants as gaps of two bytes, or more where the corpus is large, with the
+few that do not fit beside them: so many bits are kept that one value in sixty-four at most agrees by chance. A bucket answers which values came
 twice; only those variants are then sent whole, with their fingerprints, and are linked where they are equal. The leading
 bits of unequal variants may agree, which costs an answer and changes nothing: all equal variants agree.
 
@@ -123,8 +123,26 @@ def _unsigned(column) -> np.ndarray:
     return column.combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
+def _short(gaps: np.ndarray) -> tuple[int, bytes, bytes]:
+    """Gaps in so many bytes each as take the least room in all, and those that do not fit, which the greatest number stands for."""
+    bits = [int(np.count_nonzero(gaps >= K.U((1 << 8 * w) - 1))) for w in range(1, 8)]
+    width = 1 + int(np.argmin([w * len(gaps) + 8 * n for w, n in enumerate(bits, 1)]))
+    most = K.U((1 << 8 * width) - 1)
+    low = np.minimum(gaps, most).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return width, low.tobytes(), gaps[gaps >= most].astype("<u8").tobytes()
+
+
+def _long(width: int, low: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """The gaps that ``_short`` wrote."""
+    gaps = np.zeros((len(low) // width, 8), np.uint8)
+    gaps[:, :width] = low.reshape(-1, width)
+    gaps = gaps.view("<u8").ravel()
+    gaps[gaps == K.U((1 << 8 * width) - 1)] = wide
+    return gaps
+
+
 def _say(x: _Layout):
-    schema = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("first", pa.binary()), ("width", pa.int32()), ("gaps", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("first", pa.binary()), ("width", pa.int32()), ("gaps", pa.binary()), ("wide", pa.binary())])
 
     def say(key, group):
         places = np.sort(x.places(_unsigned(group.column("fp"))))
@@ -133,10 +151,8 @@ def _say(x: _Layout):
         rows = []
         for b, lo, hi in zip(bucket[starts].tolist(), starts.tolist(), np.append(starts[1:], len(places)).tolist(), strict=True):
             mine = places[lo:hi]
-            gaps = np.diff(mine)
-            width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
-            low = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-            rows.append({"bucket": b, "grp": key[0].as_py(), "first": mine[:1].tobytes(), "width": width, "gaps": low.tobytes()})
+            width, low, wide = _short(np.diff(mine))
+            rows.append({"bucket": b, "grp": key[0].as_py(), "first": mine[:1].tobytes(), "width": width, "gaps": low, "wide": wide})
         return pa.Table.from_pylist(rows, schema=schema)
 
     return say
@@ -144,10 +160,9 @@ def _say(x: _Layout):
 
 def _answer(key, said):
     values = []
-    for nth, (first, width, low) in enumerate(zip(from_bytes(said.column("first"), np.uint64), said.column("width").to_pylist(), from_bytes(said.column("gaps"), np.uint8), strict=True)):
-        gaps = np.zeros((len(low) // width, 8), np.uint8)
-        gaps[:, :width] = low.reshape(-1, width)
-        places = np.cumsum(np.concatenate((first, gaps.view("<u8").ravel())))
+    columns = (from_bytes(said.column("first"), np.uint64), said.column("width").to_pylist(), from_bytes(said.column("gaps"), np.uint8), from_bytes(said.column("wide"), np.uint64))
+    for nth, (first, width, low, wide) in enumerate(zip(*columns, strict=True)):
+        places = np.cumsum(np.concatenate((first, _long(width, low, wide))))
         values.append((places, np.full(len(places), nth, np.int32)))
     places, sender = (np.concatenate(v) for v in zip(*values, strict=True))
     order = np.argsort(places, kind="stable")
@@ -230,7 +245,7 @@ def links(distinct: DataFrame, n: int, radius: int = RADIUS, width: int = 64, va
     least = shuffle_partitions(distinct.sparkSession)
     x = _Layout(n, radius, least, width, variants)
     groups = distinct.select("fp", F.pmod(F.xxhash64("fp"), F.lit(x.groups)).cast("int").alias("grp")).repartition(max(least, groups_for(x.groups, 16)), "grp").groupBy("grp")
-    said = groups.applyInArrow(_say(x), "bucket int, grp int, first binary, width int, gaps binary")
+    said = groups.applyInArrow(_say(x), "bucket int, grp int, first binary, width int, gaps binary, wide binary")
     answers = said.groupBy("bucket").applyInArrow(_answer, "grp int, places binary")
     meetings = groups.cogroup(answers.groupBy("grp")).applyInArrow(_meet(x), "bucket int, variants binary, fps binary")
     meetings = cut(meetings, "meetings")

@@ -173,9 +173,14 @@ def _worth(shared: DataFrame, sketches: DataFrame, similarity: float) -> DataFra
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """One document of each component of near copies, with all its columns: the one with the smallest id, null ids last."""
-    node = fresh(docs.columns, "_node")
-    rows = cut(docs.withColumn(node, F.monotonically_increasing_id()), "numbered")
+    """One document of each component of near copies, with all its columns: the one with the smallest id, null ids last.
+
+    Where each row has an id of its own, that is its number, and the documents, best given as a written table, are read where they lie.
+    Else rows are numbered, which takes a copy of them.
+    """
+    node, ident = fresh(docs.columns, "_node"), F.col(id_col).cast("long")
+    n, ids = docs.agg(F.count(F.lit(1)), F.count_distinct(ident)).first()
+    rows = docs.withColumn(node, ident) if n == ids else cut(docs.withColumn(node, F.monotonically_increasing_id()), "numbered")
     texts = rows.select(F.col(node).alias("node"), F.col(text_col).alias("text"))
     roots = similar_roots(texts, shingle, similarity, recall)
     return one_of_each(rows, roots, node, id_col).select(*docs.columns)

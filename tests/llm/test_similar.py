@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
-from litquarry.llm import simhash_similar
+import litquarry.llm.components as comp
+from litquarry.llm import simhash, simhash_similar
 from litquarry.llm.common import table
 
 
@@ -121,3 +122,35 @@ def test_lengths_follow_the_number_of_texts():
         tables, bits = simhash_similar.plan(n)
         assert tables <= 1 << simhash_similar.TABLE_BITS and bits + simhash_similar.TABLE_BITS <= 64
         assert bits >= min(n, 2**40).bit_length() + simhash_similar.SPARE_BITS
+
+
+def test_documents_with_ids_of_their_own_are_not_copied(spark, monkeypatch):
+    """All documents were written once more for the numbers of their rows, near the size of the input."""
+    written = []
+    real = simhash_similar.cut
+    monkeypatch.setattr(simhash_similar, "cut", lambda df, what: written.append((what, df.columns)) or real(df, what))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(7, " ".join(words)), (3, " ".join(words + ["more"])), (5, "something else")]
+    assert sorted(r.doc_id for r in simhash_similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [3, 5]
+    assert written and not [w for w in written if "text" in w[1]]
+    rows = [(7, rows[0][1]), (7, rows[1][1]), (None, "something else")]
+    assert sorted((r.doc_id is None, r.doc_id) for r in simhash_similar.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [(False, 7), (True, None)]
+
+
+def test_few_wide_gaps_do_not_widen_all():
+    gaps = np.array([5, 255, 254, 70000, 0, 65535, 65534, 1 << 40] + [300] * 1000, np.uint64)
+    width, low, wide = simhash._short(gaps)
+    assert width == 2 and len(low) == 2 * len(gaps) and len(wide) == 8 * 3
+    assert simhash._long(width, np.frombuffer(low, np.uint8), np.frombuffer(wide, np.uint64)).tolist() == gaps.tolist()
+    assert simhash._short(gaps[:0]) == (1, b"", b"")
+
+
+def test_a_star_step_does_not_join_a_nodes_own_edge(spark, monkeypatch):
+    """The edge to the least neighbour came out of a join of all edges, once for each of them."""
+    plans = []
+    real = comp.cut
+    monkeypatch.setattr(comp, "cut", lambda df, what: plans.append((what, df._jdf.queryExecution().optimizedPlan().toString().count("Join "))) or real(df, what))
+    edges = spark.createDataFrame([(k, k + 1) for k in range(30)] + [(100, 200), (200, 50)], "a long, b long")
+    roots = {r.node: r.root for r in comp.components(edges).collect()}
+    assert roots == {k: 0 for k in range(31)} | {50: 50, 100: 50, 200: 50}
+    assert max(n for what, n in plans if what == "edges") == 1
