@@ -154,3 +154,23 @@ def test_a_star_step_does_not_join_a_nodes_own_edge(spark, monkeypatch):
     roots = {r.node: r.root for r in comp.components(edges).collect()}
     assert roots == {k: 0 for k in range(31)} | {50: 50, 100: 50, 200: 50}
     assert max(n for what, n in plans if what == "edges") == 1
+
+
+def test_settled_nodes_are_joined_once(spark, monkeypatch):
+    """Forests of two groups that agree but for a few nodes: each round joined the edges of all nodes again, also of those with one hub."""
+    written = []
+    real = comp.cut
+
+    def counting(df, what):
+        out = real(df, what)
+        written.append((what, out.count()))
+        return out
+
+    monkeypatch.setattr(comp, "cut", counting)
+    edges = [(k, k % 20) for k in range(20, 3000)] + [(100 + k, k + 1) for k in range(5)] + [(5000 + k, 5000 + k // 2) for k in range(1, 8)]
+    roots = {r.node: r.root for r in comp.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    # 100 + k has the hub k, and so leads to k + 1 as well
+    assert roots == {k: 0 if k % 20 < 6 else k % 20 for k in range(3000)} | {5000 + k: 5000 for k in range(8)}
+    joined = [n for what, n in written if what in ("edges", "large")][1:]
+    assert sum(joined) < 100, written
+    assert sum(n for what, n in written if what == "leaves") < 3100, written
